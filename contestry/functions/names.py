@@ -66,12 +66,13 @@ def replace_names(
 ) -> DataFrame:
     """Replace whole values by their alias target; other values stay.
 
-    A dictionary becomes one CASE expression. Pass a DataFrame with columns
-    ``alias`` and ``name`` (one row per alias) for a dictionary too large for
-    that: it is left-joined, and Spark broadcasts it if its size allows.
+    ``aliases`` is a dictionary or a DataFrame with columns ``alias`` (unique) and
+    ``name``. Either is left-joined, so a value costs one hash lookup however many
+    aliases there are; Spark broadcasts the aliases if their size allows. (A
+    dictionary as a CASE expression compares, and cleans, the value once per alias.)
     """
     if not isinstance(aliases, DataFrame):
-        return df.replace(dict(aliases), subset=list(columns))
+        aliases = df.sparkSession.createDataFrame(list(aliases.items()), "alias string, name string")
     for column in columns:
         lookup = aliases.select(
             F.col("alias").alias(f"_alias_{column}"), F.col("name").alias(f"_name_{column}")

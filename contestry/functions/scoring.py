@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -13,9 +14,30 @@ DATE_FORMATS = ("dd-MM-yyyy", "MM-dd-yyyy", "dd/MM/yyyy", "MM/dd/yyyy")
 HOME_WIN, AWAY_WIN, DRAW = "HomeWin", "AwayWin", "Draw"
 
 
+# What the parts of a date format look like in a text.
+_DATE_PARTS = {"dd": r"(0[1-9]|[12]\d|3[01])", "MM": r"(0[1-9]|1[0-2])", "yyyy": r"\d{4}"}
+
+
+def _date_shape(date_format: str) -> str | None:
+    """Regular expression for texts of a format; None if it has other parts."""
+    parts = re.split("(dd|MM|yyyy)", date_format)
+    if re.search("[A-Za-z]", "".join(parts[::2])):
+        return None
+    return "^" + "".join(_DATE_PARTS.get(p, re.escape(p)) for p in parts) + "$"
+
+
 def parse_date(text: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First format that parses; null if none does."""
-    return F.coalesce(*(F.try_to_date(text, f) for f in formats))
+    """First format that parses; null if none does.
+
+    A format is only tried on texts of its shape: a failed try raises an exception
+    inside Spark, which costs far more than the look at the shape.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+    tries = []
+    for date_format in formats:
+        parsed, shape = F.try_to_date(text, date_format), _date_shape(date_format)
+        tries.append(F.when(text.rlike(shape), parsed) if shape else parsed)
+    return F.coalesce(*tries)
 
 
 def result_label(home: str = "HomeScore", away: str = "AwayScore", spaced: bool = False) -> Column:

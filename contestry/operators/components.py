@@ -19,7 +19,7 @@ def component_labels(edges: DataFrame, a: str, b: str) -> DataFrame:
     """
     pairs = materialize(_pairs(edges, F.col(a), F.col(b)), "pairs")
     nodes = edges.select(F.explode(F.array(a, b)).alias("node")).distinct()
-    labels = materialize(nodes.withColumn("component", F.col("node")), "labels")
+    labels = nodes.withColumn("component", F.col("node"))
     while not pairs.isEmpty():
         ends = F.array(F.struct("lo", "hi"), F.struct(F.col("hi").alias("lo"), F.col("lo").alias("hi")))
         parents = (
@@ -30,14 +30,12 @@ def component_labels(edges: DataFrame, a: str, b: str) -> DataFrame:
         )
         parents = materialize(_follow(_follow(parents)), "parents")
         moved = labels.join(parents, F.col("component") == F.col("from"), "left")
-        labels = materialize(
-            moved.select("node", F.coalesce("to", "component").alias("component")), "labels"
-        )
+        labels = moved.select("node", F.coalesce("to", "component").alias("component"))
         lo = parents.select(F.col("from").alias("lo"), F.col("to").alias("new_lo"))
         hi = parents.select(F.col("from").alias("hi"), F.col("to").alias("new_hi"))
         contracted = pairs.join(lo, "lo").join(hi, "hi")
         pairs = materialize(_pairs(contracted, F.col("new_lo"), F.col("new_hi")), "pairs")
-    return labels
+    return materialize(labels, "labels")
 
 
 def _pairs(df: DataFrame, a, b) -> DataFrame:

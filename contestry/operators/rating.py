@@ -164,20 +164,13 @@ def rate(
         if default_start is not None:
             state = state.fillna(default_start, "Elo")
 
-    of_home = labels.select(F.col("node").alias("HomeTeamId"), "component")
-    sizes = (
-        games.join(of_home, "HomeTeamId")
-        .groupBy("component")
-        .agg(F.count("*").alias("rows"), F.min("MatchSequence").alias("first"), F.max("MatchSequence").alias("last"))
-    )
-    large = sizes.filter(F.col("rows") > group_rows)
-    span = large.agg(F.min("first").alias("first"), F.max("last").alias("last")).first()
-    if span["first"] is None:
+    large = _large_groups(games, labels, group_rows)
+    if large is None:
         rated = _rate_groups(games, labels, state, k, scale)
     else:
         large_teams = materialize(labels.join(large, "component", "left_semi"), "large")
         small = labels.join(large, "component", "left_anti")
-        rated = _rate_slices(games, large_teams, state, k, scale, span["first"], span["last"], group_rows)
+        rated = _rate_slices(games, large_teams, state, k, scale, group_rows)
         rated = rated.unionByName(
             _rate_groups(games.join(_home(small), "HomeTeamId", "left_semi"), small, state, k, scale)
         )
@@ -186,20 +179,32 @@ def rate(
     )
 
 
+def _large_groups(games: DataFrame, labels: DataFrame, group_rows: int) -> DataFrame | None:
+    """Components of more than ``group_rows`` contests; None if there are none."""
+    if games.count() <= group_rows:
+        return None
+    sizes = games.join(labels, F.col("HomeTeamId") == F.col("node")).groupBy("component").agg(
+        F.count("*").alias("rows")
+    )
+    large = materialize(sizes.filter(F.col("rows") > group_rows), "large-groups")
+    return None if large.isEmpty() else large
+
+
 def _home(labels: DataFrame) -> DataFrame:
     return labels.select(F.col("node").alias("HomeTeamId"))
 
 
 def _rate_slices(
-    games: DataFrame, teams: DataFrame, state: DataFrame, k: float, scale: float, first: int, last: int, rows: int
+    games: DataFrame, teams: DataFrame, state: DataFrame, k: float, scale: float, rows: int
 ) -> DataFrame:
     """Rate the contests of ``teams`` slice by slice, handing on a table of ratings."""
     games = materialize(games.join(_home(teams), "HomeTeamId", "left_semi"), "large-games")
     state = materialize(
         state.join(teams.select(F.col("node").alias("TeamId")), "TeamId", "left_semi"), "state"
     )
+    span = games.agg(F.min("MatchSequence").alias("first"), F.max("MatchSequence").alias("last")).first()
     slices = []
-    for start in range(first, last + 1, rows):
+    for start in range(span["first"], span["last"] + 1, rows):
         part = games.filter(F.col("MatchSequence").between(start, start + rows - 1))
         labels = component_labels(part, "HomeTeamId", "AwayTeamId")
         slices.append(materialize(_rate_groups(part, labels, state, k, scale), "slice"))

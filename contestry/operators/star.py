@@ -98,19 +98,19 @@ def fact_upcoming(
 def unmatched(
     silver: DataFrame, teams: DataFrame, competitions: DataFrame, seasons: DataFrame
 ) -> DataFrame:
-    """Contests per dimension that the inner joins of the fact would drop."""
-    def missing(dim: DataFrame, key: str, column: str, label: str) -> DataFrame:
-        names = dim.select(F.col(key).alias(column))
-        rows = silver.join(names, column, "left_anti")
-        return rows.agg(F.count("*").alias("rows")).select(F.lit(label).alias("dimension"), "rows")
-
-    parts = [
-        missing(teams, "TeamName", "HomeTeam", "home_team"),
-        missing(teams, "TeamName", "AwayTeam", "away_team"),
-        missing(competitions, "Competition", "Competition", "competition"),
-        missing(seasons, "Season", "Season", "season"),
-    ]
-    return parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
+    """Contests per dimension that the inner joins of the fact would drop; one scan."""
+    lookups = {
+        "home_team": ("HomeTeam", teams, "TeamName"),
+        "away_team": ("AwayTeam", teams, "TeamName"),
+        "competition": ("Competition", competitions, "Competition"),
+        "season": ("Season", seasons, "Season"),
+    }
+    rows = silver.select("HomeTeam", "AwayTeam", "Competition", "Season")
+    for label, (column, dim, key) in lookups.items():
+        known = dim.select(F.col(key).alias(column), F.lit(True).alias(f"_{label}"))
+        rows = rows.join(known, column, "left")
+    counts = rows.agg(*(F.count_if(F.col(f"_{n}").isNull()).alias(n) for n in lookups))
+    return counts.unpivot([], list(lookups), "dimension", "rows")
 
 
 SEQUENCE_ORDER = ("SeasonId", "Date", "RoundOrder", "MatchKey")

@@ -1,9 +1,9 @@
-"""Silver to gold: all star, rating and feature tables of one refresh."""
+"""Silver to gold: the star, rating and feature tables of one refresh."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, fields
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -13,106 +13,136 @@ from contestry.session import materialize
 from contestry.sources import literals
 from contestry.sources.tables import save_table
 
-
-@dataclass(frozen=True)
-class Star:
-    """Dimensions and facts, stored as tables in the shared folder."""
-
-    silver: DataFrame
-    upcoming_silver: DataFrame
-    teams: DataFrame
-    competitions: DataFrame
-    seasons: DataFrame
-    rounds: DataFrame
-    facts: DataFrame
-    upcoming: DataFrame
-    sequence: DataFrame
-
-
-@dataclass(frozen=True)
-class Ratings:
-    starting: DataFrame
-    oldest: DataFrame
-    baseline: DataFrame
-    base: DataFrame
-    ratings: DataFrame
-
-
-def build_star(silver: DataFrame, upcoming: DataFrame) -> Star:
-    """Dimensions come from played contests; ids hold for one refresh."""
-    spark = silver.sparkSession
-    silver = materialize(silver, "silver")
-    upcoming = materialize(upcoming, "upcoming")
-    teams = materialize(star.dim_teams(silver), "teams")
-    competitions = materialize(star.dim_competitions(silver), "competitions")
-    seasons = materialize(star.dim_seasons(silver), "seasons")
-    rounds = literals.dim_rounds(spark)
-    facts = star.fact_matches(silver, teams, competitions, seasons, rounds)
-    ahead = star.fact_upcoming(upcoming, teams, competitions, seasons, rounds)
-    return Star(
-        silver, upcoming, teams, competitions, seasons, rounds, facts, ahead, star.match_sequence(facts)
-    )
-
-
-def build_ratings(
-    gold: Star,
-    baselines: Mapping[str, float] = literals.BASELINES,
-    default_start: float | None = None,
-    digits: int | None = 2,
-    group_rows: int = 10_000_000,
-) -> Ratings:
-    """Start ratings by first competition, then the rating table."""
-    starting = rating.starting_competitions(gold.facts)
-    oldest = rating.oldest_seasons(gold.silver)
-    start = literals.baselines(gold.silver.sparkSession, baselines)
-    baseline = rating.baseline_ratings(start, oldest)
-    base = materialize(rating.team_base_ratings(starting, gold.competitions, baseline), "base")
-    ratings = rating.fact_ratings(
-        gold.sequence, base, default_start=default_start, digits=digits, group_rows=group_rows
-    )
-    return Ratings(starting, oldest, baseline, base, materialize(ratings, "ratings"))
-
-
-def match_features(gold: Star, ratings: DataFrame, follow: str = "next") -> DataFrame:
-    return features.next_round_features(
-        gold.upcoming, features.last_rounds(gold.facts), rating.latest_ratings(ratings), follow
-    )
-
-
-# Names of the stored gold tables.
-TABLE_NAMES = {
-    "teams": "dim_teams",
-    "competitions": "dim_competitions",
-    "seasons": "dim_seasons",
-    "rounds": "dim_rounds",
-    "facts": "fact_match_results",
-    "upcoming": "upcoming_matches_fact",
-    "sequence": "match_sequence",
-    "starting": "starting_team_comps",
-    "oldest": "oldest_season_per_comp",
-    "baseline": "baseline_elo",
-    "base": "team_base_elo",
-    "ratings": "fact_elo",
+# Names of the stored tables and the properties that hold them.
+TABLES = {
+    "dim_teams": "teams",
+    "dim_rounds": "rounds",
+    "dim_competitions": "competitions",
+    "dim_seasons": "seasons",
+    "fact_match_results": "facts",
+    "upcoming_matches_fact": "upcoming",
+    "oldest_season_per_comp": "oldest",
+    "baseline_elo": "baseline",
+    "match_sequence": "sequence",
+    "starting_team_comps": "starting",
+    "team_base_elo": "base",
+    "fact_elo": "ratings",
+    "latest_elo": "latest",
+    "last_played_round": "last_rounds",
+    "match_features": "next_features",
 }
 
 
-def refresh(gold: Star, ratings: Ratings, schema: str) -> dict[str, DataFrame]:
-    """Full refresh of all gold tables in a catalog schema."""
-    gold.silver.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-    stored = {}
-    for part in (gold, ratings):
-        for field in fields(part):
-            name = TABLE_NAMES.get(field.name)
-            if name:
-                stored[name] = save_table(
-                    getattr(part, field.name), f"{schema}.{name}", properties={"quality": "gold"}
-                )
-    elo = stored["fact_elo"]
-    derived = {
-        "latest_elo": rating.latest_ratings(elo),
-        "last_played_round": features.last_rounds(stored["fact_match_results"]),
-        "match_features": match_features(gold, elo),
-    }
-    for name, df in derived.items():
-        stored[name] = save_table(df, f"{schema}.{name}", properties={"quality": "gold"})
-    return stored
+class Gold:
+    """All gold tables over the two silver tables.
+
+    A table is built when it is first read and then stored in the shared folder
+    for the tables that need it, so one refresh computes each of them once.
+    Dimensions come from played contests; ids hold for one refresh.
+    """
+
+    def __init__(
+        self,
+        silver: DataFrame,
+        upcoming: DataFrame,
+        baselines: Mapping[str, float] = literals.BASELINES,
+        default_start: float | None = None,
+        digits: int | None = 2,
+        group_rows: int = 10_000_000,
+        follow: str = "next",
+    ):
+        self.spark = silver.sparkSession
+        self._silver, self._upcoming = silver, upcoming
+        self._baselines = baselines
+        self._rating_options = {"default_start": default_start, "digits": digits, "group_rows": group_rows}
+        self._follow = follow
+
+    @cached_property
+    def silver(self) -> DataFrame:
+        return materialize(self._silver, "silver")
+
+    @cached_property
+    def upcoming_silver(self) -> DataFrame:
+        return materialize(self._upcoming, "upcoming-silver")
+
+    # ---- star schema ----
+
+    @cached_property
+    def teams(self) -> DataFrame:
+        return materialize(star.dim_teams(self.silver), "teams")
+
+    @cached_property
+    def competitions(self) -> DataFrame:
+        return materialize(star.dim_competitions(self.silver), "competitions")
+
+    @cached_property
+    def seasons(self) -> DataFrame:
+        return materialize(star.dim_seasons(self.silver), "seasons")
+
+    @cached_property
+    def rounds(self) -> DataFrame:
+        return literals.dim_rounds(self.spark)
+
+    @cached_property
+    def facts(self) -> DataFrame:
+        return star.fact_matches(self.silver, self.teams, self.competitions, self.seasons, self.rounds)
+
+    @cached_property
+    def upcoming(self) -> DataFrame:
+        return star.fact_upcoming(
+            self.upcoming_silver, self.teams, self.competitions, self.seasons, self.rounds
+        )
+
+    # ---- ratings ----
+
+    @cached_property
+    def sequence(self) -> DataFrame:
+        return star.match_sequence(self.facts)
+
+    @cached_property
+    def starting(self) -> DataFrame:
+        return rating.starting_competitions(self.facts)
+
+    @cached_property
+    def oldest(self) -> DataFrame:
+        return rating.oldest_seasons(self.silver)
+
+    @cached_property
+    def baseline(self) -> DataFrame:
+        return rating.baseline_ratings(literals.baselines(self.spark, self._baselines), self.oldest)
+
+    @cached_property
+    def base(self) -> DataFrame:
+        base = rating.team_base_ratings(self.starting, self.competitions, self.baseline)
+        return materialize(base, "base")
+
+    @cached_property
+    def ratings(self) -> DataFrame:
+        ratings = rating.fact_ratings(self.sequence, self.base, **self._rating_options)
+        return materialize(ratings, "ratings")
+
+    # ---- features ----
+
+    @cached_property
+    def latest(self) -> DataFrame:
+        return rating.latest_ratings(self.ratings)
+
+    @cached_property
+    def last_rounds(self) -> DataFrame:
+        return features.last_rounds(self.facts)
+
+    @cached_property
+    def next_features(self) -> DataFrame:
+        return features.next_round_features(self.upcoming, self.last_rounds, self.latest, self._follow)
+
+    @cached_property
+    def training(self) -> DataFrame:
+        return features.training_frame(self.facts, self.ratings)
+
+    def refresh(self, schema: str) -> dict[str, DataFrame]:
+        """Full refresh of all gold tables in a catalog schema."""
+        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+        return {
+            name: save_table(getattr(self, part), f"{schema}.{name}", properties={"quality": "gold"})
+            for name, part in TABLES.items()
+        }

@@ -70,7 +70,6 @@ def fit_home_win(train: DataFrame, penalty: float = 1.0, max_iter: int = 1000) -
     regression = LogisticRegression(
         labelCol=LABEL,
         maxIter=max_iter,
-        tol=1e-9,
         regParam=1.0 / (penalty * rows),
         elasticNetParam=0.0,
         standardization=False,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,11 +35,15 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by the cluster")
-        folder = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
+        folder = _local_folder()
     return folder.rstrip("/")
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="run-")
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path (not yet created) under the shared folder."""
     return f"{shared_folder(spark)}/contestry/{label}-{uuid.uuid4().hex}"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TYPES = {"int": T.IntegerType(), "string": T.StringType(), "double": T.DoubleType()}
+_TYPES = {"int": T.IntegerType(), "long": T.LongType(), "string": T.StringType(), "double": T.DoubleType()}
 
 
 def _schema(fields: str) -> T.StructType:
@@ -13,8 +13,9 @@ def _schema(fields: str) -> T.StructType:
 
 
 # Columns of a results file; Date is text until the silver stage.
+# MatchId is 64 bit, since a CSV value too large for its type is read as null.
 RESULTS_CORE = _schema("""
-MatchId int
+MatchId long
 HomeTeam string
 AwayTeam string
 Season string

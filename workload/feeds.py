@@ -250,7 +250,7 @@ def statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     excess = F.when((F.col("o_orderstatus") == "P") & (F.col("n_lines") == 6), 0.1).otherwise(0.0)
     values: dict[str, Column] = {
-        "MatchId": F.col("o_orderkey").cast("int"),
+        "MatchId": F.col("o_orderkey"),
         "HomeTeam": F.concat(F.lit("nation-"), F.col("c_nationkey").cast("string")),
         "AwayTeam": F.concat(F.lit("segment-"), F.lower("c_mktsegment")),
         "Season": F.year("day").cast("string"),

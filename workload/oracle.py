@@ -145,52 +145,71 @@ _BLOCKS["base"] = """
 SELECT TeamId, CompetitionId, SeasonId, StartingElo AS Elo
 FROM starting JOIN competitions USING (CompetitionId) JOIN (SELECT Competition, StartingElo FROM baseline) USING (Competition)"""
 _BLOCKS["started"] = """
-SELECT TeamId, TeamName, coalesce(Elo, 1500::DOUBLE) AS Elo FROM teams LEFT JOIN (SELECT TeamId, Elo FROM base) USING (TeamId)"""
+SELECT TeamId, coalesce(Elo, 1500::DOUBLE) AS Elo FROM teams LEFT JOIN (SELECT TeamId, Elo FROM base) USING (TeamId)"""
 
 
-def _recursion(name: str, k: float, start: str) -> None:
-    """Ratings as a recursion over the contests of each pool of teams (one region).
+def _recursion(name: str, k: float, games: str, start: str) -> None:
+    """Ratings as a recursion over rounds of contests that can be rated at once.
 
-    ``start`` lists (TeamId, TeamName, Elo); a step updates a map of ratings.
+    ``games`` lists (MatchSequence, HomeTeamId, AwayTeamId, actual), ``start`` lists
+    (TeamId, Elo). A contest is ready when both its teams have played all their
+    earlier ones; every step rates the ready contests and lists all teams' new
+    ratings. {name}_wide then looks up each contest's four ratings.
     """
-    _BLOCKS[f"{name}_teams"] = f"""
-SELECT TeamId, Elo, CAST(regexp_extract(TeamName, '[0-9]+') AS INTEGER) % 5 AS pool FROM {start}"""
-    _BLOCKS[f"{name}_games"] = f"""
-SELECT pool, row_number() OVER (PARTITION BY pool ORDER BY MatchSequence) AS step, MatchSequence, HomeTeamId, AwayTeamId,
-  CASE Result WHEN 'HomeWin' THEN 1::DOUBLE WHEN 'AwayWin' THEN 0::DOUBLE ELSE 0.5::DOUBLE END AS actual
-FROM sequence JOIN {name}_teams t ON t.TeamId = HomeTeamId"""
-    _BLOCKS[f"{name}_steps(pool, step, ratings, MatchSequence, home, away, h, a, gain)"] = f"""
-SELECT pool, 0::BIGINT, map(list(TeamId), list(Elo)), 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::DOUBLE, 0::DOUBLE, 0::DOUBLE
-FROM {name}_teams GROUP BY pool
+    _BLOCKS[f"{name}_turns"] = f"""
+SELECT MatchSequence, team, row_number() OVER (PARTITION BY team ORDER BY MatchSequence) AS turn
+FROM (SELECT MatchSequence, unnest([HomeTeamId, AwayTeamId]) AS team FROM {games})"""
+    _BLOCKS[f"{name}_slots"] = f"""
+SELECT g.*, h.turn AS home_turn, a.turn AS away_turn FROM {games} g
+JOIN {name}_turns h ON h.MatchSequence = g.MatchSequence AND h.team = HomeTeamId
+JOIN {name}_turns a ON a.MatchSequence = g.MatchSequence AND a.team = AwayTeamId"""
+    _BLOCKS[f"{name}_rounds(team, played, rating)"] = f"""
+SELECT TeamId, 0::BIGINT, Elo FROM {start}
 UNION ALL
-SELECT pool, step, map_concat(ratings, MAP {{home: h + gain, away: a - gain}}), MatchSequence, home, away, h, a, gain
-FROM (
-  SELECT pool, step, ratings, MatchSequence, home, away, h, a,
-    {k}::DOUBLE * (actual - 1::DOUBLE / (1::DOUBLE + pow(10::DOUBLE, (a - h) / 400::DOUBLE))) AS gain
-  FROM (
-    SELECT g.pool, g.step, s.ratings, g.MatchSequence, g.HomeTeamId AS home, g.AwayTeamId AS away, g.actual,
-      s.ratings[g.HomeTeamId] AS h, s.ratings[g.AwayTeamId] AS a
-    FROM {name}_steps s JOIN {name}_games g ON g.pool = s.pool AND g.step = s.step + 1
-  )
-)"""
+(WITH ready AS MATERIALIZED (
+  SELECT HomeTeamId, AwayTeamId,
+    {k}::DOUBLE * (actual - 1::DOUBLE / (1::DOUBLE + pow(10::DOUBLE, (a.rating - h.rating) / 400::DOUBLE))) AS gain
+  FROM {name}_slots
+  JOIN {name}_rounds h ON h.team = HomeTeamId AND h.played = home_turn - 1
+  JOIN {name}_rounds a ON a.team = AwayTeamId AND a.played = away_turn - 1),
+moves AS (SELECT HomeTeamId AS team, gain FROM ready UNION ALL SELECT AwayTeamId, -gain FROM ready)
+SELECT r.team, CASE WHEN m.gain IS NULL THEN played ELSE played + 1 END,
+  CASE WHEN m.gain IS NULL THEN rating ELSE rating + m.gain END
+FROM {name}_rounds r LEFT JOIN moves m ON m.team = r.team
+WHERE EXISTS (SELECT 1 FROM ready))"""
+    _BLOCKS[f"{name}_states"] = f"SELECT DISTINCT team, played, rating FROM {name}_rounds"
     _BLOCKS[f"{name}_wide"] = f"""
-SELECT MatchSequence, h AS HomeEloBefore, h + gain AS HomeEloAfter, a AS AwayEloBefore, a - gain AS AwayEloAfter,
-  (h + gain) - h AS HomeEloChange, (a - gain) - a AS AwayEloChange
-FROM {name}_steps WHERE step > 0"""
-    _BLOCKS[f"{name}_long"] = f"""
-SELECT q.MatchKey, q.MatchSequence, q.CompetitionId, q.SeasonId, q.RoundOrder, q."Date", q.HomeTeamId AS TeamId,
-  q.AwayTeamId AS OpponentId, HomeEloBefore AS EloBefore, HomeEloAfter AS EloAfter, HomeEloChange AS EloChange
-FROM sequence q JOIN {name}_wide USING (MatchSequence)
-UNION ALL
-SELECT q.MatchKey, q.MatchSequence, q.CompetitionId, q.SeasonId, q.RoundOrder, q."Date", q.AwayTeamId, q.HomeTeamId,
-  AwayEloBefore, AwayEloAfter, AwayEloChange
-FROM sequence q JOIN {name}_wide USING (MatchSequence)"""
+SELECT g.MatchSequence, HomeTeamId, AwayTeamId, h0.rating AS HomeEloBefore, h1.rating AS HomeEloAfter,
+  a0.rating AS AwayEloBefore, a1.rating AS AwayEloAfter,
+  h1.rating - h0.rating AS HomeEloChange, a1.rating - a0.rating AS AwayEloChange
+FROM {name}_slots g
+JOIN {name}_states h0 ON h0.team = HomeTeamId AND h0.played = home_turn - 1
+JOIN {name}_states h1 ON h1.team = HomeTeamId AND h1.played = home_turn
+JOIN {name}_states a0 ON a0.team = AwayTeamId AND a0.played = away_turn - 1
+JOIN {name}_states a1 ON a1.team = AwayTeamId AND a1.played = away_turn"""
+
+
+def _both_teams(name: str) -> str:
+    """Two rows per contest from ``{name}_wide``."""
+    sides = (("Home", "Away"), ("Away", "Home"))
+    return " UNION ALL ".join(
+        f"""SELECT q.MatchKey, q.MatchSequence, q.CompetitionId, q.SeasonId, q.RoundOrder, q."Date",
+  q.{me}TeamId AS TeamId, q.{other}TeamId AS OpponentId, {me}EloBefore AS EloBefore, {me}EloAfter AS EloAfter,
+  {me}EloChange AS EloChange FROM sequence q JOIN {name}_wide USING (MatchSequence)"""
+        for me, other in sides
+    )
 
 
-_recursion("elo", 35, "started")
-_recursion("elo20", 20, "started")
-_BLOCKS["flat"] = "SELECT TeamId, TeamName, 1500::DOUBLE AS Elo FROM teams"
-_recursion("eloflat", 35, "flat")
+_BLOCKS["games"] = """
+SELECT MatchSequence, HomeTeamId, AwayTeamId,
+  CASE Result WHEN 'HomeWin' THEN 1::DOUBLE WHEN 'AwayWin' THEN 0::DOUBLE ELSE 0.5::DOUBLE END AS actual
+FROM sequence"""
+_BLOCKS["flat"] = "SELECT TeamId, 1500::DOUBLE AS Elo FROM teams"
+_recursion("elo", 35, "games", "started")
+_recursion("elo20", 20, "games", "started")
+_recursion("eloflat", 35, "games", "flat")
+for _name in ("elo", "elo20"):
+    _BLOCKS[f"{_name}_long"] = _both_teams(_name)
 
 _BLOCKS["ratings"] = """
 SELECT MatchKey, MatchSequence, CompetitionId, SeasonId, RoundOrder, "Date", TeamId, OpponentId,
@@ -271,7 +290,7 @@ def _zone_stats(names: tuple[str, ...], prefix: str, whole: str) -> list[str]:
 
 
 _STATS = [
-    "CAST(o_orderkey AS INTEGER) AS MatchId",
+    "o_orderkey AS MatchId",
     "open_qty / nullif(qty, 0) + excess AS HomeTerritory",
     "1 - open_qty / nullif(qty, 0) AS AwayTerritory",
     "odd / nullif(qty, 0) AS HomePossession",
@@ -332,25 +351,12 @@ SELECT *, row_number() OVER (ORDER BY "Date", MatchKey) AS MatchSequence FROM (
     CASE o_orderstatus WHEN 'F' THEN 1::DOUBLE WHEN 'O' THEN 0::DOUBLE ELSE 0.5::DOUBLE END AS actual,
     CAST(o_orderdate AS DATE) AS "Date"
   FROM orders CROSS JOIN (SELECT count(*) AS n FROM customer))"""
-_BLOCKS["customer_steps(step, ratings, home, away, h, a, gain)"] = """
-SELECT 0::BIGINT, list_transform(range((SELECT count(*) FROM customer)), lambda x: 1500::DOUBLE),
-  0::BIGINT, 0::BIGINT, 0::DOUBLE, 0::DOUBLE, 0::DOUBLE
-UNION ALL
-SELECT step, list_transform(ratings, lambda x, i: CASE i - 1 WHEN home THEN h + gain WHEN away THEN a - gain ELSE x END),
-  home, away, h, a, gain
-FROM (
-  SELECT step, ratings, home, away, h, a,
-    35::DOUBLE * (actual - 1::DOUBLE / (1::DOUBLE + pow(10::DOUBLE, (a - h) / 400::DOUBLE))) AS gain
-  FROM (
-    SELECT s.step + 1 AS step, s.ratings, g.HomeTeamId AS home, g.AwayTeamId AS away, g.actual,
-      s.ratings[g.HomeTeamId + 1] AS h, s.ratings[g.AwayTeamId + 1] AS a
-    FROM customer_steps s JOIN customer_games g ON g.MatchSequence = s.step + 1
-  )
-)"""
+_BLOCKS["customer_start"] = """
+SELECT DISTINCT unnest([HomeTeamId, AwayTeamId]) AS TeamId, 1500::DOUBLE AS Elo FROM customer_games"""
+_recursion("customer", 35, "customer_games", "customer_start")
 _CUSTOMER_RATINGS = """
-SELECT step AS MatchSequence, home AS HomeTeamId, away AS AwayTeamId, round(h, 6) AS HomeEloBefore,
-  round(h + gain, 6) AS HomeEloAfter, round(a, 6) AS AwayEloBefore, round(a - gain, 6) AS AwayEloAfter
-FROM customer_steps WHERE step > 0"""
+SELECT MatchSequence, HomeTeamId, AwayTeamId, round(HomeEloBefore, 6) AS HomeEloBefore, round(HomeEloAfter, 6) AS HomeEloAfter,
+  round(AwayEloBefore, 6) AS AwayEloBefore, round(AwayEloAfter, 6) AS AwayEloAfter FROM customer_wide"""
 
 # ---- the queries -------------------------------------------------------------------------
 
@@ -423,7 +429,7 @@ _QUERIES: dict[str, str] = {
     "wide_fact": f"""SELECT f.MatchKey, HomeTeamId, AwayTeamId, f.SeasonId, f.RoundId, HomeScore, AwayScore, f.Result,
         HomePointsDifference, AwayPointsDifference, HomePointsDifference AS MatchPointsDifference, ResultId, Season,
         h.TeamName AS HomeTeam, a.TeamName AS AwayTeam, r.RoundName, {_FLAT_COLUMNS}
-        FROM facts f LEFT JOIN (SELECT MatchKey, w.* FROM sequence JOIN eloflat_wide w USING (MatchSequence)) e ON e.MatchKey = f.MatchKey
+        FROM facts f LEFT JOIN (SELECT MatchKey, w.* EXCLUDE (HomeTeamId, AwayTeamId) FROM sequence JOIN eloflat_wide w USING (MatchSequence)) e ON e.MatchKey = f.MatchKey
         LEFT JOIN results USING (Result) LEFT JOIN seasons y ON y.SeasonId = f.SeasonId
         LEFT JOIN teams h ON h.TeamId = HomeTeamId LEFT JOIN teams a ON a.TeamId = AwayTeamId
         LEFT JOIN rounds r ON r.RoundId = f.RoundId""",
@@ -556,6 +562,6 @@ def oracle_sql() -> dict[str, str]:
     statements = {}
     for name, query in _QUERIES.items():
         needed = _needed(query)
-        parts = [f"{block} AS ({body})" for block, body in _BLOCKS.items() if block in needed]
+        parts = [f"{block} AS MATERIALIZED ({body})" if "(" not in block else f"{block} AS ({body})" for block, body in _BLOCKS.items() if block in needed]
         statements[name] = ("WITH RECURSIVE " + ",\n".join(parts) + "\n" if parts else "") + query
     return statements

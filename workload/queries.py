@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from contestry.functions import names, scoring
 from contestry.operators import quality, rating, reports, star
 from contestry.operators.keys import numbered
-from contestry.plans import features, gold, model, silver
+from contestry.plans import features, model, silver
+from contestry.plans.gold import Gold
 from contestry.session import materialize, new_folder
 from contestry.sources import files, schemas, tables
 from contestry.streaming import ingest
@@ -50,24 +51,18 @@ class Pipeline:
         return silver.upcoming_matches(self.bronze, AS_OF, self.aliases)
 
     @cached_property
-    def star(self) -> gold.Star:
-        return gold.build_star(self.results, self.upcoming)
-
-    @cached_property
-    def rated(self) -> gold.Ratings:
-        return gold.build_ratings(self.star, default_start=DEFAULT_START)
-
-    @cached_property
-    def training(self) -> DataFrame:
-        return features.training_frame(self.star.facts, self.rated.ratings)
+    def gold(self) -> Gold:
+        """Gold tables over stored bronze, which both silver tables read."""
+        bronze = materialize(self.bronze, "bronze")
+        return Gold(
+            silver.match_results(bronze, self.aliases),
+            silver.upcoming_matches(bronze, AS_OF, self.aliases),
+            default_start=DEFAULT_START,
+        )
 
     @cached_property
     def split(self) -> tuple[DataFrame, DataFrame]:
-        return features.ordered_split(self.training)
-
-    @cached_property
-    def next_features(self) -> DataFrame:
-        return gold.match_features(self.star, self.rated.ratings)
+        return features.ordered_split(self.gold.training)
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -190,7 +185,7 @@ def dedupe_exact(p: Pipeline) -> DataFrame:
 @query
 def dedupe_by_key(p: Pipeline) -> DataFrame:
     # the smallest row in column order stays: MatchId, Round, scores
-    rows = without_times(p.star.silver).drop("bronze_file")
+    rows = without_times(p.gold.silver).drop("bronze_file")
     return quality.deduplicate(rows, quality.CONTEST_KEY)
 
 
@@ -233,8 +228,8 @@ def distinct_values(p: Pipeline) -> DataFrame:
 
 @query
 def distinct_teams(p: Pipeline) -> DataFrame:
-    home = p.star.silver.select(F.col("HomeTeam").alias("Team"))
-    away = p.star.silver.select(F.col("AwayTeam").alias("Team"))
+    home = p.gold.silver.select(F.col("HomeTeam").alias("Team"))
+    away = p.gold.silver.select(F.col("AwayTeam").alias("Team"))
     return home.union(away).distinct().orderBy("Team")
 
 
@@ -268,29 +263,29 @@ def dim_played_rounds(p: Pipeline) -> DataFrame:
 
 @query
 def dim_rounds(p: Pipeline) -> DataFrame:
-    played = reports.counts_by(p.star.facts, "RoundCode")
-    return p.star.rounds.join(played, "RoundCode", "left")
+    played = reports.counts_by(p.gold.facts, "RoundCode")
+    return p.gold.rounds.join(played, "RoundCode", "left")
 
 
 @query
 def fact_matches(p: Pipeline) -> DataFrame:
-    return without_times(p.star.facts)
+    return without_times(p.gold.facts)
 
 
 @query
 def fact_upcoming(p: Pipeline) -> DataFrame:
-    return without_times(p.star.upcoming)
+    return without_times(p.gold.upcoming)
 
 
 @query
 def unmatched_upcoming(p: Pipeline) -> DataFrame:
-    s = p.star
+    s = p.gold
     return star.unmatched(s.upcoming_silver, s.teams, s.competitions, s.seasons)
 
 
 @query
 def wide_fact(p: Pipeline) -> DataFrame:
-    s = p.star
+    s = p.gold
     ratings = rating.flat_start(s.sequence)
     results = star.dim_results(s.silver)
     return star.wide_fact(s.facts, ratings, s.teams, s.seasons, s.rounds, results)
@@ -315,7 +310,7 @@ def outer_match_join_left(p: Pipeline) -> DataFrame:
 
 @query
 def home_away_games(p: Pipeline) -> DataFrame:
-    return reports.home_away_games(p.star.silver)
+    return reports.home_away_games(p.gold.silver)
 
 
 @query
@@ -327,7 +322,7 @@ def union_by_name(p: Pipeline) -> DataFrame:
 
 @query
 def match_sequence(p: Pipeline) -> DataFrame:
-    return p.star.sequence
+    return p.gold.sequence
 
 
 # ---- ratings -----------------------------------------------------------------------------
@@ -335,38 +330,38 @@ def match_sequence(p: Pipeline) -> DataFrame:
 
 @query
 def oldest_season(p: Pipeline) -> DataFrame:
-    return p.rated.oldest
+    return p.gold.oldest
 
 
 @query
 def baseline_ratings(p: Pipeline) -> DataFrame:
-    return p.rated.baseline
+    return p.gold.baseline
 
 
 @query
 def starting_competition(p: Pipeline) -> DataFrame:
-    return p.rated.starting
+    return p.gold.starting
 
 
 @query
 def team_base_rating(p: Pipeline) -> DataFrame:
-    return p.rated.base
+    return p.gold.base
 
 
 @query
 def teams_without_base(p: Pipeline) -> DataFrame:
-    return rating.teams_without_base(p.rated.starting, p.rated.base)
+    return rating.teams_without_base(p.gold.starting, p.gold.base)
 
 
 @query
 def base_rating_list(p: Pipeline) -> DataFrame:
-    s = p.star
-    return reports.base_rating_list(p.rated.base, s.teams, s.competitions, s.seasons)
+    s = p.gold
+    return reports.base_rating_list(p.gold.base, s.teams, s.competitions, s.seasons)
 
 
 @query
 def expected_score(p: Pipeline) -> DataFrame:
-    games = rating.with_start_ratings(p.star.sequence, p.rated.base, DEFAULT_START)
+    games = rating.with_start_ratings(p.gold.sequence, p.gold.base, DEFAULT_START)
     chance = scoring.expected_score("HomeStartingElo", "AwayStartingElo")
     return games.select(
         "MatchKey", "HomeStartingElo", "AwayStartingElo", F.round(chance, 6).alias("expected")
@@ -375,18 +370,18 @@ def expected_score(p: Pipeline) -> DataFrame:
 
 @query
 def fact_rating(p: Pipeline) -> DataFrame:
-    return p.rated.ratings
+    return p.gold.ratings
 
 
 @query
 def rating_unrounded_k(p: Pipeline) -> DataFrame:
-    rated = rating.elo(p.star.sequence, p.rated.base, k=20.0, default_start=DEFAULT_START)
+    rated = rating.elo(p.gold.sequence, p.gold.base, k=20.0, default_start=DEFAULT_START)
     return rating.rounded(rated, ("EloBefore", "EloAfter", "EloChange"), 6)
 
 
 @query
 def rating_flat_start_wide(p: Pipeline) -> DataFrame:
-    return rating.flat_start(p.star.sequence)
+    return rating.flat_start(p.gold.sequence)
 
 
 _WIDE = ("HomeEloBefore", "HomeEloAfter", "AwayEloBefore", "AwayEloAfter")
@@ -407,64 +402,64 @@ def rating_many_teams(p: Pipeline) -> DataFrame:
 @query
 def rating_sliced(p: Pipeline) -> DataFrame:
     # the bound makes the one large group take the slice path; the result is the same
-    return _customer_ratings(p, group_rows=p.customers.count() // 3)
+    return _customer_ratings(p, group_rows=p.customers.count() // 3 + 1)
 
 
 @query
 def rating_history(p: Pipeline) -> DataFrame:
-    return rating.rating_history(p.rated.ratings, block_rows=1000)
+    return rating.rating_history(p.gold.ratings, block_rows=1000)
 
 
 @query
 def rating_history_lists(p: Pipeline) -> DataFrame:
-    lists = rating.rating_history_lists(rating.rating_history(p.rated.ratings), list_rows=100)
+    lists = rating.rating_history_lists(rating.rating_history(p.gold.ratings), list_rows=100)
     text = F.transform("History", lambda x: F.format_string("%.2f", x))
     return lists.select("TeamId", "List", F.array_join(text, ",").alias("History"))
 
 
 @query
 def season_start_end_rating(p: Pipeline) -> DataFrame:
-    s = p.star
-    seasons = rating.season_ratings(p.rated.ratings)
+    s = p.gold
+    seasons = rating.season_ratings(p.gold.ratings)
     return reports.named_season_ratings(seasons, s.teams, s.competitions, s.seasons)
 
 
 @query
 def first_season_ratings(p: Pipeline) -> DataFrame:
-    return rating.season_ratings(p.rated.ratings, season_id=1)
+    return rating.season_ratings(p.gold.ratings, season_id=1)
 
 
 @query
 def latest_rating(p: Pipeline) -> DataFrame:
-    return rating.latest_ratings(p.rated.ratings)
+    return p.gold.latest
 
 
 @query
 def rating_snapshot(p: Pipeline) -> DataFrame:
-    return rating.rating_snapshot(p.rated.ratings)
+    return rating.rating_snapshot(p.gold.ratings)
 
 
 @query
 def rating_progression(p: Pipeline) -> DataFrame:
-    return rating.rating_progression(p.rated.ratings, team_id=4)
+    return rating.rating_progression(p.gold.ratings, team_id=4)
 
 
 @query
 def zero_sum_check(p: Pipeline) -> DataFrame:
     # + 0 turns a negative zero into zero
-    return rating.zero_sum_totals(p.rated.ratings).withColumn(
+    return rating.zero_sum_totals(p.gold.ratings).withColumn(
         "TotalEloChange", F.col("TotalEloChange") + 0.0
     )
 
 
 @query
 def zero_sum_breaks(p: Pipeline) -> DataFrame:
-    return rating.zero_sum_breaks(p.rated.ratings).agg(F.count("*").alias("breaks"))
+    return rating.zero_sum_breaks(p.gold.ratings).agg(F.count("*").alias("breaks"))
 
 
 @query
 def continuity_check(p: Pipeline) -> DataFrame:
-    gaps = rating.continuity_gaps(p.rated.ratings, block_rows=1000)
+    gaps = rating.continuity_gaps(p.gold.ratings, block_rows=1000)
     return gaps.select(
         "TeamId", "MatchSequence", "EloAfter", "NextEloBefore", F.round("Break", 6).alias("Break")
     )
@@ -475,33 +470,33 @@ def continuity_check(p: Pipeline) -> DataFrame:
 
 @query
 def result_counts_by_season(p: Pipeline) -> DataFrame:
-    return reports.result_counts(p.star.facts, p.star.seasons)
+    return reports.result_counts(p.gold.facts, p.gold.seasons)
 
 
 @query
 def season_totals(p: Pipeline) -> DataFrame:
-    return reports.season_totals(reports.result_counts(p.star.facts, p.star.seasons))
+    return reports.season_totals(reports.result_counts(p.gold.facts, p.gold.seasons))
 
 
 @query
 def team_record(p: Pipeline) -> DataFrame:
-    return reports.team_record(p.star.facts, p.star.teams)
+    return reports.team_record(p.gold.facts, p.gold.teams)
 
 
 @query
 def team_season_record(p: Pipeline) -> DataFrame:
-    return reports.team_season_record(p.star.facts, p.star.teams, p.star.seasons)
+    return reports.team_season_record(p.gold.facts, p.gold.teams, p.gold.seasons)
 
 
 @query
 def wins_by_team(p: Pipeline) -> DataFrame:
-    records = reports.team_season_record(p.star.facts, p.star.teams, p.star.seasons)
+    records = reports.team_season_record(p.gold.facts, p.gold.teams, p.gold.seasons)
     return reports.wins_by_team(records, ["nation_3", "nation_7", "nation_11"])
 
 
 @query
 def round_counts(p: Pipeline) -> DataFrame:
-    return reports.round_counts(p.star.facts)
+    return reports.round_counts(p.gold.facts)
 
 
 @query
@@ -511,12 +506,12 @@ def home_team_counts(p: Pipeline) -> DataFrame:
 
 @query
 def competition_counts(p: Pipeline) -> DataFrame:
-    return reports.competition_counts(p.star.facts, p.star.competitions)
+    return reports.competition_counts(p.gold.facts, p.gold.competitions)
 
 
 @query
 def season_first_dates(p: Pipeline) -> DataFrame:
-    return reports.season_first_dates(p.star.facts)
+    return reports.season_first_dates(p.gold.facts)
 
 
 @query
@@ -526,12 +521,12 @@ def first_date(p: Pipeline) -> DataFrame:
 
 @query
 def multi_competition_teams(p: Pipeline) -> DataFrame:
-    return reports.multi_competition_teams(p.star.facts)
+    return reports.multi_competition_teams(p.gold.facts)
 
 
 @query
 def first_rows(p: Pipeline) -> DataFrame:
-    return reports.first_rows(p.star.sequence, 10, "MatchSequence").select(
+    return reports.first_rows(p.gold.sequence, 10, "MatchSequence").select(
         "MatchSequence", "MatchKey", "HomeTeamId", "AwayTeamId"
     )
 
@@ -541,34 +536,34 @@ def first_rows(p: Pipeline) -> DataFrame:
 
 @query
 def last_round(p: Pipeline) -> DataFrame:
-    return features.last_rounds(p.star.facts)
+    return p.gold.last_rounds
 
 
 @query
 def next_round(p: Pipeline) -> DataFrame:
-    ahead = features.next_round(p.star.upcoming, features.last_rounds(p.star.facts))
+    ahead = features.next_round(p.gold.upcoming, p.gold.last_rounds)
     return without_times(ahead)
 
 
 @query
 def next_round_available(p: Pipeline) -> DataFrame:
-    last = features.last_rounds(p.star.facts)
-    return without_times(features.next_round(p.star.upcoming, last, follow="available"))
+    ahead = features.next_round(p.gold.upcoming, p.gold.last_rounds, follow="available")
+    return without_times(ahead)
 
 
 @query
 def next_round_features(p: Pipeline) -> DataFrame:
-    return rating.rounded(p.next_features, ("EloDiff",), 6)
+    return rating.rounded(p.gold.next_features, ("EloDiff",), 6)
 
 
 @query
 def upcoming_rounds(p: Pipeline) -> DataFrame:
-    return p.star.upcoming.select("SeasonId", "CompetitionId", "RoundOrder").distinct()
+    return p.gold.upcoming.select("SeasonId", "CompetitionId", "RoundOrder").distinct()
 
 
 @query
 def training_frame(p: Pipeline) -> DataFrame:
-    return p.training
+    return p.gold.training
 
 
 @query
@@ -593,21 +588,22 @@ def home_win_model_metrics(p: Pipeline) -> DataFrame:
 
 @query
 def next_round_probabilities(p: Pipeline) -> DataFrame:
-    return model.next_round_probabilities(model.fit_home_win(p.split[0]), p.next_features)
+    return model.next_round_probabilities(model.fit_home_win(p.split[0]), p.gold.next_features)
 
 
 # ---- files, tables, streams --------------------------------------------------------------
 
 
 def _write_csv(df: DataFrame, path: str) -> str:
-    df.write.option("header", True).csv(path)
+    # blanks around names are part of the data
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.options(header=True, **blanks).csv(path)
     return path
 
 
 @query
 def csv_batch_ingest(p: Pipeline) -> DataFrame:
     path = _write_csv(feeds.raw_feed(p.spark, p.sf_dir), new_folder(p.spark, "results-csv"))
-    # blanks around names are part of the data; ids exceed the file schema's int at scale
     return files.read_csv(p.spark, path, schemas.RESULTS)
 
 
@@ -678,7 +674,7 @@ def stream_upcoming(p: Pipeline) -> DataFrame:
 @query
 def gold_after_stream(p: Pipeline) -> DataFrame:
     tables_ = _streamed(p)
-    s = gold.build_star(tables_.results, tables_.upcoming)
+    s = Gold(tables_.results, tables_.upcoming)
     return reports.team_record(s.facts, s.teams)
 
 
