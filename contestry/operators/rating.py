@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from contestry.functions.scoring import actual_score
 from contestry.operators.components import component_labels
 from contestry.operators.star import both_sides
-from contestry.session import materialize
+from contestry.session import materialize, new_folder
 
 # The largest gain per contest, and the gap that means ten-fold odds.
 K_FACTOR = 35.0
@@ -197,33 +197,37 @@ def _home(labels: DataFrame) -> DataFrame:
 def _rate_slices(
     games: DataFrame, teams: DataFrame, state: DataFrame, k: float, scale: float, rows: int
 ) -> DataFrame:
-    """Rate the contests of ``teams`` slice by slice, handing on a table of ratings."""
-    games = materialize(games.join(_home(teams), "HomeTeamId", "left_semi"), "large-games")
+    """Rate the contests of ``teams`` slice by slice, handing on a table of ratings.
+
+    Contests are stored by slice, so that a slice reads its own files only, and the
+    rated slices go into one folder, so that the result is one scan.
+    """
+    spark = games.sparkSession
+    cut = (
+        games.join(_home(teams), "HomeTeamId", "left_semi")
+        .withColumn("_slice", F.floor(F.col("MatchSequence") / rows))
+        .repartitionByRange("MatchSequence")
+    )
+    games = materialize(cut, "large-games", partition_by="_slice")
     state = materialize(
         state.join(teams.select(F.col("node").alias("TeamId")), "TeamId", "left_semi"), "state"
     )
-    span = games.agg(F.min("MatchSequence").alias("first"), F.max("MatchSequence").alias("last")).first()
-    slices = []
-    for start in range(span["first"], span["last"] + 1, rows):
-        part = games.filter(F.col("MatchSequence").between(start, start + rows - 1))
+    span = games.agg(F.min("_slice").alias("first"), F.max("_slice").alias("last")).first()
+    folder = new_folder(spark, "slices")
+    for number in range(span["first"], span["last"] + 1):
+        part = games.filter(F.col("_slice") == number).drop("_slice")
         labels = component_labels(part, "HomeTeamId", "AwayTeamId")
-        slices.append(materialize(_rate_groups(part, labels, state, k, scale), "slice"))
-        latest = latest_ratings(_long(slices[-1], ("MatchSequence",)))
+        rated = _rate_groups(part, labels, state, k, scale)
+        rated.write.parquet(f"{folder}/slice={number}")
+        stored = spark.read.schema(rated.schema).parquet(f"{folder}/slice={number}")
+        latest = latest_ratings(_long(stored, ("MatchSequence",)))
         state = materialize(
             state.join(latest, "TeamId", "left").select(
                 "TeamId", F.coalesce("EloAfter", "Elo").alias("Elo")
             ),
             "state",
         )
-    return _union(slices)
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    """Union as a balanced tree, so that many slices do not make a deep plan."""
-    while len(frames) > 1:
-        pairs = [frames[i : i + 2] for i in range(0, len(frames), 2)]
-        frames = [p[0].unionByName(p[1]) if len(p) == 2 else p[0] for p in pairs]
-    return frames[0]
+    return spark.read.schema(rated.schema).parquet(folder).drop("slice")
 
 
 # ---- shapes of the result ----------------------------------------------------------------

@@ -135,9 +135,22 @@ def multi_competition_teams(facts: DataFrame) -> DataFrame:
 
 
 def outer_match_join(left: DataFrame, right: DataFrame, suffix: str = "_1") -> DataFrame:
-    """Full outer join of two contest tables on MatchId; the right side's columns get a suffix."""
+    """Full outer join of two contest tables on MatchId; the right side's columns get a suffix.
+
+    Rows without an id match nothing but would all meet in one task, so their
+    content serves as a second key that spreads them.
+    """
+
+    def spread(df: DataFrame) -> DataFrame:
+        content = F.when(F.col("MatchId").isNull(), F.xxhash64(*df.columns)).otherwise(0)
+        return df.withColumn("_spread", content)
+
+    left, right = spread(left), spread(right)
     right = right.withColumnsRenamed({c: c + suffix for c in right.columns})
-    return left.join(right, F.col("MatchId") == F.col("MatchId" + suffix), "full")
+    on = (F.col("MatchId") == F.col("MatchId" + suffix)) & (
+        F.col("_spread") == F.col("_spread" + suffix)
+    )
+    return left.join(right, on, "full").drop("_spread", "_spread" + suffix)
 
 
 def drop_suffixed(df: DataFrame, suffix: str = "_1") -> DataFrame:

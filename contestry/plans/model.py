@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contestry.plans.features import FEATURES, LABEL
@@ -22,11 +21,12 @@ class Scaling:
     mean: dict[str, float]
     std: dict[str, float]
 
+    def columns(self) -> dict[str, Column]:
+        """Centred and scaled features; a constant feature is only centred."""
+        return {c: (F.col(c) - self.mean[c]) / (self.std[c] or 1.0) for c in self.mean}
+
     def apply(self, df: DataFrame) -> DataFrame:
-        """Centre and scale; a constant feature is only centred."""
-        return df.withColumns(
-            {c: (F.col(c) - self.mean[c]) / (self.std[c] or 1.0) for c in self.mean}
-        )
+        return df.withColumns(self.columns())
 
 
 def fit_scaling(df: DataFrame, columns: Sequence[str] = FEATURES) -> Scaling:
@@ -40,23 +40,22 @@ def fit_scaling(df: DataFrame, columns: Sequence[str] = FEATURES) -> Scaling:
 
 @dataclass(frozen=True)
 class HomeWinModel:
+    """Fitted model: scaling, weights of the scaled features, intercept."""
+
     scaling: Scaling
-    regression: LogisticRegressionModel
+    weights: dict[str, float]
+    intercept: float
 
     def predict(self, df: DataFrame) -> DataFrame:
-        """``df`` with the home-win probability and the predicted label."""
-        scaled = self.scaling.apply(df.withColumns({f"_raw_{c}": F.col(c) for c in FEATURES}))
-        scored = self.regression.transform(_assembled(scaled))
-        return (
-            scored.withColumns({c: F.col(f"_raw_{c}") for c in FEATURES})
-            .withColumn("HomeWinProb", vector_to_array("probability")[1])
-            .withColumn("prediction", F.col("prediction").cast("int"))
-            .select(*df.columns, "HomeWinProb", "prediction")
-        )
-
+        """``df`` with the home-win probability and the predicted label.
 
-def _assembled(df: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(df)
+        A plain column expression, so scoring stays in generated code.
+        """
+        margin = F.lit(self.intercept)
+        for name, scaled in self.scaling.columns().items():
+            margin = margin + scaled * self.weights[name]
+        scored = df.withColumn("HomeWinProb", 1 / (1 + F.exp(-margin)))
+        return scored.withColumn("prediction", F.when(F.col("HomeWinProb") > 0.5, 1).otherwise(0))
 
 
 def fit_home_win(train: DataFrame, penalty: float = 1.0, max_iter: int = 1000) -> HomeWinModel:
@@ -66,15 +65,17 @@ def fit_home_win(train: DataFrame, penalty: float = 1.0, max_iter: int = 1000) -
     on the summed loss is ``regParam = 1 / (C * rows)``.
     """
     scaling = fit_scaling(train)
-    rows = train.count()
     regression = LogisticRegression(
         labelCol=LABEL,
         maxIter=max_iter,
-        regParam=1.0 / (penalty * rows),
+        regParam=1.0 / (penalty * train.count()),
         elasticNetParam=0.0,
         standardization=False,
     )
-    return HomeWinModel(scaling, regression.fit(_assembled(scaling.apply(train))))
+    assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
+    fitted = regression.fit(assembler.transform(scaling.apply(train)).select("features", LABEL))
+    weights = dict(zip(FEATURES, (float(w) for w in fitted.coefficients)))
+    return HomeWinModel(scaling, weights, float(fitted.intercept))
 
 
 def confusion(predicted: DataFrame) -> DataFrame:

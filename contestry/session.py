@@ -49,13 +49,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/contestry/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as parquet in the shared folder and read it back.
 
     Cuts the lineage and survives lost executors. Unlike ``checkpoint()`` the
     result keeps column pruning, filter pushdown and file-size statistics, on
-    which Spark decides whether a side is small enough to broadcast.
+    which Spark decides whether a side is small enough to broadcast. With
+    ``partition_by`` (the last column) a filter on it reads the matching files only.
     """
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -433,12 +433,9 @@ _QUERIES: dict[str, str] = {
         LEFT JOIN results USING (Result) LEFT JOIN seasons y ON y.SeasonId = f.SeasonId
         LEFT JOIN teams h ON h.TeamId = HomeTeamId LEFT JOIN teams a ON a.TeamId = AwayTeamId
         LEFT JOIN rounds r ON r.RoundId = f.RoundId""",
-    "outer_match_join": """SELECT l.MatchId, l.HomeTeam, l.HomeScore, r.MatchId AS MatchId_1, r.HomeTeam AS HomeTeam_1, r.HomeScore AS HomeScore_1
-        FROM (SELECT MatchId, HomeTeam, HomeScore FROM silver WHERE Season < '1999') l
-        FULL JOIN (SELECT MatchId, HomeTeam, HomeScore FROM silver WHERE Season > '1997') r ON l.MatchId = r.MatchId""",
-    "outer_match_join_left": """SELECT l.MatchId, l.HomeTeam, l.HomeScore
-        FROM (SELECT MatchId, HomeTeam, HomeScore FROM silver WHERE Season < '1999') l
-        FULL JOIN (SELECT MatchId, HomeTeam, HomeScore FROM silver WHERE Season > '1997') r ON l.MatchId = r.MatchId""",
+    "outer_match_join": """SELECT l.MatchId, l.HomeTeam, l.HomeScore, r.MatchId AS MatchId_1, r.HomeTeam AS HomeTeam_1, r.Round AS Round_1
+        FROM silver l FULL JOIN upcoming r ON l.MatchId = r.MatchId""",
+    "outer_match_join_left": """SELECT l.MatchId, l.HomeTeam, l.HomeScore FROM silver l FULL JOIN upcoming r ON l.MatchId = r.MatchId""",
     "home_away_games": """SELECT HomeTeam, home_games, AwayTeam, away_games
         FROM (SELECT HomeTeam, count(*) AS home_games FROM silver GROUP BY ALL)
         JOIN (SELECT AwayTeam, count(*) AS away_games FROM silver GROUP BY ALL) ON HomeTeam = AwayTeam ORDER BY HomeTeam DESC""",
@@ -496,6 +493,8 @@ _QUERIES: dict[str, str] = {
     "team_season_record": """SELECT TeamName AS Team, Season, sum(won)::BIGINT AS Wins, sum(lost)::BIGINT AS Loses, sum(drew)::BIGINT AS Draws
         FROM record JOIN teams USING (TeamId) JOIN seasons USING (SeasonId) GROUP BY ALL ORDER BY Season, Team DESC""",
     "wins_by_team": """SELECT TeamName AS Team, Season, sum(won)::BIGINT AS Wins FROM record JOIN teams USING (TeamId)
+        JOIN seasons USING (SeasonId) GROUP BY ALL""",
+    "wins_of_chosen_teams": """SELECT TeamName AS Team, Season, sum(won)::BIGINT AS Wins FROM record JOIN teams USING (TeamId)
         JOIN seasons USING (SeasonId) WHERE TeamName IN ('nation_3', 'nation_7', 'nation_11') GROUP BY ALL""",
     "round_counts": "SELECT RoundCode, RoundOrder, count(*) AS matches FROM facts GROUP BY ALL ORDER BY RoundOrder NULLS FIRST",
     "home_team_counts": "SELECT HomeTeam, count(*) AS matches FROM silver GROUP BY ALL",
@@ -532,7 +531,7 @@ _QUERIES: dict[str, str] = {
     )
     + ', round(sum("Home3-6sRuckSpeed"), 4) AS ruck, round(sum("TerritoryHomeTry-Line-22m"), 4) AS zone FROM stats',
     "csv_schema_evolution": """SELECT MatchId, HomeTeam, HomeScore, AwayScore, CASE WHEN Season >= '1998' THEN "Date" END AS "Date"
-        FROM feed WHERE Season IS NOT NULL""",
+        FROM feed""",
     "stream_bronze": "SELECT * FROM feed",
     "stream_bronze_to_silver": f"SELECT {_SILVER_COLUMNS} FROM silver",
     "stream_upcoming": """SELECT MatchId, HomeTeam, AwayTeam, Season, Round, "Date", Competition, IsNeutral FROM upcoming""",

@@ -291,21 +291,17 @@ def wide_fact(p: Pipeline) -> DataFrame:
     return star.wide_fact(s.facts, ratings, s.teams, s.seasons, s.rounds, results)
 
 
-def _two_tables(p: Pipeline) -> tuple[DataFrame, DataFrame]:
-    """Overlapping seasons, as two deliveries of one source."""
-    rows = p.results.select("MatchId", "HomeTeam", "HomeScore", "Season")
-    early, late = rows.filter("Season < '1999'"), rows.filter("Season > '1997'")
-    return early.drop("Season"), late.drop("Season")
-
-
 @query
 def outer_match_join(p: Pipeline) -> DataFrame:
-    return reports.outer_match_join(*_two_tables(p))
+    return reports.outer_match_join(
+        p.results.select("MatchId", "HomeTeam", "HomeScore"),
+        p.upcoming.select("MatchId", "HomeTeam", "Round"),
+    )
 
 
 @query
 def outer_match_join_left(p: Pipeline) -> DataFrame:
-    return reports.drop_suffixed(reports.outer_match_join(*_two_tables(p)))
+    return reports.drop_suffixed(outer_match_join(p))
 
 
 @query
@@ -490,8 +486,13 @@ def team_season_record(p: Pipeline) -> DataFrame:
 
 @query
 def wins_by_team(p: Pipeline) -> DataFrame:
-    records = reports.team_season_record(p.gold.facts, p.gold.teams, p.gold.seasons)
-    return reports.wins_by_team(records, ["nation_3", "nation_7", "nation_11"])
+    return reports.wins_by_team(team_season_record(p))
+
+
+@query
+def wins_of_chosen_teams(p: Pipeline) -> DataFrame:
+    # the team filter is the feature
+    return reports.wins_by_team(team_season_record(p), ["nation_3", "nation_7", "nation_11"])
 
 
 @query
@@ -635,7 +636,7 @@ def csv_schema_evolution(p: Pipeline) -> DataFrame:
     raw = feeds.raw_feed(p.spark, p.sf_dir).select(
         "MatchId", "HomeTeam", "HomeScore", "AwayScore", "Season", "Date"
     )
-    early = raw.filter("Season < '1998'").drop("Season", "Date")
+    early = raw.filter("Season < '1998' OR Season IS NULL").drop("Season", "Date")
     late = raw.filter("Season >= '1998'").select("MatchId", "Date", "HomeTeam", "HomeScore", "AwayScore")
     paths = [_write_csv(df, new_folder(p.spark, "drop-csv")) for df in (early, late)]
     return files.read_csv_drops(p.spark, paths, schemas.RESULTS_CORE)
