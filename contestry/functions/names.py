@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contestry.sources.literals import literal
+
 # Spellings of team names and the name each one stands for.
 TEAM_ALIASES = {
     "bath rugby": "bath",
@@ -72,7 +74,7 @@ def replace_names(
     dictionary as a CASE expression compares, and cleans, the value once per alias.)
     """
     if not isinstance(aliases, DataFrame):
-        aliases = df.sparkSession.createDataFrame(list(aliases.items()), "alias string, name string")
+        aliases = literal(df.sparkSession, "alias string, name string", list(aliases.items()))
     for column in columns:
         lookup = aliases.select(
             F.col("alias").alias(f"_alias_{column}"), F.col("name").alias(f"_name_{column}")

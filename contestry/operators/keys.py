@@ -64,6 +64,7 @@ def numbered(
         .withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
         .drop("_rows")
     )
+    offsets = materialize(offsets, f"{name}-offsets")
     return placed.join(F.broadcast(offsets), part == F.col("_part")).select(
         *columns, (F.col("_offset") + place + 1).alias(name)
     )

@@ -94,8 +94,13 @@ def with_start_ratings(
 # ---- the rating pass ---------------------------------------------------------------------
 
 
-def _rating_pass(k: float, scale: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Arrow function over contests sorted by (component, MatchSequence)."""
+def _rating_pass(
+    k: float, scale: float, keep: list[str]
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Arrow function over contests sorted by (component, MatchSequence).
+
+    It appends the four ratings to the columns to ``keep``, which pass as they are.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, rating = None, {}
@@ -119,24 +124,28 @@ def _rating_pass(k: float, scale: float) -> Callable[[Iterator[pa.RecordBatch]],
                 for out, value in zip(elo, (h, h + gain, a, a - gain)):
                     out.append(value)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *(pa.array(column, pa.float64()) for column in elo)],
-                names=[*batch.schema.names, *_ELO_COLUMNS],
+                [*map(batch.column, keep), *(pa.array(column, pa.float64()) for column in elo)],
+                names=[*keep, *_ELO_COLUMNS],
             )
 
     return run
 
 
-def _rate_groups(games: DataFrame, labels: DataFrame, state: DataFrame, k: float, scale: float) -> DataFrame:
-    groups = labels.select(F.col("node").alias("HomeTeamId"), "component")
+def _rate_groups(games: DataFrame, state: DataFrame, k: float, scale: float) -> DataFrame:
+    """Rate contests from a stored table of (TeamId, Elo, component)."""
+    home = state.select(
+        F.col("TeamId").alias("HomeTeamId"), F.col("Elo").alias("HomeStartingElo"), "component"
+    )
+    away = state.select(F.col("TeamId").alias("AwayTeamId"), F.col("Elo").alias("AwayStartingElo"))
     ready = (
-        with_start_ratings(games, state)
-        .join(groups, "HomeTeamId")
+        games.join(home, "HomeTeamId")
+        .join(away, "AwayTeamId")
         .repartition("component")
         .sortWithinPartitions("component", "MatchSequence")
     )
-    schema = T.StructType(ready.schema.fields + [T.StructField(c, T.DoubleType()) for c in _ELO_COLUMNS])
-    rated = ready.mapInArrow(_rating_pass(k, scale), schema)
-    return rated.select(*(c for c in games.columns if c != "_actual"), *_ELO_COLUMNS)
+    kept = [f for f in games.schema.fields if f.name != "_actual"]
+    schema = T.StructType(kept + [T.StructField(c, T.DoubleType()) for c in _ELO_COLUMNS])
+    return ready.mapInArrow(_rating_pass(k, scale, [f.name for f in kept]), schema)
 
 
 def rate(
@@ -155,77 +164,69 @@ def rate(
     rating get ``default_start``, or NaN, which then spreads, if that is None too.
     """
     games = materialize(sequence.withColumn("_actual", actual_score()), "games")
-    labels = component_labels(games, "HomeTeamId", "AwayTeamId")
-    state = labels.select(F.col("node").alias("TeamId"))
+    state = component_labels(games, "HomeTeamId", "AwayTeamId").withColumnRenamed("node", "TeamId")
     if base is None:
         state = state.withColumn("Elo", F.lit(default_start).cast("double"))
     else:
         state = state.join(base.select("TeamId", F.col("Elo").cast("double")), "TeamId", "left")
         if default_start is not None:
             state = state.fillna(default_start, "Elo")
+    state = materialize(state, "state")
 
-    large = _large_groups(games, labels, group_rows)
+    large = _large_groups(games, state, group_rows)
     if large is None:
-        rated = _rate_groups(games, labels, state, k, scale)
+        rated = _rate_groups(games, state, k, scale)
     else:
-        large_teams = materialize(labels.join(large, "component", "left_semi"), "large")
-        small = labels.join(large, "component", "left_anti")
-        rated = _rate_slices(games, large_teams, state, k, scale, group_rows)
-        rated = rated.unionByName(
-            _rate_groups(games.join(_home(small), "HomeTeamId", "left_semi"), small, state, k, scale)
-        )
+        small_state = materialize(state.join(large, "component", "left_anti"), "state")
+        large_state = materialize(state.join(large, "component", "left_semi"), "state")
+        rated = _rate_slices(games, large_state, k, scale, group_rows)
+        rated = rated.unionByName(_rate_groups(games, small_state, k, scale))
     return rated.withColumns(
         {f"{s}EloChange": F.col(f"{s}EloAfter") - F.col(f"{s}EloBefore") for s in ("Home", "Away")}
     )
 
 
-def _large_groups(games: DataFrame, labels: DataFrame, group_rows: int) -> DataFrame | None:
+def _large_groups(games: DataFrame, state: DataFrame, group_rows: int) -> DataFrame | None:
     """Components of more than ``group_rows`` contests; None if there are none."""
     if games.count() <= group_rows:
         return None
-    sizes = games.join(labels, F.col("HomeTeamId") == F.col("node")).groupBy("component").agg(
-        F.count("*").alias("rows")
-    )
+    sizes = games.join(_home(state), "HomeTeamId").groupBy("component").agg(F.count("*").alias("rows"))
     large = materialize(sizes.filter(F.col("rows") > group_rows), "large-groups")
     return None if large.isEmpty() else large
 
 
-def _home(labels: DataFrame) -> DataFrame:
-    return labels.select(F.col("node").alias("HomeTeamId"))
+def _home(state: DataFrame) -> DataFrame:
+    return state.select(F.col("TeamId").alias("HomeTeamId"), "component")
 
 
-def _rate_slices(
-    games: DataFrame, teams: DataFrame, state: DataFrame, k: float, scale: float, rows: int
-) -> DataFrame:
-    """Rate the contests of ``teams`` slice by slice, handing on a table of ratings.
+def _rate_slices(games: DataFrame, state: DataFrame, k: float, scale: float, rows: int) -> DataFrame:
+    """Rate the contests of the teams in ``state`` slice by slice, handing on their ratings.
 
     Contests are stored by slice, so that a slice reads its own files only, and the
     rated slices go into one folder, so that the result is one scan.
     """
     spark = games.sparkSession
     cut = (
-        games.join(_home(teams), "HomeTeamId", "left_semi")
+        games.join(_home(state), "HomeTeamId", "left_semi")
         .withColumn("_slice", F.floor(F.col("MatchSequence") / rows))
         .repartitionByRange("MatchSequence")
     )
     games = materialize(cut, "large-games", partition_by="_slice")
-    state = materialize(
-        state.join(teams.select(F.col("node").alias("TeamId")), "TeamId", "left_semi"), "state"
-    )
+    ratings = state.drop("component")
     span = games.agg(F.min("_slice").alias("first"), F.max("_slice").alias("last")).first()
     folder = new_folder(spark, "slices")
     for number in range(span["first"], span["last"] + 1):
         part = games.filter(F.col("_slice") == number).drop("_slice")
-        labels = component_labels(part, "HomeTeamId", "AwayTeamId")
-        rated = _rate_groups(part, labels, state, k, scale)
+        labels = component_labels(part, "HomeTeamId", "AwayTeamId").withColumnRenamed("node", "TeamId")
+        rated = _rate_groups(part, materialize(labels.join(ratings, "TeamId"), "state"), k, scale)
         rated.write.parquet(f"{folder}/slice={number}")
         stored = spark.read.schema(rated.schema).parquet(f"{folder}/slice={number}")
         latest = latest_ratings(_long(stored, ("MatchSequence",)))
-        state = materialize(
-            state.join(latest, "TeamId", "left").select(
+        ratings = materialize(
+            ratings.join(latest, "TeamId", "left").select(
                 "TeamId", F.coalesce("EloAfter", "Elo").alias("Elo")
             ),
-            "state",
+            "ratings",
         )
     return spark.read.schema(rated.schema).parquet(folder).drop("slice")
 
@@ -265,8 +266,9 @@ def fact_ratings(
     group_rows: int = 10_000_000,
 ) -> DataFrame:
     """Rating table: one row per contest and team, before / after / change."""
-    rated = rate(sequence, base, k=k, default_start=default_start, group_rows=group_rows)
     carry = ("MatchKey", "MatchSequence", "CompetitionId", "SeasonId", "RoundOrder", "Date")
+    games = sequence.select(*carry, "HomeTeamId", "AwayTeamId", "Result")
+    rated = rate(games, base, k=k, default_start=default_start, group_rows=group_rows)
     return rounded(_long(rated, carry), ("EloBefore", "EloAfter", "EloChange"), digits)
 
 

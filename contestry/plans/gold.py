@@ -125,11 +125,11 @@ class Gold:
 
     @cached_property
     def latest(self) -> DataFrame:
-        return rating.latest_ratings(self.ratings)
+        return materialize(rating.latest_ratings(self.ratings), "latest")
 
     @cached_property
     def last_rounds(self) -> DataFrame:
-        return features.last_rounds(self.facts)
+        return materialize(features.last_rounds(self.facts), "last-rounds")
 
     @cached_property
     def next_features(self) -> DataFrame:
