@@ -113,16 +113,18 @@ def unmatched(
     return counts.unpivot([], list(lookups), "dimension", "rows")
 
 
+# Order in which contests are rated, and the order by season and round code as text.
 SEQUENCE_ORDER = ("SeasonId", "Date", "RoundOrder", "MatchKey")
+ROUND_TEXT_ORDER = ("SeasonId", "RoundCode", "MatchKey")
 
 
-def match_sequence(facts: DataFrame) -> DataFrame:
-    """The order in which contests are rated, as a dense MatchSequence."""
+def match_sequence(facts: DataFrame, order: Sequence[str] = SEQUENCE_ORDER) -> DataFrame:
+    """A dense MatchSequence in the given order, which must end in a unique column."""
     columns = (
         "MatchKey", "HomeTeamId", "AwayTeamId", "SeasonId", "CompetitionId", "RoundOrder",
         "RoundCode", "Date", "Result",
     )
-    return numbered(facts.select(*columns), "MatchSequence", SEQUENCE_ORDER, unique=True)
+    return numbered(facts.select(*columns), "MatchSequence", order, unique=True)
 
 
 def wide_fact(

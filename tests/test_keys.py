@@ -32,7 +32,8 @@ def test_copies_spread_over_partitions(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
     try:
         out = numbered(df.repartition(4), "n", ["a"])
-        files = spark.read.parquet(*out.inputFiles()).groupBy("_metadata.file_path").count()
+        data = [f for f in out.inputFiles() if "-offsets-" not in f]
+        files = spark.read.parquet(*data).groupBy("_metadata.file_path").count()
         sizes = [r["count"] for r in files.collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", True)

@@ -208,6 +208,12 @@ _BLOCKS["flat"] = "SELECT TeamId, 1500::DOUBLE AS Elo FROM teams"
 _recursion("elo", 35, "games", "started")
 _recursion("elo20", 20, "games", "started")
 _recursion("eloflat", 35, "games", "flat")
+_BLOCKS["text_sequence"] = """
+SELECT MatchKey, row_number() OVER (ORDER BY SeasonId, RoundCode NULLS FIRST, MatchKey) AS MatchSequence FROM facts"""
+_BLOCKS["text_games"] = """
+SELECT t.MatchSequence, HomeTeamId, AwayTeamId, actual
+FROM text_sequence t JOIN sequence q USING (MatchKey) JOIN (SELECT MatchSequence, actual FROM games) g ON g.MatchSequence = q.MatchSequence"""
+_recursion("elotext", 35, "text_games", "flat")
 for _name in ("elo", "elo20"):
     _BLOCKS[f"{_name}_long"] = _both_teams(_name)
 
@@ -456,6 +462,8 @@ _QUERIES: dict[str, str] = {
     "rating_unrounded_k": """SELECT MatchKey, MatchSequence, TeamId, OpponentId, round(EloBefore, 6) AS EloBefore,
         round(EloAfter, 6) AS EloAfter, round(EloChange, 6) AS EloChange FROM elo20_long""",
     "rating_flat_start_wide": f"""SELECT q.*, {_FLAT_COLUMNS} FROM sequence q JOIN eloflat_wide USING (MatchSequence)""",
+    "rating_by_round_text": """SELECT MatchKey, MatchSequence, round(HomeEloAfter, 1) AS HomeEloAfter, round(AwayEloAfter, 1) AS AwayEloAfter
+        FROM text_sequence JOIN elotext_wide USING (MatchSequence)""",
     "rating_many_teams": _CUSTOMER_RATINGS,
     "rating_sliced": _CUSTOMER_RATINGS,
     "rating_history": """SELECT TeamId, row_number() OVER (PARTITION BY TeamId ORDER BY MatchSequence) AS Entry, MatchSequence, EloAfter

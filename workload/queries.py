@@ -380,6 +380,12 @@ def rating_flat_start_wide(p: Pipeline) -> DataFrame:
     return rating.flat_start(p.gold.sequence)
 
 
+@query
+def rating_by_round_text(p: Pipeline) -> DataFrame:
+    sequence = star.match_sequence(p.gold.facts, star.ROUND_TEXT_ORDER)
+    return rating.flat_start(sequence).select("MatchKey", "MatchSequence", "HomeEloAfter", "AwayEloAfter")
+
+
 _WIDE = ("HomeEloBefore", "HomeEloAfter", "AwayEloBefore", "AwayEloAfter")
 
 
