@@ -32,6 +32,9 @@ from contestry.session import materialize, new_folder
 K_FACTOR = 35.0
 SCALE = 400.0
 
+_ELO_INPUTS = (
+    "component", "HomeTeamId", "AwayTeamId", "HomeStartingElo", "AwayStartingElo", "_actual",
+)
 _ELO_COLUMNS = ("HomeEloBefore", "HomeEloAfter", "AwayEloBefore", "AwayEloAfter")
 
 
@@ -104,25 +107,22 @@ def _rating_pass(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, rating = None, {}
-        nan = float("nan")
         for batch in batches:
-            inputs = (
-                batch.column(name).to_pylist()
-                for name in (
-                    "component", "HomeTeamId", "AwayTeamId", "HomeStartingElo",
-                    "AwayStartingElo", "_actual",
-                )
-            )
-            elo = [[], [], [], []]
+            # numpy turns a missing start rating into NaN, and lists quickly
+            inputs = (batch.column(c).to_numpy(zero_copy_only=False).tolist() for c in _ELO_INPUTS)
+            home_before, home_after, away_before, away_after = [], [], [], []
             for component, home, away, home_start, away_start, actual in zip(*inputs):
                 if component != group:
                     group, rating = component, {}
-                h = rating.get(home, nan if home_start is None else home_start)
-                a = rating.get(away, nan if away_start is None else away_start)
+                h, a = rating.get(home, home_start), rating.get(away, away_start)
                 gain = k * (actual - 1 / (1 + 10 ** ((a - h) / scale)))
-                rating[home], rating[away] = h + gain, a - gain
-                for out, value in zip(elo, (h, h + gain, a, a - gain)):
-                    out.append(value)
+                home_before.append(h)
+                away_before.append(a)
+                rating[home] = h = h + gain
+                rating[away] = a = a - gain
+                home_after.append(h)
+                away_after.append(a)
+            elo = (home_before, home_after, away_before, away_after)
             yield pa.RecordBatch.from_arrays(
                 [*map(batch.column, keep), *(pa.array(column, pa.float64()) for column in elo)],
                 names=[*keep, *_ELO_COLUMNS],
