@@ -44,7 +44,7 @@ def run(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
     spark = local_session(cpus)
     spark.sparkContext.setLogLevel("ERROR")
