@@ -4,19 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from contestry.llm import exact_names, licenses, mixture
+from contestry.llm import decontaminate, exact_names, licenses, mixture, near_dups, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicate_report(_table(spark, sf_dir, "documents"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination_report(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_names.duplicate_classes(_table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
+    path = tokenizer_path or public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.token_report(_table(spark, sf_dir, "documents"), path)
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix_report(_table(spark, sf_dir, "documents"))
 
@@ -26,7 +42,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_exact_dedup, op9_source_mix, op10_license_scan)
+    f.__name__: f for f in (op2_near_duplicates, op3_decontamination, op6_exact_dedup, op7_token_counts, op9_source_mix, op10_license_scan)
 }
 
 ORACLE_SQL: dict[str, str] = {}
