@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from contestry.llm import decontaminate, exact_names, licenses, mixture, near_dups, token_counts
+from contestry.llm import decontaminate, exact_names, licenses, mixture, near_dups, suffix_spans, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_spans.repeat_report(_table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_names.duplicate_classes(_table(spark, sf_dir, "documents"))
 
@@ -42,7 +46,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_near_duplicates, op3_decontamination, op6_exact_dedup, op7_token_counts, op9_source_mix, op10_license_scan)
+    f.__name__: f for f in (op2_near_duplicates, op3_decontamination, op4_repeated_spans, op6_exact_dedup, op7_token_counts, op9_source_mix, op10_license_scan)
 }
 
 ORACLE_SQL: dict[str, str] = {}
