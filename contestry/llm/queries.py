@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from contestry.llm import decontaminate, exact_names, licenses, mixture, near_dups, suffix_spans, token_counts
+from contestry.llm import decontaminate, exact_names, licenses, mixture, near_dups, preferences, private_crf, quality_lm, suffix_spans, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_lm.quality_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicate_report(_table(spark, sf_dir, "documents"))
 
@@ -28,6 +32,10 @@ def op4_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_spans.repeat_report(_table(spark, sf_dir, "documents"))
 
 
+def op5_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preferences.preference_report(_table(spark, sf_dir, "conversations"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_names.duplicate_classes(_table(spark, sf_dir, "documents"))
 
@@ -37,6 +45,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str, tokenizer_path: str | Non
     return token_counts.token_report(_table(spark, sf_dir, "documents"), path)
 
 
+def op8_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_crf.private_report(_table(spark, sf_dir, "documents"))
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix_report(_table(spark, sf_dir, "documents"))
 
@@ -46,7 +58,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_near_duplicates, op3_decontamination, op4_repeated_spans, op6_exact_dedup, op7_token_counts, op9_source_mix, op10_license_scan)
+    f.__name__: f for f in (op1_quality_classifier, op2_near_duplicates, op3_decontamination, op4_repeated_spans, op5_preference_pairs, op6_exact_dedup, op7_token_counts, op8_private_data, op9_source_mix, op10_license_scan)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_preference_pairs": preferences.PREFERENCE_SQL}
