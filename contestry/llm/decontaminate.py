@@ -166,7 +166,7 @@ def cut_contaminated(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """All documents, with the words of hits, and what stands between them, cut out of the text."""
-    at = docs.columns.index("text")
+    names, at = docs.columns, docs.columns.index("text")
     whole = docs.select("doc_id", "text", F.struct("*").alias("_doc"))
     found = _scanned(whole, benchmark, window, block_bytes)
 
@@ -176,7 +176,7 @@ def cut_contaminated(
             texts, spans = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
             kept = [_without(t, s) if s else t for t, s in zip(texts, spans)]
             rows[at] = pa.array(kept, rows[at].type)
-            yield pa.RecordBatch.from_arrays(rows, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(rows, names=names)
 
     return found.mapInArrow(cut, docs.schema)
 
