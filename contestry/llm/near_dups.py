@@ -4,7 +4,9 @@ Documents are sets of word shingles. Independent trees branch them by minwise
 tokens: at a node the documents with the same least token under the node's hash
 go to the same child. Small nodes are compared exhaustively on full sets; large
 ones branch again. A pair of similarity s meets in a tree's first node with
-probability s, so all trees miss it with (1 - s) ** TREES: below 1e-11 at 0.8.
+probability s, so all trees miss it with (1 - s) ** TREES: below 1e-13 at 0.8. In a
+node at depth d it is s ** d: below 1e-6 for the third, which takes 512 documents
+that agree twice.
 
 Nothing lists all pairs of a group. A node gives a spanning forest of its links,
 and nodes whose documents are known to be connected are not compared at all.
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,16 +30,15 @@ from contestry.session import materialize
 
 WORDS = 4
 PERCENT = 80
-TREES = 16
+TREES = 20
 #: trees whose nodes are compared first; what they link needs no comparison in the others
 FIRST_TREES = 2
 #: minwise hashes: one for the root of each tree, the rest for deeper nodes
 HASHES = 64
-#: hashes that each deeper node branches by, so that a close pair rarely parts
-BRANCHES = 2
-DEPTH = 3
 #: documents that one task compares at once
 BLOCK = 128
+#: a node branches if it is larger; what is left at the last depth is compared by blocks
+LARGEST = (2 * BLOCK, 4 * BLOCK, 16 * BLOCK, 128 * BLOCK, 1024 * BLOCK)
 
 _SEEDS = tx.mixed(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTORS, _MASKS = _SEEDS[:HASHES] | np.uint64(1), _SEEDS[HASHES:]
@@ -106,33 +108,27 @@ def profiles(docs: DataFrame, k: int = WORDS) -> DataFrame:
 def _nodes(sets: DataFrame) -> DataFrame:
     """(tree, node, v, large): the leaves of all trees that hold two sets at least.
 
-    A node of more than 2 * BLOCK sets branches again, down to DEPTH.
+    Each deeper node branches by a hash of its own. The larger a node, the deeper
+    its leaves: a pair parts with probability 1 - s at each step, while documents
+    that only share some passage part almost surely.
     """
     root = F.posexplode(F.slice("mins", 1, TREES)).alias("tree", "token")
-    rows = sets.select("v", "mins", root).select(
-        "tree", F.xxhash64("tree", "token").alias("node"), "v", "mins"
-    )
+    rows = sets.select("v", root).select("tree", F.xxhash64("tree", "token").alias("node"), "v")
     leaves = []
-    for depth in range(1, DEPTH + 1):
+    for depth, largest in enumerate((*LARGEST, None)):
         sizes = rows.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
-        sized = materialize(rows.join(sizes, "node"), f"level{depth}")
-        small = F.col("size") <= 2 * BLOCK
-        leaf = sized if depth == DEPTH else sized.filter(small)
-        leaves.append(leaf.select("tree", "node", "v", (~small).alias("large")))
-        large = sized.filter(~small)
-        if depth == DEPTH or large.isEmpty():
+        sized = materialize(rows.join(sizes, "node"), f"depth{depth}")
+        leaf = sized.filter(F.col("size") <= largest) if largest else sized
+        leaves.append(leaf.select("tree", "node", "v", (F.col("size") > 2 * BLOCK).alias("large")))
+        if not largest:
             break
-        chosen = [
-            (F.pmod(F.xxhash64("node", F.lit(b)), F.lit(HASHES - TREES)) + TREES + 1).cast("int") for b in range(BRANCHES)
-        ]
-        token = F.explode(F.array(*(F.struct(F.lit(b).alias("b"), F.element_at("mins", c).alias("token")) for b, c in enumerate(chosen))))
-        rows = large.select("tree", "node", "v", "mins", token.alias("t")).select(
-            "tree", F.xxhash64("node", "t.b", "t.token").alias("node"), "v", "mins"
-        )
-    out = leaves[0]
-    for leaf in leaves[1:]:
-        out = out.unionByName(leaf)
-    return out
+        inner = sized.filter(F.col("size") > largest)
+        if inner.isEmpty():
+            break
+        chosen = (F.pmod(F.xxhash64("node"), F.lit(HASHES - TREES)) + TREES + 1).cast("int")
+        token = F.element_at("mins", chosen)
+        rows = inner.join(sets.select("v", "mins"), "v").select("tree", F.xxhash64("node", token).alias("node"), "v")
+    return reduce(DataFrame.unionByName, leaves)
 
 
 def _by_group(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -219,8 +215,8 @@ def _dealt(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
     )
     stats = materialize(stats.filter("components > 1"), "nodes-open")
     rows = known.join(stats, "node")
-    others = F.ceil((F.col("size") - F.col("top.c")) / BLOCK).cast("int")
-    tops = F.ceil(F.col("top.c") / BLOCK).cast("int")
+    others = F.ceil((F.col("size") - F.col("top.c")) / (2 * BLOCK)).cast("int")
+    tops = F.ceil(F.col("top.c") / (2 * BLOCK)).cast("int")
     place = lambda n: F.pmod(F.xxhash64("v"), n).cast("int")
     pair = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
     zero = F.lit(0)
