@@ -14,11 +14,7 @@ _ROW_BITS = 33
 
 
 def numbered(
-    df: DataFrame,
-    name: str,
-    order: Sequence[str | Column],
-    unique: bool = False,
-    window_rows: int = 0,
+    df: DataFrame, name: str, order: Sequence[str | Column], unique: bool = False
 ) -> DataFrame:
     """Add ``name`` = row number over the whole table, without a one-task window.
 
@@ -26,33 +22,24 @@ def numbered(
     written once; a row's number is its place in its partition plus the rows of
     all earlier partitions. Only one row per partition is broadcast.
 
-    ``unique=True`` says that the order columns are a key. If they are not, the
-    input is written first and ties are broken by the row's place in the file,
-    so that even a large group of equal rows spreads over many partitions and a
-    repeated task numbers its rows the same way again.
-
-    A table of at most ``window_rows`` rows takes the plain window instead.
+    ``unique=True`` says that the order columns are a key. If they are not, ties
+    are broken by a hash of the whole row, then by its columns, so the same rows
+    get the same numbers in every run. Rows that are equal in all columns are
+    counted before the shuffle and dealt out again by their copy number, so even a
+    large group of them spreads over many partitions.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order]
-    tie_break: list[str] = []
-    if window_rows or not unique:
-        df = materialize(df, f"{name}-input")
     columns = df.columns
-    if window_rows and df.count() <= window_rows:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
     if not unique:
-        tie_break = ["_file", "_row"]
-        df = df.select(
-            "*",
-            F.xxhash64("_metadata.file_path").alias("_file"),
-            F.col("_metadata.row_index").alias("_row"),
-        )
+        copies = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
+        df = copies.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("_copy"))
+        order = [*order, F.xxhash64(*columns), *columns, F.col("_copy")]
 
     placed = materialize(
-        df.repartitionByRange(*order, *tie_break)
-        .sortWithinPartitions(*order, *tie_break)
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .withColumn("_slot", F.monotonically_increasing_id())
-        .drop(*tie_break),
+        .select(*columns, "_slot"),
         name,
     )
     part = F.shiftright("_slot", _ROW_BITS)
@@ -70,8 +57,6 @@ def numbered(
     )
 
 
-def dimension(names: DataFrame, id_name: str, window_rows: int = 100_000) -> DataFrame:
+def dimension(names: DataFrame, id_name: str) -> DataFrame:
     """Distinct rows of a one-column table with a surrogate id in name order."""
-    return numbered(
-        names.distinct(), id_name, names.columns, unique=True, window_rows=window_rows
-    )
+    return numbered(names.distinct(), id_name, names.columns, unique=True)

@@ -1,17 +1,16 @@
 """Sequential Elo ratings, exact, on Spark.
 
-Every rating depends on the previous contest of both teams, so contests of teams
-that never meet, directly or through others, are independent of each other. The
-rating therefore runs per connected group of teams:
-
-* groups of at most ``group_rows`` contests are rated in one pass: partition by
-  group, sort by sequence inside the partitions, stream through Python;
-* larger groups are rated in slices of at most ``group_rows`` sequence numbers.
-  A slice falls apart into groups of its own, runs like the above, and hands the
-  teams' ratings to the next slice as a stored table.
-
-So no task holds more than ``group_rows`` contests however skewed the teams are,
-and its memory is one Arrow batch plus one rating per team of the group.
+Every rating depends on the previous contest of both teams. The sequence is cut
+into slices of about a quarter as many contests as there are teams; then the
+contests of a slice fall into many small groups of teams that don't meet in it,
+however connected the teams are as a whole. Groups of all slices are labelled at
+once. A slice is rated by one partitioned pass, group by group in sequence order,
+and hands the teams' ratings to the next one as a stored table.
+
+So no task holds more contests than a slice, memory is one Arrow batch plus the
+ratings of one group, and a failure repeats part of one slice. With few teams the
+chain of contests is sequential whatever the plan; a slice then holds
+``LEAST_ROWS`` contests, which take one task less time than a Spark job.
 """
 
 from __future__ import annotations
@@ -32,6 +31,10 @@ from contestry.session import materialize, new_folder
 K_FACTOR = 35.0
 SCALE = 400.0
 
+# Teams per contest of a slice, and the least contests of one.
+TEAMS_PER_CONTEST = 4
+LEAST_ROWS = 50_000
+
 _ELO_INPUTS = (
     "component", "HomeTeamId", "AwayTeamId", "HomeStartingElo", "AwayStartingElo", "_actual",
 )
@@ -132,22 +135,40 @@ def _rating_pass(
 
 
 def _rate_groups(games: DataFrame, state: DataFrame, k: float, scale: float) -> DataFrame:
-    """Rate contests from a stored table of (TeamId, Elo, component)."""
-    home = state.select(
-        F.col("TeamId").alias("HomeTeamId"), F.col("Elo").alias("HomeStartingElo"), "component"
+    """Rate contests, labelled by component, from a stored table of (TeamId, Elo)."""
+    home, away = (
+        state.select(F.col("TeamId").alias(f"{s}TeamId"), F.col("Elo").alias(f"{s}StartingElo"))
+        for s in ("Home", "Away")
     )
-    away = state.select(F.col("TeamId").alias("AwayTeamId"), F.col("Elo").alias("AwayStartingElo"))
     ready = (
         games.join(home, "HomeTeamId")
         .join(away, "AwayTeamId")
         .repartition("component")
         .sortWithinPartitions("component", "MatchSequence")
     )
-    kept = [f for f in games.schema.fields if f.name != "_actual"]
+    kept = [f for f in games.schema.fields if f.name not in ("_actual", "component")]
     schema = T.StructType(kept + [T.StructField(c, T.DoubleType()) for c in _ELO_COLUMNS])
     return ready.mapInArrow(_rating_pass(k, scale, [f.name for f in kept]), schema)
 
 
+def _sliced(games: DataFrame, rows: int) -> DataFrame:
+    """Contests stored by slice, with the group of teams each belongs to in its slice.
+
+    The teams of every slice are nodes of their own, so one run of the component
+    labels serves all slices.
+    """
+    cut = games.withColumn("_slice", F.floor((F.col("MatchSequence") - 1) / rows))
+    node = lambda team: F.struct("_slice", F.col(team).alias("team"))
+    edges = cut.select(node("HomeTeamId").alias("home"), node("AwayTeamId").alias("away"))
+    labels = component_labels(edges, "home", "away").select(
+        F.col("node._slice").alias("_slice"),
+        F.col("node.team").alias("HomeTeamId"),
+        F.col("component.team").alias("component"),
+    )
+    labelled = cut.join(labels, ["_slice", "HomeTeamId"]).select(*games.columns, "component", "_slice")
+    return materialize(labelled.repartitionByRange("MatchSequence"), "slices", partition_by="_slice")
+
+
 def rate(
     sequence: DataFrame,
     base: DataFrame | None = None,
@@ -155,82 +176,45 @@ def rate(
     k: float = K_FACTOR,
     scale: float = SCALE,
     default_start: float | None = None,
-    group_rows: int = 10_000_000,
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """Rate all contests in sequence; one row per contest, not rounded.
 
-    ``sequence`` needs MatchSequence (unique), HomeTeamId, AwayTeamId and Result;
-    other columns pass through. ``base`` holds (TeamId, Elo); teams without a start
-    rating get ``default_start``, or NaN, which then spreads, if that is None too.
+    ``sequence`` needs MatchSequence (unique, from 1), HomeTeamId, AwayTeamId and
+    Result; other columns pass through. ``base`` holds (TeamId, Elo); teams without
+    a start rating get ``default_start``, or NaN, which then spreads, if that is None
+    too. ``slice_rows`` sets the contests of a slice; the ratings don't depend on it.
     """
-    games = materialize(sequence.withColumn("_actual", actual_score()), "games")
-    state = component_labels(games, "HomeTeamId", "AwayTeamId").withColumnRenamed("node", "TeamId")
+    spark = sequence.sparkSession
+    teams = both_sides(sequence, "HomeTeamId", "AwayTeamId", "TeamId").distinct()
     if base is None:
-        state = state.withColumn("Elo", F.lit(default_start).cast("double"))
+        state = teams.withColumn("Elo", F.lit(default_start).cast("double"))
     else:
-        state = state.join(base.select("TeamId", F.col("Elo").cast("double")), "TeamId", "left")
+        state = teams.join(base.select("TeamId", F.col("Elo").cast("double")), "TeamId", "left")
         if default_start is not None:
             state = state.fillna(default_start, "Elo")
     state = materialize(state, "state")
-
-    large = _large_groups(games, state, group_rows)
-    if large is None:
-        rated = _rate_groups(games, state, k, scale)
-    else:
-        small_state = materialize(state.join(large, "component", "left_anti"), "state")
-        large_state = materialize(state.join(large, "component", "left_semi"), "state")
-        rated = _rate_slices(games, large_state, k, scale, group_rows)
-        rated = rated.unionByName(_rate_groups(games, small_state, k, scale))
+    rows = slice_rows or max(state.count() // TEAMS_PER_CONTEST, LEAST_ROWS)
+    games = _sliced(sequence.withColumn("_actual", actual_score()), rows)
+    folder = new_folder(spark, "rated")
+    part = games.drop("_slice")
+    rated = _rate_groups(part, state, k, scale)
+    slices = sorted(r["_slice"] for r in games.select("_slice").distinct().collect())  # one row per slice
+    for number in slices:
+        part = games.filter(F.col("_slice") == number).drop("_slice")
+        _rate_groups(part, state, k, scale).write.parquet(f"{folder}/slice={number}")
+        if number != slices[-1]:
+            stored = spark.read.schema(rated.schema).parquet(f"{folder}/slice={number}")
+            latest = latest_ratings(_long(stored, ("MatchSequence",)))
+            handed = state.join(latest, "TeamId", "left")
+            state = materialize(handed.select("TeamId", F.coalesce("EloAfter", "Elo").alias("Elo")), "state")
+    if slices:
+        rated = spark.read.schema(rated.schema).parquet(folder).drop("slice")
     return rated.withColumns(
         {f"{s}EloChange": F.col(f"{s}EloAfter") - F.col(f"{s}EloBefore") for s in ("Home", "Away")}
     )
 
 
-def _large_groups(games: DataFrame, state: DataFrame, group_rows: int) -> DataFrame | None:
-    """Components of more than ``group_rows`` contests; None if there are none."""
-    if games.count() <= group_rows:
-        return None
-    sizes = games.join(_home(state), "HomeTeamId").groupBy("component").agg(F.count("*").alias("rows"))
-    large = materialize(sizes.filter(F.col("rows") > group_rows), "large-groups")
-    return None if large.isEmpty() else large
-
-
-def _home(state: DataFrame) -> DataFrame:
-    return state.select(F.col("TeamId").alias("HomeTeamId"), "component")
-
-
-def _rate_slices(games: DataFrame, state: DataFrame, k: float, scale: float, rows: int) -> DataFrame:
-    """Rate the contests of the teams in ``state`` slice by slice, handing on their ratings.
-
-    Contests are stored by slice, so that a slice reads its own files only, and the
-    rated slices go into one folder, so that the result is one scan.
-    """
-    spark = games.sparkSession
-    cut = (
-        games.join(_home(state), "HomeTeamId", "left_semi")
-        .withColumn("_slice", F.floor(F.col("MatchSequence") / rows))
-        .repartitionByRange("MatchSequence")
-    )
-    games = materialize(cut, "large-games", partition_by="_slice")
-    ratings = state.drop("component")
-    span = games.agg(F.min("_slice").alias("first"), F.max("_slice").alias("last")).first()
-    folder = new_folder(spark, "slices")
-    for number in range(span["first"], span["last"] + 1):
-        part = games.filter(F.col("_slice") == number).drop("_slice")
-        labels = component_labels(part, "HomeTeamId", "AwayTeamId").withColumnRenamed("node", "TeamId")
-        rated = _rate_groups(part, materialize(labels.join(ratings, "TeamId"), "state"), k, scale)
-        rated.write.parquet(f"{folder}/slice={number}")
-        stored = spark.read.schema(rated.schema).parquet(f"{folder}/slice={number}")
-        latest = latest_ratings(_long(stored, ("MatchSequence",)))
-        ratings = materialize(
-            ratings.join(latest, "TeamId", "left").select(
-                "TeamId", F.coalesce("EloAfter", "Elo").alias("Elo")
-            ),
-            "ratings",
-        )
-    return spark.read.schema(rated.schema).parquet(folder).drop("slice")
-
-
 # ---- shapes of the result ----------------------------------------------------------------
 
 
@@ -256,19 +240,9 @@ def rounded(df: DataFrame, columns: tuple[str, ...], digits: int | None) -> Data
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-def fact_ratings(
-    sequence: DataFrame,
-    base: DataFrame | None = None,
-    *,
-    k: float = K_FACTOR,
-    default_start: float | None = None,
-    digits: int | None = 2,
-    group_rows: int = 10_000_000,
-) -> DataFrame:
-    """Rating table: one row per contest and team, before / after / change."""
+def fact_ratings(rated: DataFrame, digits: int | None = 2) -> DataFrame:
+    """Rating table from rated contests: one row per contest and team, before / after / change."""
     carry = ("MatchKey", "MatchSequence", "CompetitionId", "SeasonId", "RoundOrder", "Date")
-    games = sequence.select(*carry, "HomeTeamId", "AwayTeamId", "Result")
-    rated = rate(games, base, k=k, default_start=default_start, group_rows=group_rows)
     return rounded(_long(rated, carry), ("EloBefore", "EloAfter", "EloChange"), digits)
 
 

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contestry.functions.scoring import AWAY_WIN, DRAW, HOME_WIN
+from contestry.operators.quality import CONTEST_KEY
 from contestry.operators.star import both_sides
 
 
@@ -134,25 +137,32 @@ def multi_competition_teams(facts: DataFrame) -> DataFrame:
     )
 
 
-def outer_match_join(left: DataFrame, right: DataFrame, suffix: str = "_1") -> DataFrame:
-    """Full outer join of two contest tables on MatchId; the right side's columns get a suffix.
+def outer_match_join(
+    left: DataFrame, right: DataFrame, suffix: str = "_1", key: Sequence[str] = CONTEST_KEY
+) -> DataFrame:
+    """Full outer join of two contest tables on a key; the right side's columns get a suffix.
 
-    Rows without an id match nothing but would all meet in one task, so their
-    content serves as a second key that spreads them.
+    The key should tell contests apart; ids restart in every file and don't. Rows
+    that lack part of the key match nothing but would all meet in one task, so
+    their content serves as a second key that spreads them.
     """
 
     def spread(df: DataFrame) -> DataFrame:
-        content = F.when(F.col("MatchId").isNull(), F.xxhash64(*df.columns)).otherwise(0)
-        return df.withColumn("_spread", content)
+        lacking = reduce(or_, (F.col(c).isNull() for c in key))
+        return df.withColumn("_spread", F.when(lacking, F.xxhash64(*df.columns)).otherwise(0))
 
     left, right = spread(left), spread(right)
     right = right.withColumnsRenamed({c: c + suffix for c in right.columns})
-    on = (F.col("MatchId") == F.col("MatchId" + suffix)) & (
-        F.col("_spread") == F.col("_spread" + suffix)
-    )
+    on = [F.col(c) == F.col(c + suffix) for c in (*key, "_spread")]
     return left.join(right, on, "full").drop("_spread", "_spread" + suffix)
 
 
+def outer_join_by_id(left: DataFrame, right: DataFrame, suffix: str = "_1") -> DataFrame:
+    """The same on MatchId alone, for tables of one file each: of an id that stands n
+    times on either side it makes n * n rows."""
+    return outer_match_join(left, right, suffix, ("MatchId",))
+
+
 def drop_suffixed(df: DataFrame, suffix: str = "_1") -> DataFrame:
     return df.drop(*(c for c in df.columns if c.endswith(suffix)))
 

@@ -122,7 +122,7 @@ def match_sequence(facts: DataFrame, order: Sequence[str] = SEQUENCE_ORDER) -> D
     """A dense MatchSequence in the given order, which must end in a unique column."""
     columns = (
         "MatchKey", "HomeTeamId", "AwayTeamId", "SeasonId", "CompetitionId", "RoundOrder",
-        "RoundCode", "Date", "Result",
+        "RoundCode", "Date", "Result", "IsNeutral", "HomeWinFlag",
     )
     return numbered(facts.select(*columns), "MatchSequence", order, unique=True)
 

@@ -53,6 +53,7 @@ def next_round_features(
             F.col("TeamId").alias(f"{side}TeamId"), F.col("EloAfter").alias(f"{side}TeamElo")
         )
         games = games.join(elo, f"{side}TeamId", "left")
+    # fixed values: the names of the feature table's columns
     return with_difference(games, diff_digits).select(
         "HomeTeamId", "AwayTeamId", "HomeTeamElo", "AwayTeamElo", "EloDiff", "SeasonId",
         "RoundName", "RoundOrder", "Date", "CompetitionId", "IsNeutral",
@@ -60,24 +61,18 @@ def next_round_features(
 
 
 def training_frame(
-    facts: DataFrame, ratings: DataFrame, diff_digits: int | None = 0
+    rated: DataFrame, digits: int | None = 2, diff_digits: int | None = 0
 ) -> DataFrame:
     """Pre-match ratings, difference, neutral flag and label per played contest.
 
-    Both sides' ratings are folded to one row per contest first, so contests and
-    ratings meet in a single join on MatchKey. A contest lacking the rating of
-    either side drops out.
+    ``rated`` has one row per contest with both sides' ratings and the contest's own
+    columns, so this is a projection. A contest lacking a rating drops out.
     """
-    sides = ratings.select("MatchKey", "MatchSequence", "TeamId", "EloBefore")
-    pair = sides.groupBy("MatchKey").agg(
-        F.first("MatchSequence").alias("MatchSequence"),
-        F.map_from_entries(F.collect_list(F.struct("TeamId", "EloBefore"))).alias("elo"),
-    )
-    joined = facts.join(pair, "MatchKey").withColumns(
-        {f"{s}TeamElo": F.try_element_at("elo", f"{s}TeamId") for s in ("Home", "Away")}
-    )
+    elo = {f"{s}TeamElo": F.col(f"{s}EloBefore") for s in ("Home", "Away")}
+    if digits is not None:
+        elo = {name: F.round(c, digits) for name, c in elo.items()}
     return (
-        with_difference(joined, diff_digits)
+        with_difference(rated.withColumns(elo), diff_digits)
         .select("MatchSequence", *FEATURES, LABEL)
         .na.drop()
     )

@@ -48,13 +48,14 @@ class Gold:
         baselines: Mapping[str, float] = literals.BASELINES,
         default_start: float | None = None,
         digits: int | None = 2,
-        group_rows: int = 10_000_000,
+        slice_rows: int | None = None,
         follow: str = "next",
     ):
         self.spark = silver.sparkSession
         self._silver, self._upcoming = silver, upcoming
         self._baselines = baselines
-        self._rating_options = {"default_start": default_start, "digits": digits, "group_rows": group_rows}
+        self._rating_options = {"default_start": default_start, "slice_rows": slice_rows}
+        self._digits = digits
         self._follow = follow
 
     @cached_property
@@ -116,10 +117,15 @@ class Gold:
         base = rating.team_base_ratings(self.starting, self.competitions, self.baseline)
         return materialize(base, "base")
 
+    @cached_property
+    def rated(self) -> DataFrame:
+        """One row per contest with both sides' ratings, as ``rate`` has stored them."""
+        return rating.rate(self.sequence, self.base, **self._rating_options)
+
     @cached_property
     def ratings(self) -> DataFrame:
-        ratings = rating.fact_ratings(self.sequence, self.base, **self._rating_options)
-        return materialize(ratings, "ratings")
+        """One row per contest and team: a projection of the stored contests."""
+        return rating.fact_ratings(self.rated, self._digits)
 
     # ---- features ----
 
@@ -137,7 +143,7 @@ class Gold:
 
     @cached_property
     def training(self) -> DataFrame:
-        return features.training_frame(self.facts, self.ratings)
+        return features.training_frame(self.rated, self._digits)
 
     def refresh(self, schema: str) -> dict[str, DataFrame]:
         """Full refresh of all gold tables in a catalog schema."""

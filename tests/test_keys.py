@@ -45,11 +45,20 @@ def test_numbering_of_nothing(spark):
     assert numbered(spark.range(0), "n", ["id"]).collect() == []
 
 
-def test_dimension_paths_agree(spark):
-    df = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "name string")
-    small = rows(dimension(df, "id"))
-    assert small == rows(dimension(df, "id", window_rows=0))
-    assert small == [("a", 2), ("b", 3), (None, 1)]
+def test_dimension_equals_the_plain_window(spark, partitions):
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("b",)] + [(f"t{i % 300}",) for i in range(900)], "name string")
+    expected = df.distinct().withColumn("id", F.row_number().over(Window.orderBy("name")).cast("long"))
+    assert rows(dimension(df, "id")) == rows(expected)
+
+
+def test_tied_rows_get_the_same_numbers_again(spark, partitions):
+    """Rows that agree in the order but not in the rest, read in different orders."""
+    data = [(1, i % 7, None if i % 5 == 0 else f"x{i % 3}", float(i % 4)) for i in range(400)]
+    df = spark.createDataFrame(data, "a int, b int, c string, d double")
+    first = rows(numbered(df.repartition(7), "n", ["a"]))
+    assert first == rows(numbered(df.orderBy(F.desc("b")).repartition(3), "n", ["a"]))
+    spark.conf.set("spark.sql.shuffle.partitions", 9 - partitions)
+    assert first == rows(numbered(df.coalesce(1), "n", ["a"]))
 
 
 def union_find(edges):

@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
+from workload import oracle
+from workload.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem".split()
@@ -37,17 +39,18 @@ def table(columns, data):
     return [columns[i] for i in order], body
 
 
-@pytest.mark.parametrize("name", sorted(registered.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_query_equals_sql(spark, sql, name):
     df = registered.queries()[name](spark, SF_DIR)
-    cursor = sql.execute(registered.oracle_sql()[name])
+    cursor = sql.execute(oracle.oracle_sql()[name])
     expected = table([c[0] for c in cursor.description], cursor.fetchall())
     assert table(df.columns, df.collect()) == expected
 
 
 def test_registered_names():
-    queries, oracles = set(registered.queries()), set(registered.oracle_sql())
-    assert oracles <= queries
+    assert set(registered.oracle_sql()) <= set(registered.queries())
+    queries, oracles = set(QUERIES), set(oracle.oracle_sql())
+    assert oracles <= queries <= set(registered.queries())
     assert queries - oracles == {"home_win_model_metrics", "next_round_probabilities"}
 
 

@@ -59,11 +59,11 @@ def test_one_pass_equals_the_loop(spark, partitions):
     assert rows(rated, *WIDE) == sorted(loop(games, start), key=repr)
 
 
-@pytest.mark.parametrize("group_rows", [40, 150, 299])
-def test_slices_equal_the_loop(spark, group_rows):
+@pytest.mark.parametrize("slice_rows", [40, 150, 299])
+def test_slices_equal_the_loop(spark, slice_rows):
     games = schedule(2, 300, 20, hot=0.35)
     start = {t: 1500.0 for t in range(20)}
-    rated = rating.rate(frame(spark, games), default_start=1500.0, group_rows=group_rows)
+    rated = rating.rate(frame(spark, games), default_start=1500.0, slice_rows=slice_rows)
     assert rows(rated, *WIDE) == sorted(loop(games, start), key=repr)
 
 
@@ -72,10 +72,25 @@ def test_large_and_small_groups_together(spark):
         (g[0] + 5000, g[1] + 500, *g[2:6], g[6] + 100, g[7] + 100, g[8]) for g in schedule(4, 30, 4)
     ]
     start = {t: 1200.0 for t in (*range(5), *range(100, 104))}
-    rated = rating.rate(frame(spark, games), default_start=1200.0, group_rows=100)
+    rated = rating.rate(frame(spark, games), default_start=1200.0, slice_rows=100)
     assert rows(rated, *WIDE) == sorted(loop(games, start), key=repr)
 
 
+def test_a_hub_team_does_not_gather_the_contests(spark):
+    """Team 0 plays a third of all contests, so all teams are one connected group."""
+    games = schedule(11, 2400, 400, hot=0.33)
+    start = {t: 1500.0 for t in range(400)}
+    rated = rating.rate(frame(spark, games), default_start=1500.0, slice_rows=100)
+    assert rows(rated, *WIDE) == sorted(loop(games, start), key=repr)
+    sliced = rating._sliced(frame(spark, games).withColumn("_actual", F.lit(1.0)), 100)
+    groups = [r["count"] for r in sliced.groupBy("_slice", "component").count().collect()]
+    assert len(groups) > 500 and max(groups) < 0.03 * len(games)
+
+
+def test_nothing_to_rate(spark):
+    assert rating.rate(spark.createDataFrame([], SCHEMA), default_start=1500.0).isEmpty()
+
+
 def test_tiny_arrow_batches_keep_the_state(spark):
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
@@ -104,7 +119,7 @@ def test_k_and_missing_starts(spark):
 
 def test_fact_ratings_are_rounded_and_sum_to_zero(spark):
     games = schedule(7, 120, 6)
-    facts = rating.fact_ratings(frame(spark, games), default_start=1500.0)
+    facts = rating.fact_ratings(rating.rate(frame(spark, games), default_start=1500.0))
     wide = loop(games, {t: 1500.0 for t in range(6)})
     assert facts.count() == 240
     assert rows(facts, "MatchSequence", "EloAfter") == sorted(
@@ -128,7 +143,8 @@ def test_flat_start(spark):
 
 @pytest.fixture(scope="module")
 def facts(spark):
-    return rating.fact_ratings(frame(spark, schedule(9, 400, 8, hot=0.4)), default_start=1500.0).cache()
+    rated = rating.rate(frame(spark, schedule(9, 400, 8, hot=0.4)), default_start=1500.0)
+    return rating.fact_ratings(rated).cache()
 
 
 @pytest.mark.parametrize("block_rows", [1, 17, 10_000])

@@ -113,17 +113,31 @@ def test_team_record_equals_the_in_join(spark, gold):
 def test_outer_joins(spark):
     a = spark.createDataFrame([(1, "x"), (2, "y")], "MatchId int, HomeTeam string")
     b = spark.createDataFrame([(2, "y"), (3, "z")], "MatchId int, HomeTeam string")
-    joined = reports.outer_match_join(a, b)
+    joined = reports.outer_join_by_id(a, b)
     assert rows(joined) == [(1, "x", None, None), (2, "y", 2, "y"), (None, None, 3, "z")]
     assert rows(reports.drop_suffixed(joined)) == [(1, "x"), (2, "y"), (None, None)]
     nameless = spark.createDataFrame([(None, "n")], "MatchId int, HomeTeam string")
-    both = reports.outer_match_join(a.union(nameless), b.union(nameless))
+    both = reports.outer_join_by_id(a.union(nameless), b.union(nameless))
     assert rows(both) == rows(joined.union(spark.createDataFrame(
         [(None, "n", None, None), (None, None, None, "n")], joined.schema)))
     games = spark.createDataFrame([("x", "y"), ("x", "z"), ("y", "x")], "HomeTeam string, AwayTeam string")
     assert rows(reports.home_away_games(games)) == [("x", 2, "x", 1), ("y", 1, "y", 1)]
 
 
+def test_outer_join_of_ids_that_restart_per_file(spark):
+    """Ten ids, each in 20 files a side: by contest key the result has a row for each contest."""
+    day = dt.date(2015, 9, 1)
+    schema = "MatchId int, Competition string, Season string, Date date, HomeTeam string, AwayTeam string"
+    side = lambda files: spark.createDataFrame(
+        [(i, f"league {f}", "15/16", day, f"t{i}", f"t{i + 1}") for f in files for i in range(10)], schema
+    )
+    both = reports.outer_match_join(side(range(20)), side(range(10, 30)))
+    assert both.count() == 300
+    assert both.filter("HomeTeam = HomeTeam_1 AND Competition = Competition_1").count() == 100
+    assert reports.outer_join_by_id(side(range(3)), side(range(3))).count() == 90
+    assert reports.outer_match_join(side([0]), side([0]), key=("MatchId",)).count() == 10
+
+
 def test_wide_fact_has_every_contest_once(gold):
     results, elo = star.dim_results(gold.silver), rating.flat_start(gold.sequence)
     wide = star.wide_fact(gold.facts, elo, gold.teams, gold.seasons, gold.rounds, results)
@@ -151,11 +165,11 @@ def test_training_frame_equals_two_joins(gold):
         .withColumn("EloDiff", F.round(F.col("HomeTeamElo") - F.col("AwayTeamElo")))
         .select(*features.FEATURES, features.LABEL)
     )
-    frame = features.training_frame(gold.facts, gold.ratings)
+    frame = features.training_frame(gold.rated)
     assert rows(frame, *features.FEATURES, features.LABEL) == rows(expected)
-    one_side = gold.ratings.filter(F.col("TeamId") != 1)
-    partial = features.training_frame(gold.facts, one_side)
-    assert partial.count() == gold.facts.filter("HomeTeamId != 1 AND AwayTeamId != 1").count()
+    assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
+    one_side = gold.rated.withColumn("HomeEloBefore", F.when(F.col("HomeTeamId") != 1, F.col("HomeEloBefore")))
+    assert features.training_frame(one_side).count() == gold.facts.filter("HomeTeamId != 1").count()
 
 
 def test_next_features(gold):

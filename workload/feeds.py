@@ -2,7 +2,8 @@
 
 An order is a contest: the customer's nation is at home, the opponent is another
 nation of its region picked by the suppliers, and the scores come from the odd
-and even lines. Every order with lines takes part. The raw feed has the flaws of
+and even lines. Every order takes part; one without lines has no opponent and no
+scores. The raw feed has the flaws of
 hand-kept files, each tied to a property of the order (see ``raw_feed``).
 """
 
@@ -45,7 +46,7 @@ def _orders(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
     )
     return (
         table(spark, sf_dir, "orders")
-        .join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+        .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .withColumn("day", F.col("o_orderdate").cast("date"))
     )
@@ -136,13 +137,14 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("home_key", F.col("c_nationkey"))
         .withColumn("away_key", ((F.col("c_nationkey") + 5 * step) % 25).cast("int"))
         .join(home, "home_key")
-        .join(away, "away_key")
+        .join(away, "away_key", "left")
     )
+    n_lines = F.coalesce("n_lines", F.lit(0))
     return _copies(df).select(
         F.col("o_orderkey").alias("MatchId"),
         _spelt(F.col("home_name")).alias("HomeTeam"),
-        F.when(F.col("n_lines") < 10, _spelt(F.col("away_name"))).alias("AwayTeam"),
-        F.when(F.col("n_lines") != 9, F.year("day").cast("string")).alias("Season"),
+        F.when(n_lines < 10, _spelt(F.col("away_name"))).alias("AwayTeam"),
+        F.when(n_lines != 9, F.year("day").cast("string")).alias("Season"),
         _round().alias("Round"),
         F.when(F.col("o_totalprice") < 10000, -_score("odd_qty"))
         .otherwise(_score("odd_qty"))

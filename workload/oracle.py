@@ -30,8 +30,8 @@ FROM lineitem GROUP BY l_orderkey"""
 _BLOCKS["feed"] = f"""
 SELECT o_orderkey AS MatchId,
   {_spelt("h.n_name")} AS HomeTeam,
-  CASE WHEN n_lines < 10 THEN {_spelt("a.n_name")} END AS AwayTeam,
-  CASE WHEN n_lines <> 9 THEN CAST(year(o_orderdate) AS VARCHAR) END AS Season,
+  CASE WHEN coalesce(n_lines, 0) < 10 THEN {_spelt("a.n_name")} END AS AwayTeam,
+  CASE WHEN coalesce(n_lines, 0) <> 9 THEN CAST(year(o_orderdate) AS VARCHAR) END AS Season,
   CASE WHEN n_lines = 8 THEN 'X' WHEN month(o_orderdate) = 10 THEN 'QF' WHEN month(o_orderdate) = 11 THEN 'SF'
     WHEN month(o_orderdate) = 12 THEN 'F' ELSE CAST(month(o_orderdate) AS VARCHAR) END AS Round,
   CASE WHEN CAST(o_orderdate AS DATE) < {_DAY}
@@ -48,10 +48,10 @@ SELECT o_orderkey AS MatchId,
     WHEN h.n_regionkey = 1 THEN ' Championship' WHEN h.n_regionkey = 2 THEN 'URC' WHEN h.n_regionkey = 3 THEN 'Pro-14 '
     ELSE 'RBS 6 Nations' END AS Competition
 FROM orders
-JOIN line_totals ON o_orderkey = l_orderkey
+LEFT JOIN line_totals ON o_orderkey = l_orderkey
 JOIN customer ON o_custkey = c_custkey
 JOIN nation h ON h.n_nationkey = c_nationkey
-JOIN nation a ON a.n_nationkey = (c_nationkey + 5 * (CASE WHEN c_acctbal < 0 THEN 0 ELSE 1 + supp % 4 END)) % 25
+LEFT JOIN nation a ON a.n_nationkey = (c_nationkey + 5 * (CASE WHEN c_acctbal < 0 THEN 0 ELSE 1 + supp % 4 END)) % 25
 CROSS JOIN (SELECT unnest([1, 2]) AS copy_no) c
 WHERE copy_no = 1 OR n_lines > top_line"""
 
@@ -127,7 +127,7 @@ _BLOCKS["facts"] = _KEYED.format(
 )
 _BLOCKS["upfacts"] = _KEYED.format(source="upcoming", measures="")
 _BLOCKS["sequence"] = """
-SELECT MatchKey, HomeTeamId, AwayTeamId, SeasonId, CompetitionId, RoundOrder, RoundCode, "Date", Result,
+SELECT MatchKey, HomeTeamId, AwayTeamId, SeasonId, CompetitionId, RoundOrder, RoundCode, "Date", Result, IsNeutral, HomeWinFlag,
   row_number() OVER (ORDER BY SeasonId, "Date" NULLS FIRST, RoundOrder NULLS FIRST, MatchKey) AS MatchSequence
 FROM facts"""
 _BLOCKS["team_rows"] = """
@@ -311,7 +311,7 @@ _STATS = [
 ]
 _BLOCKS["stats"] = (
     "SELECT " + ", ".join(_STATS) + " FROM (SELECT *, CASE WHEN o_orderstatus = 'P' AND n_lines = 6 THEN 0.1::DOUBLE"
-    " ELSE 0::DOUBLE END AS excess FROM orders JOIN stat_lines ON o_orderkey = l_orderkey) s"
+    " ELSE 0::DOUBLE END AS excess FROM orders LEFT JOIN stat_lines ON o_orderkey = l_orderkey) s"
 )
 
 _SCORE = "{s}Score <> {s}Tries * 5 + {s}Conversions * 2 + {s}PenaltyGoals * 3"
@@ -373,6 +373,7 @@ _N_CLUBS = len(TEAM_ALIASES)
 _SILVER_COLUMNS = """MatchId, HomeTeam, AwayTeam, Season, Round, HomeScore, AwayScore, Result, "Date", Competition,
   HomePointsDifference, AwayPointsDifference, TotalMatchPoints, HomeWinFlag, AwayWinFlag, DrawFlag, IsNeutral"""
 _CONTEST_KEY = 'Competition, Season, "Date", HomeTeam, AwayTeam'
+_SAME_CONTEST = " AND ".join(f'l."{c}" = r."{c}"' for c in ("Competition", "Season", "Date", "HomeTeam", "AwayTeam"))
 _FEED_COLUMNS = ("MatchId", "HomeTeam", "AwayTeam", "Season", "Round", "HomeScore", "AwayScore", "Date", "Competition")
 
 _FLAT_COLUMNS = ", ".join(
@@ -439,9 +440,11 @@ _QUERIES: dict[str, str] = {
         LEFT JOIN results USING (Result) LEFT JOIN seasons y ON y.SeasonId = f.SeasonId
         LEFT JOIN teams h ON h.TeamId = HomeTeamId LEFT JOIN teams a ON a.TeamId = AwayTeamId
         LEFT JOIN rounds r ON r.RoundId = f.RoundId""",
-    "outer_match_join": """SELECT l.MatchId, l.HomeTeam, l.HomeScore, r.MatchId AS MatchId_1, r.HomeTeam AS HomeTeam_1, r.Round AS Round_1
+    "outer_match_join": f"""SELECT l.MatchId, l.HomeTeam, l.HomeScore, r.MatchId AS MatchId_1, r.HomeTeam AS HomeTeam_1, r.Round AS Round_1
+        FROM silver l FULL JOIN upcoming r ON {_SAME_CONTEST}""",
+    "outer_match_join_left": f"""SELECT l.MatchId, l.HomeTeam, l.HomeScore FROM silver l FULL JOIN upcoming r ON {_SAME_CONTEST}""",
+    "outer_join_by_id": """SELECT l.MatchId, l.HomeTeam, l.HomeScore, r.MatchId AS MatchId_1, r.HomeTeam AS HomeTeam_1, r.Round AS Round_1
         FROM silver l FULL JOIN upcoming r ON l.MatchId = r.MatchId""",
-    "outer_match_join_left": """SELECT l.MatchId, l.HomeTeam, l.HomeScore FROM silver l FULL JOIN upcoming r ON l.MatchId = r.MatchId""",
     "home_away_games": """SELECT HomeTeam, home_games, AwayTeam, away_games
         FROM (SELECT HomeTeam, count(*) AS home_games FROM silver GROUP BY ALL)
         JOIN (SELECT AwayTeam, count(*) AS away_games FROM silver GROUP BY ALL) ON HomeTeam = AwayTeam ORDER BY HomeTeam DESC""",

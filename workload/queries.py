@@ -293,10 +293,11 @@ def wide_fact(p: Pipeline) -> DataFrame:
 
 @query
 def outer_match_join(p: Pipeline) -> DataFrame:
-    return reports.outer_match_join(
-        p.results.select("MatchId", "HomeTeam", "HomeScore"),
-        p.upcoming.select("MatchId", "HomeTeam", "Round"),
+    joined = reports.outer_match_join(
+        p.results.select("MatchId", "HomeScore", *quality.CONTEST_KEY),
+        p.upcoming.select("MatchId", "Round", *quality.CONTEST_KEY),
     )
+    return joined.select("MatchId", "HomeTeam", "HomeScore", "MatchId_1", "HomeTeam_1", "Round_1")
 
 
 @query
@@ -304,6 +305,14 @@ def outer_match_join_left(p: Pipeline) -> DataFrame:
     return reports.drop_suffixed(outer_match_join(p))
 
 
+@query
+def outer_join_by_id(p: Pipeline) -> DataFrame:
+    return reports.outer_join_by_id(
+        p.results.select("MatchId", "HomeTeam", "HomeScore"),
+        p.upcoming.select("MatchId", "HomeTeam", "Round"),
+    )
+
+
 @query
 def home_away_games(p: Pipeline) -> DataFrame:
     return reports.home_away_games(p.gold.silver)
@@ -398,13 +407,15 @@ def _customer_ratings(p: Pipeline, **options) -> DataFrame:
 
 @query
 def rating_many_teams(p: Pipeline) -> DataFrame:
-    return _customer_ratings(p)
+    # slices as short as on a large table, where the least size of a slice doesn't count
+    teams = feeds.table(p.spark, p.sf_dir, "customer").count()
+    return _customer_ratings(p, slice_rows=max(teams // rating.TEAMS_PER_CONTEST, 1))
 
 
 @query
 def rating_sliced(p: Pipeline) -> DataFrame:
-    # the bound makes the one large group take the slice path; the result is the same
-    return _customer_ratings(p, group_rows=p.customers.count() // 3 + 1)
+    # the same in slices of a fixed size: the result doesn't depend on it
+    return _customer_ratings(p, slice_rows=2000)
 
 
 @query
