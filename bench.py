@@ -11,7 +11,7 @@ import os
 import statistics
 import time
 
-from contestry.session import local_session
+from contestry.session import local_session, scope
 from workload import queries
 
 HEADLINE = (
@@ -36,9 +36,12 @@ HEADLINE = (
 
 def run(spark, name: str, sf_dir: str) -> float:
     queries.forget()
-    start = time.perf_counter()
-    queries.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    with scope(spark):
+        start = time.perf_counter()
+        queries.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        seconds = time.perf_counter() - start
+    queries.forget()
+    return seconds
 
 
 def main() -> None:

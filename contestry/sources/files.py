@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# what ``with_file_lineage`` adds
+LINEAGE = T.StructType([T.StructField("_ingest_date", T.DateType()), T.StructField("source_file", T.StringType())])
+
+
 def read_csv(
     spark: SparkSession, path: str | list[str], schema: T.StructType, glob: str = "*.csv"
 ) -> DataFrame:

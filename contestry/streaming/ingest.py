@@ -2,6 +2,7 @@
 
 All three streams are stateless appends with a checkpoint each: a run takes the
 files that came since the last one (``availableNow``), writes them and stops.
+Files may differ in their columns and their order: each is read by its own header.
 """
 
 from __future__ import annotations
@@ -20,23 +21,82 @@ from contestry.operators.quality import (
     upcoming_rules,
 )
 from contestry.plans import silver
-from contestry.sources.files import with_file_lineage
+from contestry.sources.files import (
+    LINEAGE,
+    header_columns,
+    read_csv,
+    union_by_name,
+    with_file_lineage,
+)
+from contestry.sources.tables import read_merged
 
 
 def read_csv_stream(
     spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None
 ) -> DataFrame:
-    """New CSV files below ``path`` (glob patterns allowed).
+    """New CSV files below ``path`` (glob patterns allowed), all with the same columns.
 
-    Streams need the schema up front. When files gain columns at the end, restart
-    with ``files.evolved_schema``: older files give null there.
+    Headers are checked against the schema: a file with other columns or another
+    order stops the stream. ``store_drops`` takes files that differ.
     """
-    reader = spark.readStream.schema(schema).option("header", True)
+    reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.csv(path)
 
 
+_FILES = "path string, modificationTime timestamp, length long, content binary"
+
+
+def store_drops(
+    spark: SparkSession,
+    landing: str,
+    target: str,
+    checkpoint: str,
+    schema: T.StructType,
+    files_per_batch: int = 1000,
+) -> StreamingQuery:
+    """Append new CSV files to a raw table, each by the names in its own header.
+
+    Known columns take their type from ``schema``, new ones are strings, missing
+    ones null; so a column that files gain is kept from the first such file on. The
+    stream itself holds file names only, ``files_per_batch`` at a time. A batch goes
+    to a folder of its own, which a repeated batch overwrites.
+    """
+    empty = spark.createDataFrame([], T.StructType(schema.fields + LINEAGE.fields))
+    empty.write.mode("ignore").parquet(f"{target}/batch=-1")
+
+    def store(batch: DataFrame, number: int) -> None:
+        by_header: dict[tuple[str, ...], list[str]] = {}
+        for row in batch.collect():  # at most files_per_batch names
+            by_header.setdefault(tuple(header_columns(spark, row.path)), []).append(row.path)
+        types = {f.name: f for f in schema.fields}
+        parts = []
+        for header, paths in by_header.items():
+            own = T.StructType([types.get(c, T.StructField(c, T.StringType())) for c in header])
+            parts.append(with_file_lineage(read_csv(spark, paths, own, glob="*")))
+        if parts:
+            union_by_name(parts).write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    names = (
+        spark.readStream.format("binaryFile")
+        .schema(_FILES)
+        .option("pathGlobFilter", "*.csv")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(landing)
+        .select("path")
+    )
+    writer = names.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
+def read_drops(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """The raw table of ``store_drops`` with all columns of all files, known ones first."""
+    stored = read_merged(spark, target).drop("batch")
+    known = [*schema.fieldNames(), *LINEAGE.fieldNames()]
+    return stored.select(*known, *(c for c in stored.columns if c not in known))
+
+
 def read_table_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A growing parquet table as a stream."""
     return spark.readStream.schema(schema).parquet(path)
@@ -53,7 +113,7 @@ def append_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 def bronze_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Raw rows with ingest date and source file."""
+    """Raw rows of like files with ingest date and source file."""
     return with_file_lineage(read_csv_stream(spark, path, schema))
 
 
@@ -90,10 +150,11 @@ def run_ingest(
 
     Gold is a batch refresh over the returned silver tables (``plans.gold``).
     """
-    bronze = bronze_stream(spark, landing, schema)
-    append_stream(bronze, f"{target}/bronze", f"{target}/_checkpoints/bronze").awaitTermination()
+    bronze, checkpoints = f"{target}/bronze", f"{target}/_checkpoints"
+    store_drops(spark, landing, bronze, f"{checkpoints}/bronze", schema).awaitTermination()
 
-    raw = read_table_stream(spark, f"{target}/bronze", bronze.schema)
+    whole = T.StructType(schema.fields + LINEAGE.fields)
+    raw = read_table_stream(spark, f"{bronze}/batch=*", whole)
     played = results_stream(raw, teams, competitions)
     ahead = upcoming_stream(raw, as_of, teams, competitions)
     queries = [
@@ -106,4 +167,4 @@ def run_ingest(
     def table(name: str, df: DataFrame) -> DataFrame:
         return spark.read.schema(df.schema).parquet(f"{target}/{name}")
 
-    return table("bronze", bronze), table("results", played), table("upcoming", ahead)
+    return read_drops(spark, bronze, schema), table("results", played), table("upcoming", ahead)

@@ -19,6 +19,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
+        .config("spark.checkpoint.dir", f"{scratch}/shared")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -15,8 +15,19 @@ def test_shared_folder_comes_from_the_session():
 
 
 def test_a_cluster_needs_a_shared_folder():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_folder(Stub(spark_master="yarn"))
+    for master in ("yarn", "local-cluster[3,2,1024]", ""):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.shared_folder(Stub(spark_master=master))
+
+
+def test_a_scope_deletes_what_was_stored_in_it(spark):
+    outside = session.materialize(spark.range(3), "outside")
+    with session.scope(spark):
+        inside = session.materialize(spark.range(5), "inside")
+        files = inside.inputFiles()
+        assert inside.count() == 5 and files
+    assert outside.count() == 3
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in files)
 
 
 def test_a_local_master_may_use_a_temporary_folder():

@@ -3,6 +3,7 @@ import os
 
 import pytest
 from conftest import rows
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import types as T
 
 from contestry.plans import silver
@@ -128,16 +129,38 @@ def test_stream_is_incremental_and_equals_the_batch(spark, tmp_path):
     assert files.read_csv(spark, landing, schemas.RESULTS).count() == 6
 
 
-def test_stream_with_a_new_column(spark, tmp_path):
+def test_stream_reads_each_file_by_its_own_header(spark, tmp_path):
+    """One folder: a plain file, then one with a column more, one less and another order."""
     landing, target = str(tmp_path / "landing"), str(tmp_path / "target")
     write(landing, "a.csv", HEADER, LINES[0])
     run(spark, landing, target)
-    write(landing, "b.csv", HEADER + ",Referee", LINES[4] + ",jones")
-    evolved = files.evolved_schema(schemas.RESULTS, ["Referee"])
-    bronze, played, _ = run(spark, landing, target, evolved)
-    assert rows(bronze, "MatchId", "Referee") == [(1, None), (5, "jones")]
-    assert rows(played, "MatchId") == [(1,), (5,)]
-    assert "Referee" in tables.read_merged(spark, f"{target}/bronze").columns
+    write(landing, "b.csv", "Referee,AwayTeam,HomeTeam,MatchId,AwayScore,HomeScore,Season,Date,Round", "jones,sale,bath,7,3,30,15/16,01/09/2015,2")
+    write(landing, "c.csv", HEADER, LINES[4])
+    bronze, played, _ = run(spark, landing, target)
+    assert rows(bronze, "MatchId", "HomeTeam", "HomeScore", "Competition", "Referee") == rows(
+        spark.createDataFrame(
+            [(1, "Bath Rugby", 10, "Gallagher Premiership", None), (7, "bath", 30, None, "jones"), (5, "bath", 3, "x", None)],
+            "MatchId long, HomeTeam string, HomeScore int, Competition string, Referee string",
+        )
+    )
+    assert rows(played, "MatchId", "Result") == [(1, "HomeWin"), (5, "Draw"), (7, "HomeWin")]
+    assert {r[0].rsplit("/", 1)[1] for r in rows(bronze, "source_file")} == {"a.csv", "b.csv", "c.csv"}
+    assert run(spark, landing, target)[0].count() == 3
+
+
+def test_stream_of_an_empty_folder(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    assert [df.count() for df in run(spark, str(landing), str(tmp_path / "target"))] == [0, 0, 0]
+
+
+def test_plain_stream_stops_at_another_order(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    write(landing, "a.csv", "MatchId,AwayTeam,HomeTeam", "1,sale,bath")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("MatchId", "HomeTeam", "AwayTeam")])
+    stream = ingest.read_csv_stream(spark, landing, schema)
+    with pytest.raises(StreamingQueryException):
+        ingest.append_stream(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
 
 
 def test_stream_counts_rule_failures(spark, tmp_path):
