@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from contestry.operators import rating, star
+from contestry.operators import quality, rating, star
 from contestry.plans import features
 from contestry.session import materialize
 from contestry.sources import literals
@@ -145,6 +147,20 @@ class Gold:
     def training(self) -> DataFrame:
         return features.training_frame(self.rated, self._digits)
 
+    # ---- rules ----
+
+    def expectations(self, as_of: dt.date) -> DataFrame:
+        """Warn rules over the gold tables: passed and failed rows by table and rule."""
+        rules = {
+            "dim_teams": (self.teams, quality.dimension_rules("TeamName", "TeamId")),
+            "dim_competitions": (self.competitions, quality.dimension_rules("Competition", "CompetitionId")),
+            "dim_seasons": (self.seasons, quality.dimension_rules("Season", "SeasonId")),
+            "oldest_season_per_comp": (self.oldest, quality.OLDEST_SEASON_RULES),
+            "upcoming": (self.upcoming_silver, quality.upcoming_rules(as_of)),
+        }
+        reports = [quality.rule_report(t, r).withColumn("table", F.lit(name)) for name, (t, r) in rules.items()]
+        return reduce(DataFrame.unionByName, reports)
+
     def refresh(self, schema: str) -> dict[str, DataFrame]:
         """Full refresh of all gold tables in a catalog schema."""
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")

@@ -51,7 +51,7 @@ def test_registered_names():
     assert set(registered.oracle_sql()) <= set(registered.queries())
     queries, oracles = set(QUERIES), set(oracle.oracle_sql())
     assert oracles <= queries <= set(registered.queries())
-    assert queries - oracles == {"home_win_model_metrics", "next_round_probabilities"}
+    assert queries == oracles
 
 
 def test_entry(spark):
@@ -59,6 +59,11 @@ def test_entry(spark):
     assert result.columns == ["TeamId", "CurrentElo"] and result.count() == 25
 
 
+def test_playoffs_follow_a_round_that_is_not_there(spark):
+    both = [registered.queries()[n](spark, SF_DIR).count() for n in ("next_round", "next_round_available")]
+    assert both[0] != both[1]
+
+
 def test_model_queries(spark):
     report = registered.queries()["home_win_model_metrics"](spark, SF_DIR)
     assert {"accuracy", "macro avg", "weighted avg"} <= {r["class"] for r in report.collect()}

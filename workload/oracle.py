@@ -4,12 +4,86 @@ from __future__ import annotations
 
 import re
 
-from contestry.functions.names import TEAM_ALIASES
-from contestry.operators.quality import RESULT_RULES, SHARE_GROUPS, upcoming_rules
-from contestry.sources.literals import BASELINES, LEAGUE_ROUNDS, PLAYOFF_ROUNDS
-from workload.feeds import AS_OF
-
-_DAY = f"DATE '{AS_OF.isoformat()}'"
+from contestry.sources.schemas import STATISTICS
+
+# Fixed values, written out here so that a wrong one in the library shows.
+_DAY = "DATE '2001-03-15'"
+RESULT_RULES = (
+    ('valid_match_id', 'warn', 'MatchId IS NOT NULL'),
+    ('valid_home_team', 'drop', 'HomeTeam IS NOT NULL'),
+    ('valid_away_team', 'drop', 'AwayTeam IS NOT NULL'),
+    ('valid_season', 'drop', 'Season IS NOT NULL'),
+    ('valid_round', 'drop', 'Round IS NOT NULL'),
+    ('valid_home_team_score', 'drop', 'HomeScore IS NOT NULL'),
+    ('valid_away_team_score', 'drop', 'AwayScore IS NOT NULL'),
+    ('valid_scores', 'warn', 'HomeScore >= 0 AND AwayScore >= 0'),
+    ('different_teams', 'drop', 'HomeTeam != AwayTeam'),
+    ('valid_date', 'warn', 'Date IS NOT NULL'),
+)
+UPCOMING_RULES = (
+    ('valid_match_id', 'warn', 'MatchId IS NOT NULL'),
+    ('valid_home_team', 'warn', 'HomeTeam IS NOT NULL'),
+    ('valid_away_team', 'warn', 'AwayTeam IS NOT NULL'),
+    ('different_teams', 'warn', 'HomeTeam != AwayTeam'),
+    ('valid_date', 'warn', 'Date IS NOT NULL'),
+    ('upcoming_match', 'warn', "Date >= DATE'2001-03-15'"),
+)
+SHARE_GROUPS = {
+    'territory': ('HomeTerritory', 'AwayTerritory'),
+    'possession': ('HomePossession', 'AwayPossession'),
+    'home_ruck_speed': ('Home0-3sRuckSpeed', 'Home3-6sRuckSpeed', 'Home6s+RuckSpeed'),
+    'away_ruck_speed': ('Away0-3sRuckSpeed', 'Away3-6sRuckSpeed', 'Away6s+RuckSpeed'),
+    'territory_zones': ('TerritoryHomeTry-Line-22m', 'TerritoryHome22m-50m', 'TerritoryAway22m-50m', 'TerritoryAwayTry-Line-22m'),
+    'home_possession_zones': ('HomePossessionsTryLine-22m', 'HomePossession22m-50m', 'HomePossessionOpp50m-22m', 'HomePossessionOpp22m-TryLine'),
+    'away_possession_zones': ('AwayPossessionsTryLine-22m', 'AwayPossession22m-50m', 'AwayPossessionOpp50m-22m', 'AwayPossessionOpp22m-TryLine'),
+    'last10_possession': ('HomePossessionLast10', 'AwayPossessionLast10'),
+}
+BASELINES = {
+    'premiership': 1500.0,
+    'championship': 900.0,
+    'urc': 1300.0,
+    'pro-14': 1800.0,
+}
+LEAGUE_ROUNDS = 30
+PLAYOFF_ROUNDS = (("QF", "Quater Final", 98, "PlayOff"), ("SF", "Semi Final", 99, "PlayOff"), ("F", "Final", 100, "Final"))
+TEAM_ALIASES = {
+    'bath rugby': 'bath',
+    'bath rugby club': 'bath',
+    'bristol bears': 'bristol',
+    'bristol rugby club': 'bristol',
+    'bears': 'bristol',
+    'chiefs': 'exeter-chiefs',
+    'exeter-cheifs': 'exeter-chiefs',
+    'gloucester rugby': 'gloucester',
+    'gloucester rugby club': 'gloucester',
+    'cherries': 'gloucester',
+    'harlequins rugby': 'harlequins',
+    'harlequins rugby club': 'harlequins',
+    'leicester tigers': 'leicester',
+    'leicester tigers rugby club': 'leicester',
+    'leicester': 'leicester',
+    'london irish': 'london-irish',
+    'london irish rugby club': 'london-irish',
+    'northampton saints': 'northampton',
+    'northampton saints rugby club': 'northampton',
+    'northampton': 'northampton',
+    'saints': 'northampton',
+    'sale sharks': 'sale',
+    'sale rugby club': 'sale',
+    'wasps rugby': 'wasps',
+    'wasps rugby club': 'wasps',
+    'saracens rugby': 'saracens',
+    'saracens rugby club': 'saracens',
+    'sarries': 'saracens',
+    'worcester warriors': 'worcester',
+    'worcester rugby club': 'worcester',
+    'worcester': 'worcester',
+    'newcastle falcons': 'newcastle',
+    'newcastle rugby club': 'newcastle',
+    'falcons': 'newcastle',
+    'newcastle red bulls': 'newcastle',
+    'newcastle red bulls rugby club': 'newcastle',
+}
 
 # Building blocks in order of dependence: name -> SELECT (or a recursive body).
 _BLOCKS: dict[str, str] = {}
@@ -32,7 +106,9 @@ SELECT o_orderkey AS MatchId,
   {_spelt("h.n_name")} AS HomeTeam,
   CASE WHEN coalesce(n_lines, 0) < 10 THEN {_spelt("a.n_name")} END AS AwayTeam,
   CASE WHEN coalesce(n_lines, 0) <> 9 THEN CAST(year(o_orderdate) AS VARCHAR) END AS Season,
-  CASE WHEN n_lines = 8 THEN 'X' WHEN month(o_orderdate) = 10 THEN 'QF' WHEN month(o_orderdate) = 11 THEN 'SF'
+  CASE WHEN n_lines = 8 THEN 'X'
+    WHEN month(o_orderdate) = 4 AND h.n_regionkey = 3 AND c_mktsegment <> 'MACHINERY' THEN '5'
+    WHEN month(o_orderdate) = 10 THEN 'QF' WHEN month(o_orderdate) = 11 THEN 'SF'
     WHEN month(o_orderdate) = 12 THEN 'F' ELSE CAST(month(o_orderdate) AS VARCHAR) END AS Round,
   CASE WHEN CAST(o_orderdate AS DATE) < {_DAY}
     THEN (CASE WHEN o_totalprice < 10000 THEN -1 ELSE 1 END) * (CAST(odd_qty AS INTEGER) % 60) END AS HomeScore,
@@ -314,6 +390,42 @@ _BLOCKS["stats"] = (
     " ELSE 0::DOUBLE END AS excess FROM orders LEFT JOIN stat_lines ON o_orderkey = l_orderkey) s"
 )
 
+def _stat_values() -> list[str]:
+    """The 93 statistics columns in order; what no check reads is made from the line count."""
+    known = {name.strip('"'): value for value, name in (part.rsplit(" AS ", 1) for part in _STATS)}
+    known |= {
+        "HomeTeam": "'nation-' || c_nationkey",
+        "AwayTeam": "'segment-' || lower(c_mktsegment)",
+        "Season": "CAST(year(o_orderdate) AS VARCHAR)",
+        "Round": "CAST(month(o_orderdate) AS VARCHAR)",
+        "HomeDropGoals": "0",
+        "AwayDropGoals": "0",
+    }
+    values = []
+    for i, field in enumerate(STATISTICS.fields):
+        whole = field.dataType.simpleString() == "int"
+        made = f"n_lines + {i}" if whole else f"n_lines / (n_lines + {i})::DOUBLE"
+        values.append(known.get(field.name, made))
+    return values
+
+
+_BLOCKS["all_stats"] = (
+    "SELECT " + ", ".join(f"{v} AS c{i}" for i, v in enumerate(_stat_values())) + " FROM (SELECT *,"
+    " CASE WHEN o_orderstatus = 'P' AND n_lines = 6 THEN 0.1::DOUBLE ELSE 0::DOUBLE END AS excess"
+    " FROM orders LEFT JOIN stat_lines ON o_orderkey = l_orderkey JOIN customer ON o_custkey = c_custkey) s"
+)
+
+
+def _statistics_totals() -> str:
+    parts = []
+    for i, field in enumerate(STATISTICS.fields):
+        value = f"length(c{i})" if field.dataType.simpleString() == "string" else f"c{i}"
+        parts.append(
+            f"""SELECT '{field.name}' AS "column", count(c{i}) AS filled, round(sum({value})::DOUBLE, 3) AS total FROM all_stats"""
+        )
+    return " UNION ALL ".join(parts)
+
+
 _SCORE = "{s}Score <> {s}Tries * 5 + {s}Conversions * 2 + {s}PenaltyGoals * 3"
 _DOMAIN = {
     "negative_scores": "HomeScore < 0 OR AwayScore < 0",
@@ -342,13 +454,29 @@ def _breach_rows(checks: dict[str, str], source: str) -> str:
 
 def _rules(rules, source: str, label: str) -> str:
     return " UNION ALL ".join(
-        f"""SELECT '{label}' AS "table", '{r.name}' AS rule, '{"drop" if r.drop else "warn"}' AS action,
-        count(*) FILTER (WHERE {r.condition}) AS passed,
-        count(*) - count(*) FILTER (WHERE {r.condition}) AS failed FROM {source}"""
-        for r in rules
+        f"""SELECT '{label}' AS "table", '{name}' AS rule, '{action}' AS action,
+        count(*) FILTER (WHERE {condition}) AS passed,
+        count(*) - count(*) FILTER (WHERE {condition}) AS failed FROM {source}"""
+        for name, action, condition in rules
     )
 
 
+def _filled(*columns: str) -> tuple[tuple[str, str, str], ...]:
+    return tuple((f"valid_{c}", "warn", f"{c} IS NOT NULL") for c in columns)
+
+
+_GOLD_RULES = {
+    "dim_teams": ("teams", _filled("TeamName", "TeamId")),
+    "dim_competitions": ("competitions", _filled("Competition", "CompetitionId")),
+    "dim_seasons": ("seasons", _filled("Season", "SeasonId")),
+    "oldest_season_per_comp": (
+        "oldest",
+        (("valid_season", "warn", "Season IS NOT NULL"), ("valid_competition", "warn", "Competition IS NOT NULL")),
+    ),
+    "upcoming": ("upcoming", UPCOMING_RULES),
+}
+
+
 # ---- contests of customers ---------------------------------------------------------------
 
 _BLOCKS["customer_games"] = """
@@ -396,7 +524,9 @@ _QUERIES: dict[str, str] = {
         FROM stats""",
     "expectation_report": _rules(RESULT_RULES, "scored", "results")
     + " UNION ALL "
-    + _rules(upcoming_rules(AS_OF), "upcoming", "upcoming"),
+    + _rules(UPCOMING_RULES, "upcoming", "upcoming"),
+    "gold_expectations": " UNION ALL ".join(_rules(r, t, label) for label, (t, r) in _GOLD_RULES.items()),
+    "file_lineage": "SELECT coalesce(Season, 'unknown') AS source_file, count(*) AS rows FROM feed GROUP BY ALL",
     "null_profile": " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", count(*) FILTER (WHERE "{c}" IS NULL) AS nulls FROM feed""" for c in _FEED_COLUMNS
     ),
@@ -536,14 +666,14 @@ _QUERIES: dict[str, str] = {
     "first_rows": "SELECT MatchSequence, MatchKey, HomeTeamId, AwayTeamId FROM sequence ORDER BY MatchSequence LIMIT 10",
     "csv_batch_ingest": "SELECT * FROM feed",
     "csv_schema_inference": """SELECT MatchId, Season::INTEGER AS Season, HomeScore, AwayScore FROM feed""",
-    "csv_statistics_ingest": "SELECT 93::BIGINT AS columns, count(*) AS rows, "
-    + ", ".join(
-        f"sum({c})::BIGINT AS {c}" for c in ("HomeTries", "AwayConversions", "HomePostContactMetres", "AwayMetresGained")
-    )
-    + ', round(sum("Home3-6sRuckSpeed"), 4) AS ruck, round(sum("TerritoryHomeTry-Line-22m"), 4) AS zone FROM stats',
+    "csv_statistics_ingest": _statistics_totals(),
     "csv_schema_evolution": """SELECT MatchId, HomeTeam, HomeScore, AwayScore, CASE WHEN Season >= '1998' THEN "Date" END AS "Date"
         FROM feed""",
     "stream_bronze": "SELECT * FROM feed",
+    "stream_schema_evolution": """SELECT MatchId, HomeTeam, AwayTeam, HomeScore, AwayScore, NULL AS "Date",
+        CASE WHEN MatchId % 2 = 1 THEN 'ref-' || (MatchId % 7) END AS Referee FROM feed""",
+    "rewritten_landing": """SELECT MatchId, HomeTeam, HomeScore, (SELECT count(*) FROM feed) AS before FROM feed WHERE HomeScore > 30""",
+    "overwrite_with_new_schema": """SELECT Season AS Year, Result, HomeScore::VARCHAR AS MatchId FROM silver""",
     "stream_bronze_to_silver": f"SELECT {_SILVER_COLUMNS} FROM silver",
     "stream_upcoming": """SELECT MatchId, HomeTeam, AwayTeam, Season, Round, "Date", Competition, IsNeutral FROM upcoming""",
     "gold_after_stream": """SELECT TeamName, sum(won)::BIGINT AS Wins, sum(lost)::BIGINT AS Loses, sum(drew)::BIGINT AS Draws
@@ -555,6 +685,61 @@ _QUERIES: dict[str, str] = {
 _BLOCKS["fit"] = "SELECT * FROM ranked WHERE Position <= total - ceil(total / 5)"
 
 
+# ---- the model ---------------------------------------------------------------------------
+
+_FEATURES = ("HomeTeamElo", "AwayTeamElo", "EloDiff", "IsNeutral")
+_BLOCKS["scale"] = (
+    "SELECT count(*) AS n, "
+    + ", ".join(f"avg({c}) AS mean_{c}, coalesce(nullif(stddev_pop({c}), 0), 1) AS std_{c}" for c in _FEATURES)
+    + " FROM fit"
+)
+_BLOCKS["scaled_fit"] = (
+    "SELECT n, HomeWinFlag::DOUBLE AS y, "
+    + ", ".join(f"({c} - mean_{c}) / std_{c} AS x{i}" for i, c in enumerate(_FEATURES))
+    + " FROM fit CROSS JOIN scale"
+)
+_W = [f"w{i}" for i in range(len(_FEATURES))]
+_P = "1::DOUBLE / (1::DOUBLE + exp(-(b + " + " + ".join(f"{w} * x{i}" for i, w in enumerate(_W)) + ")))"
+# gradient steps on the mean loss with an L2 penalty of 1 / n on the weights; a step of 1 is below the
+# curvature of four scaled features, and 800 of them leave nothing to improve in the digits shown
+_BLOCKS[f"steps(step, b, {', '.join(_W)})"] = f"""
+SELECT 0, 0::DOUBLE, {", ".join("0::DOUBLE" for _ in _W)}
+UNION ALL
+SELECT step + 1, b - avg({_P} - y), {", ".join(f"{w} - avg(({_P} - y) * x{i}) - {w} / max(n)" for i, w in enumerate(_W))}
+FROM steps CROSS JOIN scaled_fit WHERE step < 800 GROUP BY step, b, {", ".join(_W)}"""
+_BLOCKS["weights"] = "SELECT * FROM steps WHERE step = 800"
+_SCALED = ", ".join(f"({c} - mean_{c}) / std_{c} AS x{i}" for i, c in enumerate(_FEATURES))
+_BLOCKS["model_predicted"] = f"""
+SELECT label, CASE WHEN {_P} > 0.5 THEN 1 ELSE 0 END AS prediction
+FROM (SELECT HomeWinFlag AS label, {_SCALED} FROM ranked CROSS JOIN scale WHERE Position > total - ceil(total / 5)) CROSS JOIN weights"""
+_BLOCKS["rule_predicted"] = """
+SELECT HomeWinFlag AS label, CASE WHEN EloDiff > 0 THEN 1 ELSE 0 END AS prediction
+FROM ranked WHERE Position > total - ceil(total / 5)"""
+
+
+def _report(predicted: str) -> str:
+    return f"""SELECT class::VARCHAR AS class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support
+    FROM (WITH classes AS (SELECT label AS class FROM {predicted} UNION SELECT prediction FROM {predicted}),
+    scores AS (SELECT class, coalesce(hits / nullif(guessed, 0), 0) AS precision, coalesce(hits / nullif(support, 0), 0) AS recall,
+        2 * hits / (support + guessed) AS f1, support, hits
+      FROM (SELECT class, count(*) FILTER (WHERE label = class) AS support, count(*) FILTER (WHERE prediction = class) AS guessed,
+        (count(*) FILTER (WHERE label = class AND prediction = class))::DOUBLE AS hits FROM classes CROSS JOIN {predicted} GROUP BY class))
+    SELECT class::VARCHAR AS class, precision, recall, f1, support::BIGINT AS support FROM scores
+    UNION ALL SELECT 'accuracy', sum(hits) / sum(support), sum(hits) / sum(support), sum(hits) / sum(support), sum(support)::BIGINT FROM scores
+    UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support)::BIGINT FROM scores
+    UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+      sum(f1 * support) / sum(support), sum(support)::BIGINT FROM scores)"""
+
+
+_QUERIES |= {
+    "rating_rule_report": _report("rule_predicted"),
+    "home_win_model_metrics": _report("model_predicted"),
+    "next_round_probabilities": f"""SELECT * EXCLUDE (HomeWinProb), round(HomeWinProb, 2) AS HomeWinProb, round(1 - HomeWinProb, 2) AS AwayWinProb
+        FROM (SELECT f.* EXCLUDE (x0, x1, x2, x3), {_P} AS HomeWinProb FROM (SELECT g.*, {_SCALED} FROM ({_QUERIES["next_round_features"]}) g
+          CROSS JOIN scale WHERE HomeTeamElo IS NOT NULL AND AwayTeamElo IS NOT NULL) f CROSS JOIN weights)""",
+}
+
+
 def _needed(sql: str) -> set[str]:
     found: set[str] = set()
     todo = [sql]

@@ -8,6 +8,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contestry.functions import names, scoring
 from contestry.operators import quality, rating, reports, star
@@ -167,6 +168,23 @@ def null_profile(p: Pipeline) -> DataFrame:
     return quality.null_profile(feeds.raw_feed(p.spark, p.sf_dir))
 
 
+@query
+def file_lineage(p: Pipeline) -> DataFrame:
+    """Rows by the folder their file lies in, with one folder for each season."""
+    path = new_folder(p.spark, "seasons-csv")
+    feed = feeds.raw_feed(p.spark, p.sf_dir).select("MatchId", F.coalesce("Season", F.lit("unknown")).alias("Season"))
+    feed.write.options(header=True).partitionBy("Season").csv(path)
+    schema = T.StructType([f for f in schemas.RESULTS.fields if f.name == "MatchId"])
+    stored = files.with_file_lineage(files.read_csv(p.spark, path, schema))
+    folder = F.regexp_extract("source_file", "Season=([^/]+)/[^/]+[.]csv$", 1)
+    return quality.rows_per_source(stored.withColumn("source_file", folder))
+
+
+@query
+def gold_expectations(p: Pipeline) -> DataFrame:
+    return p.gold.expectations(AS_OF)
+
+
 @query
 def source_row_counts(p: Pipeline) -> DataFrame:
     return quality.rows_per_source(p.bronze)
@@ -598,24 +616,34 @@ def scaled_features(p: Pipeline) -> DataFrame:
     return rating.rounded(scaled, features.FEATURES, 4).select("MatchSequence", *features.FEATURES)
 
 
+@query
+def rating_rule_report(p: Pipeline) -> DataFrame:
+    """The report over a rule that needs no fit: the side with the higher rating wins at home."""
+    rule = p.split[1].withColumn("prediction", (F.col("EloDiff") > 0).cast("int"))
+    report = model.classification_report(rule)
+    return rating.rounded(report, ("precision", "recall", "f1"), 6)
+
+
 @query
 def home_win_model_metrics(p: Pipeline) -> DataFrame:
     train, test = p.split
-    return model.classification_report(model.fit_home_win(train).predict(test))
+    report = model.classification_report(model.fit_home_win(train).predict(test))
+    return rating.rounded(report, ("precision", "recall", "f1"), 6)
 
 
 @query
 def next_round_probabilities(p: Pipeline) -> DataFrame:
-    return model.next_round_probabilities(model.fit_home_win(p.split[0]), p.gold.next_features)
+    chances = model.next_round_probabilities(model.fit_home_win(p.split[0]), p.gold.next_features)
+    return rating.rounded(chances, ("EloDiff",), 6)
 
 
 # ---- files, tables, streams --------------------------------------------------------------
 
 
-def _write_csv(df: DataFrame, path: str) -> str:
+def _write_csv(df: DataFrame, path: str, mode: str = "error") -> str:
     # blanks around names are part of the data
     blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.write.options(header=True, **blanks).csv(path)
+    df.write.mode(mode).options(header=True, **blanks).csv(path)
     return path
 
 
@@ -636,15 +664,16 @@ def csv_schema_inference(p: Pipeline) -> DataFrame:
 
 @query
 def csv_statistics_ingest(p: Pipeline) -> DataFrame:
+    """Filled values and total of each of the 93 columns; texts have their length as total."""
     path = _write_csv(feeds.statistics(p.spark, p.sf_dir), new_folder(p.spark, "statistics-csv"))
     stats = files.read_csv(p.spark, path, schemas.STATISTICS)
-    sums = ("HomeTries", "AwayConversions", "HomePostContactMetres", "AwayMetresGained")
-    return stats.agg(
-        F.lit(len(stats.columns)).cast("long").alias("columns"),
-        F.count("*").alias("rows"),
-        *(F.sum(c).alias(c) for c in sums),
-        F.round(F.sum("`Home3-6sRuckSpeed`"), 4).alias("ruck"),
-        F.round(F.sum("`TerritoryHomeTry-Line-22m`"), 4).alias("zone"),
+    texts = [f.name for f in schemas.STATISTICS.fields if isinstance(f.dataType, T.StringType)]
+    value = lambda c: F.length(f"`{c}`") if c in texts else F.col(f"`{c}`")
+    sums = [F.struct(F.count(f"`{c}`").alias("n"), F.sum(value(c)).cast("double").alias("t")) for c in stats.columns]
+    row = stats.agg(*(s.alias(f"c{i}") for i, s in enumerate(sums)))
+    pairs = F.array(*(F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("v")) for i, c in enumerate(stats.columns)))
+    return row.select(F.explode(pairs).alias("p")).select(
+        "p.column", F.col("p.v.n").alias("filled"), F.round("p.v.t", 3).alias("total")
     )
 
 
@@ -702,6 +731,47 @@ def _table_name(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex}"
 
 
+@query
+def stream_schema_evolution(p: Pipeline) -> DataFrame:
+    """One landing folder, two runs: the second drop has a column more and another order."""
+    feed = feeds.raw_feed(p.spark, p.sf_dir)
+    landing, target = new_folder(p.spark, "landing"), new_folder(p.spark, "streamed")
+
+    def run() -> None:
+        checkpoint = f"{target}/_checkpoint"
+        ingest.store_drops(p.spark, f"{landing}/*", f"{target}/bronze", checkpoint, schemas.RESULTS).awaitTermination()
+
+    early = feed.filter("MatchId % 2 = 0").select("MatchId", "HomeTeam", "AwayTeam", "HomeScore", "AwayScore")
+    _write_csv(early, f"{landing}/first")
+    run()
+    late = feed.filter("MatchId % 2 = 1").withColumn("Referee", F.concat(F.lit("ref-"), F.col("MatchId") % 7))
+    _write_csv(late.select("AwayScore", "Referee", "AwayTeam", "HomeTeam", "MatchId", "HomeScore"), f"{landing}/second")
+    run()
+    stored = ingest.read_drops(p.spark, f"{target}/bronze", schemas.RESULTS)
+    return stored.select("MatchId", "HomeTeam", "AwayTeam", "HomeScore", "AwayScore", "Date", "Referee")
+
+
+@query
+def rewritten_landing(p: Pipeline) -> DataFrame:
+    """Files rewritten under their old names are read as they are now."""
+    path = new_folder(p.spark, "rewritten-csv")
+    feed = feeds.raw_feed(p.spark, p.sf_dir).select("MatchId", "HomeTeam", "HomeScore")
+    schema = T.StructType([f for f in schemas.RESULTS.fields if f.name in feed.columns])
+    _write_csv(feed, path)
+    before = files.read_csv(p.spark, path, schema).count()
+    _write_csv(feed.filter("HomeScore > 30"), path, "overwrite")
+    return files.read_csv(p.spark, path, schema).withColumn("before", F.lit(before).cast("long"))
+
+
+@query
+def overwrite_with_new_schema(p: Pipeline) -> DataFrame:
+    name = _table_name("overwritten")
+    tables.save_table(p.results.select("MatchId", "Season"), name)
+    replaced = p.results.select(F.col("Season").alias("Year"), "Result", F.col("HomeScore").cast("string").alias("MatchId"))
+    tables.save_table(replaced, name)
+    return tables.read_table(p.spark, name)
+
+
 @query
 def ctas_roundtrip(p: Pipeline) -> DataFrame:
     silver_name, counts_name = _table_name("silver"), _table_name("counts")
