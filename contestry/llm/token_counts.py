@@ -24,8 +24,8 @@ from contestry.llm.columns import only, whole_text
 LIMIT = 512
 #: pre-tokens of byte-level BPE
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: merged pre-tokens that a task remembers; beyond that it starts anew
-REMEMBERED = 400_000
+#: characters of merged pre-tokens that a task remembers; beyond that it starts anew
+REMEMBERED = 8_000_000
 #: stands for the count of a pre-token with characters on which the two Unicode tables may differ
 _UNSURE = -(1 << 60)
 
@@ -65,7 +65,7 @@ class TokenCounter:
         self.pattern = regex.compile(PRE_TOKENS)
         self.unsure = re.compile(_unassigned())
         self.split = regex.compile("|".join(map(regex.escape, self.added))) if self.added else None
-        self.cost = dict.fromkeys(self.whole, 1)
+        self.cost, self.remembered = dict.fromkeys(self.whole, 1), 0
 
     def _prove(self) -> list[str]:
         """The vocabulary's strings that are one pre-token and encode as one token."""
@@ -93,9 +93,10 @@ class TokenCounter:
         return [n if n >= 0 else len(self.tokenizer.encode(t, add_special_tokens=False).ids) for n, t in zip(counts, texts)]
 
     def _merge(self, pieces: set[str]) -> None:
-        if len(self.cost) > len(self.whole) + REMEMBERED:
-            self.cost = dict.fromkeys(self.whole, 1)
+        if self.remembered > REMEMBERED:
+            self.cost, self.remembered = dict.fromkeys(self.whole, 1), 0
         rest = [p for p in pieces if p not in self.cost]
+        self.remembered += sum(map(len, rest))
         for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             self.cost[p] = len(e.ids) if p.isascii() or not self.unsure.search(p) else _UNSURE
 
