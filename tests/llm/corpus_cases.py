@@ -1,3 +1,5 @@
+"""Rows and fixtures for the tests of the corpus operators."""
+
 import random
 
 import pytest

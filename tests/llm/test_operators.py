@@ -4,6 +4,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
+from corpus_cases import benchmark, documents, edge, empty, text_rows  # noqa: F401  (fixtures)
 from tokenizers import Tokenizer
 
 from contestry.llm import (
@@ -298,7 +299,16 @@ def test_every_rule_passes_the_gate():
     gate = re.compile("|".join(licenses.GATE))
     for rule in licenses.default_rules():
         name = re.sub(r"\(\?:[^()]*\)\?", "", rule.pattern.replace("[sc]", "s"))
-        assert gate.search(f" {rule.keyword} ") or gate.search(f" {name} "), rule
+        assert gate.search(f" {' '.join(rule.keywords)} ") or gate.search(f" {name} "), rule
+
+
+def test_keywords_stand_in_what_a_rule_matches():
+    import re
+
+    for rule in licenses.default_rules():
+        matched = re.sub(r"\(\?:[^()]*(?:\([^()]*\)[^()]*)*\)\?", "", rule.pattern)
+        matched = re.sub(r"\(\?:([^|()]*)\|[^()]*\)", r"\1", matched).replace("[sc]", "s")
+        assert all(f" {k}" in f" {matched}" for k in rule.keywords), (rule, matched)
 
 
 def test_words_and_hashes_do_not_depend_on_place():

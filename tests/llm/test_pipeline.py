@@ -2,6 +2,7 @@
 
 import brute
 import pytest
+from corpus_cases import benchmark, documents, edge, empty, text_rows  # noqa: F401  (fixtures)
 
 import __spark_entry__ as registered
 import corpus_pipeline
