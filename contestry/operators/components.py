@@ -12,30 +12,38 @@ def component_labels(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) for every node on an edge; equal component = connected.
 
     Each round points every node at its smallest neighbour, follows the pointers
-    twice, and contracts the graph: edges inside a group vanish and parallel ones
-    merge, so the edge table shrinks until it is empty. The work of a round is
-    joins and map-side combined aggregates over distinct pairs; no node's
-    neighbours are ever gathered in one place.
+    once, and contracts the graph: edges inside a group vanish and parallel ones
+    merge, so the edge table shrinks until it is empty. The rounds' pointers are
+    then joined from the last one back. The work is joins and map-side combined
+    aggregates over distinct pairs; no node's neighbours are ever gathered.
+
+    After a round most nodes of a large component point at one root. The joins on
+    pointers therefore have stored tables on both sides, one of them with unique
+    keys, so that adaptive execution can split such a root's rows.
     """
     pairs = materialize(_pairs(edges, F.col(a), F.col(b)), "pairs")
-    nodes = edges.select(F.explode(F.array(a, b)).alias("node")).distinct()
-    labels = nodes.withColumn("component", F.col("node"))
+    rounds: list[DataFrame] = []
     while not pairs.isEmpty():
         ends = F.array(F.struct("lo", "hi"), F.struct(F.col("hi").alias("lo"), F.col("lo").alias("hi")))
-        parents = (
+        nearest = (
             pairs.select(F.explode(ends).alias("e"))
             .groupBy(F.col("e.lo").alias("from"))
             .agg(F.min("e.hi").alias("near"))
             .select("from", F.least("from", "near").alias("to"))
         )
-        parents = materialize(_follow(_follow(parents)), "parents")
-        moved = labels.join(parents, F.col("component") == F.col("from"), "left")
-        labels = moved.select("node", F.coalesce("to", "component").alias("component"))
-        lo = parents.select(F.col("from").alias("lo"), F.col("to").alias("new_lo"))
-        hi = parents.select(F.col("from").alias("hi"), F.col("to").alias("new_hi"))
+        nearest = materialize(nearest, "nearest")
+        rounds.append(materialize(_follow(nearest, nearest), "parents"))
+        lo, hi = (rounds[-1].select(F.col("from").alias(c), F.col("to").alias(f"new_{c}")) for c in ("lo", "hi"))
         contracted = pairs.join(lo, "lo").join(hi, "hi")
         pairs = materialize(_pairs(contracted, F.col("new_lo"), F.col("new_hi")), "pairs")
-    return materialize(labels, "labels")
+    nodes = edges.select(F.explode(F.array(a, b)).alias("node")).distinct()
+    if not rounds:
+        return materialize(nodes.withColumn("component", F.col("node")), "labels")
+    roots = rounds.pop()
+    while rounds:
+        roots = materialize(_follow(rounds.pop(), roots), "roots")
+    known = nodes.join(roots, nodes.node == F.col("from"), "left")
+    return materialize(known.select("node", F.coalesce("to", "node").alias("component")), "labels")
 
 
 def _pairs(df: DataFrame, a, b) -> DataFrame:
@@ -45,7 +53,7 @@ def _pairs(df: DataFrame, a, b) -> DataFrame:
     )
 
 
-def _follow(parents: DataFrame) -> DataFrame:
-    """Replace each pointer by the pointer of its target."""
-    step = parents.select(F.col("from").alias("to"), F.col("to").alias("next"))
+def _follow(parents: DataFrame, ahead: DataFrame) -> DataFrame:
+    """Replace each pointer by the pointer of its target in ``ahead``, if it has one."""
+    step = ahead.select(F.col("from").alias("to"), F.col("to").alias("next"))
     return parents.join(step, "to", "left").select("from", F.coalesce("next", "to").alias("to"))

@@ -99,3 +99,29 @@ def test_components_of_a_shuffled_path(spark):
 
 def test_components_of_a_hub_and_of_loops(spark):
     check_components(spark, [(500, i) for i in range(1, 400)] + [(1000, 1000), (1001, 1002)])
+
+
+def test_a_hub_is_not_gathered_in_one_task(spark):
+    """A star of 20,000 nodes: the joins on its root are split over many tasks."""
+    conf = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        edges = spark.range(1, 20_000).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
+        extra = spark.createDataFrame([(5, 30_000), (30_000, 30_001)], "a long, b long")
+        labels = component_labels(edges.union(extra), "a", "b")
+        assert labels.filter("component = 0").count() == labels.count() == 20_002
+        # every round but the last points at one root: see how its table was written
+        parts = spark.read.parquet(*labels.inputFiles()).groupBy("_metadata.file_path").count()
+        assert max(r["count"] for r in parts.collect()) < 20_002 / 4
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
