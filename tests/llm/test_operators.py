@@ -151,14 +151,25 @@ def test_repeated_spans_with_hot_samples(documents, text_rows, monkeypatch, spar
 
 
 def test_long_text_is_cut_into_segments(monkeypatch):
-    monkeypatch.setattr(suffix_spans, "_SEGMENT", 1000)
     data = np.random.default_rng(0).integers(97, 99, 30_000).astype(np.uint8)
+    whole = suffix_spans.Samples(data, np.array([0, 7000, len(data)]), 50)
+    monkeypatch.setattr(suffix_spans, "_SEGMENT", 700)
+    for name in ("row", "first", "last", "at", "hash"):
+        own = getattr(suffix_spans.Samples(data, np.array([0, 7000, len(data)]), 50), name)
+        assert (own == getattr(whole, name)).all()
     s = suffix_spans.Samples(data, np.array([0, len(data)]), 50)
     starts = np.concatenate([np.arange(a, b + 1) for a, b in zip(s.first, s.last)])
     assert (starts == np.arange(len(data) - 49)).all()
     assert ((s.at >= s.first) & (s.at + suffix_spans.SAMPLE <= s.first + 50)).all()
 
 
+def test_repeated_spans_do_not_depend_on_runs(documents, text_rows, monkeypatch):
+    """Runs of one task are cut elsewhere than those of another."""
+    monkeypatch.setattr(suffix_spans, "_SEGMENT", 1500)
+    part = documents.filter("doc_id < 90")
+    same(suffix_spans.repeat_report(part), brute.repeats(text_rows(part)))
+
+
 def test_equal_strings_have_equal_samples():
     rng = np.random.default_rng(1)
     string = rng.integers(97, 101, 50).astype(np.uint8)
