@@ -1,7 +1,7 @@
 """License scans by ordered signature rules.
 
 Rules are regular expressions over a text's plain words (lower case, one blank
-between words). A rule is tried only on texts that hold its keyword; detections
+between words). A rule is tried only on texts that hold its keywords; detections
 that lie inside others, and the weaker of two that overlap, are suppressed.
 """
 
@@ -19,7 +19,7 @@ from contestry.session import materialize
 @dataclass(frozen=True)
 class Rule:
     label: str
-    keyword: str  # plain words that every match holds
+    keywords: tuple[str, str]  # plain words that every match holds; the second may be empty
     pattern: str  # over plain words, from the start of a word to the end of one
     priority: int  # of overlapping detections the one with the higher priority stays
     score: float  # how sure a match is, 0 to 1
@@ -80,15 +80,15 @@ PHRASES = (
     ("under", r"(?:released|distributed|published|provided) under (?:the )?(?:terms of the )?{name}(?: licen[sc]e)?" + _VERSION, 85, 0.9),
     ("terms of", r"terms of (?:the )?{name}(?: licen[sc]e)?" + _VERSION, 80, 0.8),
     ("license", r"licen[sc]e {name}" + _VERSION, 60, 0.7),
-    ("{name}", r"{name} licen[sc]e" + _VERSION, 70, 0.75),
+    ("licen", r"{name} licen[sc]e" + _VERSION, 70, 0.75),
 )
 #: other statements
 STATEMENTS = (
-    Rule("all-rights-reserved", "all rights reserved", "all rights reserved", 50, 0.6),
-    Rule("public-domain", "public domain", r"(?:released |dedicated )?(?:in|into|to) the public domain", 50, 0.7),
-    Rule("public-domain", "public domain", "public domain dedication", 55, 0.8),
-    Rule("copyright", "copyright", r"copyright (?:c )?(?:19|20)[0-9][0-9](?: (?:19|20)[0-9][0-9])*", 40, 0.4),
-    Rule("proprietary", "proprietary", r"proprietary (?:and confidential|software|licen[sc]e)", 50, 0.6),
+    Rule("all-rights-reserved", ("all rights reserved", ""), "all rights reserved", 50, 0.6),
+    Rule("public-domain", ("public domain", ""), r"(?:released |dedicated )?(?:in|into|to) the public domain", 50, 0.7),
+    Rule("public-domain", ("public domain", ""), "public domain dedication", 55, 0.8),
+    Rule("copyright", ("copyright", ""), r"copyright (?:c )?(?:19|20)[0-9][0-9](?: (?:19|20)[0-9][0-9])*", 40, 0.4),
+    Rule("proprietary", ("proprietary", ""), r"proprietary (?:and confidential|software|licen[sc]e)", 50, 0.6),
 )
 #: label: phrase
 BASE = {"mit": "mit license", "apache": "apache license", "gpl": "general public license"}
@@ -97,12 +97,12 @@ BASE = {"mit": "mit license", "apache": "apache license", "gpl": "general public
 def default_rules() -> list[Rule]:
     """Base phrases, one rule for each family, name and phrase, and statements."""
     named = [
-        Rule(label, keyword.format(name=name), pattern.replace("{name}", name), priority, score)
+        Rule(label, (keyword, name), pattern.replace("{name}", name), priority, score)
         for label, names in FAMILIES.items()
         for name in names
         for keyword, pattern, priority, score in PHRASES
     ]
-    base = [Rule(label, phrase, phrase, 65, 0.75, True) for label, phrase in BASE.items()]
+    base = [Rule(label, (phrase, ""), phrase, 65, 0.75, True) for label, phrase in BASE.items()]
     return base + named + list(STATEMENTS)
 
 
@@ -135,7 +135,8 @@ def detections(scanned: DataFrame, rules: list[Rule]) -> DataFrame:
         *(
             F.struct(
                 F.lit(i).alias("rule"),
-                F.lit(f" {r.keyword}").alias("keyword"),
+                F.lit(f" {r.keywords[0]}").alias("keyword"),
+                F.lit(f" {r.keywords[1]}").alias("name"),
                 F.lit(f"(?<= )(?:{r.pattern})(?= )").alias("pattern"),
                 F.lit(r.label).alias("label"),
                 F.lit(r.priority).alias("priority"),
@@ -145,9 +146,11 @@ def detections(scanned: DataFrame, rules: list[Rule]) -> DataFrame:
             for i, r in enumerate(rules)
         )
     )
+    holds = lambda word: F.contains(F.col("words"), word)
+    tried_on = lambda r: holds(r["keyword"]) & holds(r["name"])
     tried = (
         scanned.filter(F.col("words").isNotNull())
-        .select("_row", "words", F.explode(F.filter(table, lambda r: F.contains(F.col("words"), r["keyword"]))).alias("r"))
+        .select("_row", "words", F.explode(F.filter(table, tried_on)).alias("r"))
         .select("_row", "r", F.regexp_replace("words", F.col("r.pattern"), F.lit(f"{_OPEN}$0{_CLOSE}")).alias("marked"))
         .filter(F.contains("marked", F.lit(_OPEN)))
         .select("_row", "r", F.split(F.substring("marked", 2, 2**31 - 1), " ").alias("marked"))
@@ -160,7 +163,7 @@ def detections(scanned: DataFrame, rules: list[Rule]) -> DataFrame:
         .select(
             "_row", F.col("at.first").cast("long").alias("first"), F.col("at.last").cast("long").alias("last"), "r.*"
         )
-        .drop("keyword", "pattern")
+        .drop("keyword", "name", "pattern")
     )
 
 
