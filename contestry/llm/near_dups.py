@@ -116,7 +116,8 @@ def _nodes(sets: DataFrame) -> DataFrame:
     rows = sets.select("v", root).select("tree", F.xxhash64("tree", "token").alias("node"), "v")
     leaves = []
     for depth, largest in enumerate((*LARGEST, None)):
-        sizes = rows.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
+        # stored, so that adaptive execution can split the rows of a large node in the join
+        sizes = materialize(rows.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1"), "node-sizes")
         sized = materialize(rows.join(sizes, "node"), f"depth{depth}")
         leaf = sized.filter(F.col("size") <= largest) if largest else sized
         leaves.append(leaf.select("tree", "node", "v", (F.col("size") > 2 * BLOCK).alias("large")))
