@@ -135,7 +135,8 @@ def wide_fact(
     rounds: DataFrame,
     results: DataFrame,
 ) -> DataFrame:
-    """Every contest with all its dimension rows and both sides' ratings, left-joined.
+    """Every contest with all its dimension rows and both sides' ratings, left-joined,
+    with its stage and load time.
 
     ``ratings`` has one row per MatchKey (``rating.rate`` or ``rating.flat_start``).
     """
@@ -156,5 +157,11 @@ def wide_fact(
         .join(home, "HomeTeamId", "left")
         .join(away, "AwayTeamId", "left")
         .join(rounds.select("RoundId", "RoundName"), "RoundId", "left")
-        .withColumn("MatchPointsDifference", F.col("HomePointsDifference"))
+        .withColumns(
+            {
+                "MatchPointsDifference": F.col("HomePointsDifference"),
+                "lastUpload": F.current_timestamp(),
+                "pipelineStage": F.lit("goldTransformation"),
+            }
+        )
     )

@@ -33,6 +33,9 @@ TABLES = {
     "last_played_round": "last_rounds",
     "match_features": "next_features",
 }
+# Filters by season read one folder, filters by team few row groups of it.
+PARTITIONS = {"fact_elo": "SeasonId"}
+SORTED = {"fact_elo": ("SeasonId", "TeamId")}
 
 
 class Gold:
@@ -164,7 +167,11 @@ class Gold:
     def refresh(self, schema: str) -> dict[str, DataFrame]:
         """Full refresh of all gold tables in a catalog schema."""
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-        return {
-            name: save_table(getattr(self, part), f"{schema}.{name}", properties={"quality": "gold"})
-            for name, part in TABLES.items()
-        }
+        stored = {}
+        for name, part in TABLES.items():
+            df = getattr(self, part)
+            if name in SORTED:
+                df = df.sortWithinPartitions(*SORTED[name])
+            gold = {"quality": "gold"}
+            stored[name] = save_table(df, f"{schema}.{name}", properties=gold, partition_by=PARTITIONS.get(name))
+        return stored

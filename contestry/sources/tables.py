@@ -12,10 +12,14 @@ def save_table(
     name: str,
     comment: str | None = None,
     properties: Mapping[str, str] | None = None,
+    partition_by: str | None = None,
 ) -> DataFrame:
-    """Replace the table with ``df``, schema included, and return the stored table."""
+    """Replace the table with ``df``, schema included, and return the stored table.
+
+    With ``partition_by`` that column comes last, and a filter on it reads its folders only.
+    """
     spark = df.sparkSession
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+    df.write.mode("overwrite").format("parquet").saveAsTable(name, partitionBy=partition_by)
     if comment:
         spark.sql(f"COMMENT ON TABLE {name} IS '{comment.replace(chr(39), chr(92) + chr(39))}'")
     if properties:

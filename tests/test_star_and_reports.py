@@ -196,6 +196,9 @@ def test_refresh_stores_every_table(spark, gold):
     properties = {r["key"]: r["value"] for r in spark.sql("SHOW TBLPROPERTIES refreshed.fact_elo").collect()}
     assert properties["quality"] == "gold"
     assert rows(stored["latest_elo"]) == rows(gold.latest)
+    one = stored["fact_elo"].filter("SeasonId = 1")
+    assert one.count() == gold.ratings.filter("SeasonId = 1").count()
+    assert "PartitionFilters: [isnotnull(SeasonId" in one._jdf.queryExecution().executedPlan().toString()
     gold.refresh("refreshed")  # a second refresh replaces the first
 
 

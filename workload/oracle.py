@@ -565,7 +565,7 @@ _QUERIES: dict[str, str] = {
         UNION ALL SELECT 'season', count(*) FROM upcoming WHERE Season NOT IN (SELECT Season FROM seasons) OR Season IS NULL""",
     "wide_fact": f"""SELECT f.MatchKey, HomeTeamId, AwayTeamId, f.SeasonId, f.RoundId, HomeScore, AwayScore, f.Result,
         HomePointsDifference, AwayPointsDifference, HomePointsDifference AS MatchPointsDifference, ResultId, Season,
-        h.TeamName AS HomeTeam, a.TeamName AS AwayTeam, r.RoundName, {_FLAT_COLUMNS}
+        h.TeamName AS HomeTeam, a.TeamName AS AwayTeam, r.RoundName, 'goldTransformation' AS pipelineStage, {_FLAT_COLUMNS}
         FROM facts f LEFT JOIN (SELECT MatchKey, w.* EXCLUDE (HomeTeamId, AwayTeamId) FROM sequence JOIN eloflat_wide w USING (MatchSequence)) e ON e.MatchKey = f.MatchKey
         LEFT JOIN results USING (Result) LEFT JOIN seasons y ON y.SeasonId = f.SeasonId
         LEFT JOIN teams h ON h.TeamId = HomeTeamId LEFT JOIN teams a ON a.TeamId = AwayTeamId

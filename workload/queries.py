@@ -98,7 +98,7 @@ def query(build: Callable[[Pipeline], DataFrame]) -> Callable[[Pipeline], DataFr
 
 def without_times(df: DataFrame) -> DataFrame:
     """Leave out columns that differ from run to run."""
-    return df.drop("_silver_ingest_timestamp", "_ingest_date", "ingestTimestamp")
+    return df.drop("_silver_ingest_timestamp", "_ingest_date", "ingestTimestamp", "lastUpload")
 
 
 # ---- ingest and cleaning -----------------------------------------------------------------
@@ -306,7 +306,7 @@ def wide_fact(p: Pipeline) -> DataFrame:
     s = p.gold
     ratings = rating.flat_start(s.sequence)
     results = star.dim_results(s.silver)
-    return star.wide_fact(s.facts, ratings, s.teams, s.seasons, s.rounds, results)
+    return without_times(star.wide_fact(s.facts, ratings, s.teams, s.seasons, s.rounds, results))
 
 
 @query
@@ -731,6 +731,14 @@ def _table_name(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex}"
 
 
+def _dropped(p: Pipeline, result: DataFrame, *names: str) -> DataFrame:
+    """The result, stored, without the tables it was made from."""
+    result = materialize(result, "from-tables")
+    for name in names:
+        p.spark.sql(f"DROP TABLE {name}")
+    return result
+
+
 @query
 def stream_schema_evolution(p: Pipeline) -> DataFrame:
     """One landing folder, two runs: the second drop has a column more and another order."""
@@ -769,7 +777,7 @@ def overwrite_with_new_schema(p: Pipeline) -> DataFrame:
     tables.save_table(p.results.select("MatchId", "Season"), name)
     replaced = p.results.select(F.col("Season").alias("Year"), "Result", F.col("HomeScore").cast("string").alias("MatchId"))
     tables.save_table(replaced, name)
-    return tables.read_table(p.spark, name)
+    return _dropped(p, tables.read_table(p.spark, name), name)
 
 
 @query
@@ -783,7 +791,7 @@ def ctas_roundtrip(p: Pipeline) -> DataFrame:
         counts_name,
         f"SELECT Season, Result, count(*) AS matches FROM {silver_name} GROUP BY Season, Result",
     )
-    return tables.read_table(p.spark, counts_name)
+    return _dropped(p, tables.read_table(p.spark, counts_name), silver_name, counts_name)
 
 
 @query
@@ -791,4 +799,4 @@ def append_roundtrip(p: Pipeline) -> DataFrame:
     name = _table_name("appended")
     tables.save_table(p.results.select("MatchId", "Season"), name)
     stored = tables.append_table(p.upcoming.select("MatchId", "Season"), name)
-    return reports.counts_by(stored, "Season", name="rows")
+    return _dropped(p, reports.counts_by(stored, "Season", name="rows"), name)
