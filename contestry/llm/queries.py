@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from contestry.llm import decontaminate, exact_names, licenses, mixture, near_dups, preferences, private_crf, quality_lm, suffix_spans, token_counts
+from contestry.llm import (
+    decontaminate,
+    exact_names,
+    licenses,
+    mixture,
+    near_dups,
+    preferences,
+    private_crf,
+    quality_lm,
+    suffix_spans,
+    token_counts,
+)
+from contestry.llm.oracles import ORACLE_SQL  # noqa: F401
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,8 +52,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None) -> DataFrame:
-    path = tokenizer_path or public_tokenizers.path("byte_bpe_50k.json")
-    return token_counts.token_report(_table(spark, sf_dir, "documents"), path)
+    if tokenizer_path is None:
+        import public_tokenizers
+
+        tokenizer_path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.token_report(_table(spark, sf_dir, "documents"), tokenizer_path)
 
 
 def op8_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,5 +74,3 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_classifier, op2_near_duplicates, op3_decontamination, op4_repeated_spans, op5_preference_pairs, op6_exact_dedup, op7_token_counts, op8_private_data, op9_source_mix, op10_license_scan)
 }
-
-ORACLE_SQL: dict[str, str] = {"op5_preference_pairs": preferences.PREFERENCE_SQL}

@@ -1,6 +1,7 @@
 """The pipeline against brute force, stage by stage, on the smallest table and on edge cases."""
 
 import brute
+import duckdb
 import pytest
 from corpus_cases import benchmark, documents, edge, empty, text_rows  # noqa: F401  (fixtures)
 
@@ -89,4 +90,22 @@ def test_registered():
     names = {n.split("_")[0]: n for n in queries.QUERIES}
     assert set(names) == {f"op{i}" for i in range(1, 11)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(registered.queries())
-    assert registered.oracle_sql()[names["op5"]] == queries.ORACLE_SQL[names["op5"]]
+    assert {names[f"op{i}"] for i in (2, 3, 4, 5, 6)} == set(queries.ORACLE_SQL)
+    assert all(registered.oracle_sql()[n] == sql for n, sql in queries.ORACLE_SQL.items())
+
+
+@pytest.fixture(scope="module")
+def sql():
+    connection = duckdb.connect()
+    for table in ("documents", "benchmark", "conversations"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    return connection
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_equals_sql(spark, sql, name):
+    cursor = sql.execute(queries.ORACLE_SQL[name])
+    columns = [c[0] for c in cursor.description]
+    found = queries.QUERIES[name](spark, SF)
+    assert sorted(found.columns) == sorted(columns)
+    assert sorted(map(tuple, found.select(*columns).collect())) == sorted(cursor.fetchall())
