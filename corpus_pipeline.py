@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from contestry.llm import decontaminate, exact_names, mixture, near_dups, quality_lm
-from contestry.session import materialize
+from contestry.session import new_folder, scope
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +53,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn; each result is written and read back for the next."""
+    """All stages in turn; each result is written and read back for the next, and what a
+    stage has stored on its way is deleted then."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        path = new_folder(spark, name)
+        with scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.schema(docs.schema).parquet(path)
     return docs
