@@ -140,10 +140,12 @@ def _rate_groups(games: DataFrame, state: DataFrame, k: float, scale: float) ->
         state.select(F.col("TeamId").alias(f"{s}TeamId"), F.col("Elo").alias(f"{s}StartingElo"))
         for s in ("Home", "Away")
     )
+    # a stated number keeps adaptive execution from putting the groups of a slice in one task
+    tasks = int(games.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ready = (
         games.join(home, "HomeTeamId")
         .join(away, "AwayTeamId")
-        .repartition("component")
+        .repartition(tasks, "component")
         .sortWithinPartitions("component", "MatchSequence")
     )
     kept = [f for f in games.schema.fields if f.name not in ("_actual", "component")]
