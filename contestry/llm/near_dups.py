@@ -3,10 +3,10 @@
 Documents are sets of word shingles. Independent trees branch them by minwise
 tokens: at a node the documents with the same least token under the node's hash
 go to the same child. Small nodes are compared exhaustively on full sets; large
-ones branch again. A pair of similarity s meets in a tree's first node with
-probability s, so all trees miss it with (1 - s) ** TREES: below 1e-13 at 0.8. In a
-node at depth d it is s ** d: below 1e-6 for the third, which takes 512 documents
-that agree twice.
+ones branch again, every other time by two tokens, each by a hash of its own. A
+pair of similarity s meets in a tree's first node with probability s, so all trees
+miss it with (1 - s) ** TREES: below 1e-13 at 0.8. ``miss_bound`` gives the same for
+pairs that only meet in deeper nodes: below 1e-6 at every depth.
 
 Nothing lists all pairs of a group. A node gives a spanning forest of its links,
 and nodes whose documents are known to be connected are not compared at all.
@@ -39,11 +39,21 @@ HASHES = 64
 BLOCK = 128
 #: a node branches if it is larger; what is left at the last depth is compared by blocks
 LARGEST = (2 * BLOCK, 4 * BLOCK, 16 * BLOCK, 128 * BLOCK, 1024 * BLOCK)
+#: by how many independent tokens a node of each depth branches
+BRANCHES = (1, 2, 1, 2, 1)
 
 _SEEDS = tx.mixed(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTORS, _MASKS = _SEEDS[:HASHES] | np.uint64(1), _SEEDS[HASHES:]
 
 
+def miss_bound(depth: int, similarity: float = PERCENT / 100) -> float:
+    """How probable it is that a pair which only meets at this depth meets in no tree."""
+    missed = 0.0
+    for branches in reversed(BRANCHES[: depth - 1]):
+        missed = (1 - similarity * (1 - missed)) ** branches
+    return (1 - similarity * (1 - missed)) ** TREES
+
+
 def shingle_sets(column: pa.Array, k: int) -> Iterator[list[np.ndarray]]:
     """For each run of rows, the sorted distinct shingle hashes of every row."""
     data, offsets = tx.utf8(column)
@@ -85,8 +95,7 @@ def profiles(docs: DataFrame, k: int = WORDS) -> DataFrame:
                     joined = np.concatenate(sets)
                     at = (np.cumsum(sizes) - sizes)[some]
                     for j in range(HASHES):
-                        values = (((joined ^ _MASKS[j]) * _FACTORS[j]) >> np.uint64(32)).astype(np.uint32)
-                        least[some, j] = np.minimum.reduceat(values, at)
+                        least[some, j] = _least(joined, at, _MASKS[j], _FACTORS[j])
                 mins.append(least.view(np.int32))
                 sketch += [r.tobytes() for r in least.astype(np.uint8)]
             sizes = np.concatenate(n) if n else np.empty(0, np.int64)
@@ -105,16 +114,51 @@ def profiles(docs: DataFrame, k: int = WORDS) -> DataFrame:
     )
 
 
-def _nodes(sets: DataFrame) -> DataFrame:
+def _least(joined: np.ndarray, at: np.ndarray, mask: np.uint64, factor: np.uint64) -> np.ndarray:
+    """The least hash of each set, of sets that begin at the given places."""
+    return np.minimum.reduceat((((joined ^ mask) * factor) >> np.uint64(32)).astype(np.uint32), at)
+
+
+def _tokens(texts: DataFrame, depth: int, n: int, k: int) -> DataFrame:
+    """(v, tokens): n minwise tokens of each text, by hashes that only this depth uses."""
+    seeds = tx.mixed(tx.mixed(np.arange(1, 2 * n + 1, dtype=np.uint64) + (np.uint64(depth) << np.uint64(32))))
+    factors, masks = seeds[:n] | np.uint64(1), seeds[n:]
+
+    def describe(batches):
+        for batch in batches:
+            v, begin = batch.column("v"), 0
+            for sets in shingle_sets(batch.column("text"), k):
+                sizes = np.array([len(s) for s in sets])
+                joined, at = np.concatenate(sets), np.cumsum(sizes) - sizes
+                least = np.stack([_least(joined, at, m, f) for m, f in zip(masks, factors)], 1)
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.arange(len(sets) + 1) * n, pa.int32()), pa.array(least.ravel().view(np.int32), pa.int32())
+                )
+                yield pa.RecordBatch.from_arrays([v.slice(begin, len(sets)), lists], names=["v", "tokens"])
+                begin += len(sets)
+
+    return texts.select("v", "text").mapInArrow(describe, "v bigint, tokens array<int>")
+
+
+def _texts(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(v, text) of the wanted sets."""
+    keys = sets.join(wanted, "v", "left_semi").select("v", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    text = only(docs, doc_id="doc_id", text="text").withColumn("_text_hash", F.xxhash64("text"))
+    return text.join(keys, text.doc_id.eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))).select("v", "text")
+
+
+def _nodes(sets: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     """(tree, node, v, large): the leaves of all trees that hold two sets at least.
 
-    Each deeper node branches by a hash of its own. The larger a node, the deeper
+    A node branches by hashes that belong to its depth, its tree and the branches
+    taken so far, so no two steps share one. The larger a node, the deeper
     its leaves: a pair parts with probability 1 - s at each step, while documents
-    that only share some passage part almost surely.
+    that only share some passage part almost surely. The tokens of the second depth
+    are among ``mins``; those of deeper ones are made for the sets that get there.
     """
     root = F.posexplode(F.slice("mins", 1, TREES)).alias("tree", "token")
-    rows = sets.select("v", root).select("tree", F.xxhash64("tree", "token").alias("node"), "v")
-    leaves = []
+    rows = sets.select("v", root).select("tree", F.lit(0).alias("path"), F.xxhash64("tree", "token").alias("node"), "v")
+    leaves, paths, texts = [], 1, None
     for depth, largest in enumerate((*LARGEST, None)):
         # stored, so that adaptive execution can split the rows of a large node in the join
         sizes = materialize(rows.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1"), "node-sizes")
@@ -126,9 +170,22 @@ def _nodes(sets: DataFrame) -> DataFrame:
         inner = sized.filter(F.col("size") > largest)
         if inner.isEmpty():
             break
-        chosen = (F.pmod(F.xxhash64("node"), F.lit(HASHES - TREES)) + TREES + 1).cast("int")
-        token = F.element_at("mins", chosen)
-        rows = inner.join(sets.select("v", "mins"), "v").select("tree", F.xxhash64("node", token).alias("node"), "v")
+        branches = BRANCHES[depth]
+        paths *= branches
+        if depth == 0:
+            tokens = sets.select("v", F.slice("mins", TREES + 1, TREES * paths).alias("tokens"))
+        else:
+            wanted = inner.select("v").distinct()
+            if texts is None:  # rows that repeat id and text are one set
+                texts = materialize(_texts(docs, sets, wanted).dropDuplicates(["v"]), "hot-texts")
+            tokens = materialize(_tokens(texts.join(wanted, "v", "left_semi"), depth, TREES * paths, k), f"tokens{depth}")
+        path = F.explode(F.sequence(F.col("path") * branches, F.col("path") * branches + branches - 1)).alias("path")
+        token = F.element_at("tokens", F.col("tree") * paths + F.col("path") + 1)
+        rows = (
+            inner.select("tree", "node", "v", path)
+            .join(tokens, "v")
+            .select("tree", "path", F.xxhash64("node", "path", token).alias("node"), "v")
+        )
     return reduce(DataFrame.unionByName, leaves)
 
 
@@ -305,14 +362,9 @@ def classes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFram
         ),
         "sets",
     )
-    nodes = materialize(_promising(materialize(_nodes(sets), "nodes"), sets), "promising")
+    nodes = materialize(_promising(materialize(_nodes(sets, docs, k), "nodes"), sets), "promising")
     wanted = nodes.select("v").distinct()
-    keys = sets.join(wanted, "v", "left_semi").select("v", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    text = only(docs, doc_id="doc_id", text="text").withColumn("_text_hash", F.xxhash64("text"))
-    texts = materialize(
-        text.join(keys, text.doc_id.eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))).select("v", "text"),
-        "texts",
-    )
+    texts = materialize(_texts(docs, sets, wanted), "texts")
     links, labels = None, None
     for trees in (nodes.filter(F.col("tree") < FIRST_TREES), nodes):
         found = materialize(_links(_dealt(trees, labels), texts, k, percent), "links")

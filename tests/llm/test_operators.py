@@ -100,6 +100,16 @@ def test_a_chain_of_near_copies_in_one_large_node(spark, monkeypatch):
     same(near_dups.near_duplicate_report(docs), expected_near(rows))
 
 
+def test_pairs_that_only_meet_at_the_last_depth_are_found(spark, monkeypatch):
+    """Every node branches down to the last depth, and 3,000 pairs of similarity 0.8 still meet."""
+    monkeypatch.setattr(near_dups, "LARGEST", (1,) * 5)
+    say = lambda name, n: " ".join(f"{name}w{i}" for i in range(n))
+    rows = [(i, f"{say(f'p{i // 2}', 83)} {say(f'own{i}', 10)}") for i in range(6000)]
+    found = near_dups.near_duplicate_report(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert found.filter("kept").count() == 3000
+    assert all(near_dups.miss_bound(depth) < 1e-6 for depth in range(1, len(near_dups.LARGEST) + 2))
+
+
 def test_near_dedup_keeps_one_of_each_class(docs, text_rows):
     kept = near_dups.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
