@@ -23,8 +23,10 @@ KINDS = ("email", "ip", "card", "phone")
 LABELS = ("other", *KINDS)
 #: tokens on either side of one with a digit or @ that make up a sequence with it
 CONTEXT = 3
-#: longest sequence that is decoded as one; longer ones are cut
+#: longest sequence that is decoded beside others; longer ones go by pieces of so many tokens
 SEQUENCE = 64
+#: tokens on either side that the features of one look at
+BESIDE = 2
 ROUNDS, RATE, DECAY = 300, 0.1, 0.01
 
 # ---- fixed patterns --------------------------------------------------------------------
@@ -174,7 +176,7 @@ _CUES = frozenset(
 def shape(word: str) -> str:
     """X, x and d for letters and digits, with runs as their length up to 5."""
     out, last, n = [], "", 0
-    for c in word[:64] + "\0":
+    for c in word + "\0":
         kind = "d" if "0" <= c <= "9" else "x" if c.islower() else "X" if c.isalpha() else c
         if kind == last:
             n += 1
@@ -237,10 +239,6 @@ def sequences(text: str) -> Iterator[list[tuple[int, int]]]:
             if held:
                 yield held
                 held = []
-            continue
-        if len(held) >= SEQUENCE:
-            yield held
-            held, before = [], []
     if held:
         yield held
 
@@ -283,6 +281,30 @@ class Field:
             path[:, t - 1] = back[np.arange(n), t, path[:, t]]
         return [p[:k] for p, k in zip(path, lengths)]
 
+    def decode_long(self, words: list[str]) -> np.ndarray:
+        """The best labels of one sequence of any length, the same as ``decode`` gives.
+
+        Features are made piece by piece; the scores of the paths, and the tokens
+        beside, go over the cuts.
+        """
+        back = np.zeros((len(words), len(LABELS)), np.int8)
+        best: np.ndarray | None = None
+        for a in range(0, len(words), SEQUENCE):
+            left = max(a - BESIDE, 0)
+            names = features(words[left : a + SEQUENCE + BESIDE])[a - left :][:SEQUENCE]
+            for t, score in enumerate(self._scores([names])[0][0], a):
+                if best is None:
+                    best = score
+                    continue
+                paths = best[:, None] + self.step
+                back[t] = paths.argmax(0)
+                best = paths.max(0) + score
+        path = np.zeros(len(words), np.int8)
+        path[-1] = best.argmax()
+        for t in range(len(words) - 1, 0, -1):
+            path[t - 1] = back[t, path[t]]
+        return path
+
 
 def _log_sum(a: np.ndarray, axis: int) -> np.ndarray:
     top = a.max(axis, keepdims=True)
@@ -351,19 +373,26 @@ def added_spans(texts: list[str], base: list[list[Span]], field: Field) -> list[
     span that meets a base span, or can't be of its kind, is dropped.
     """
     batch, where = [], []
+    out: list[list[Span]] = [[] for _ in texts]
+
+    def add(i: int, places: list[tuple[int, int]], path: np.ndarray) -> None:
+        for span in _runs(texts[i], places, path):
+            if all(span[2] <= s or e <= span[1] for _, s, e in base[i]):
+                out[i].append(span)
+
     for i, text in enumerate(texts):
         for places in sequences(text):
-            batch.append(features([text[a:b] for a, b in places]))
+            words = [text[a:b] for a, b in places]
+            if len(words) > SEQUENCE:
+                add(i, places, field.decode_long(words))
+                continue
+            batch.append(features(words))
             where.append((i, places))
-    out: list[list[Span]] = [[] for _ in texts]
     order = sorted(range(len(batch)), key=lambda j: len(batch[j]))
     for a in range(0, len(order), 512):
         some = order[a : a + 512]
         for j, path in zip(some, field.decode([batch[j] for j in some])):
-            i, places = where[j]
-            for span in _runs(texts[i], places, path):
-                if all(span[2] <= s or e <= span[1] for _, s, e in base[i]):
-                    out[i].append(span)
+            add(*where[j], path)
     return [sorted(s, key=lambda x: (x[1], KINDS.index(x[0]))) for s in out]
 
 

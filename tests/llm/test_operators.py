@@ -254,6 +254,19 @@ def test_field_finds_what_the_patterns_miss():
     assert not any(f for f, (_, want) in zip(found, HELD_OUT) if not want)
 
 
+def test_no_number_of_a_long_list_is_lost():
+    text = "numbers: " + "mobile 0170 1234 5678 or " * 300
+    (found,) = private_crf.added_spans([text], [private_crf.base_spans(text)], private_crf.train())
+    assert [text[a:b] for kind, a, b in found if kind == "phone"] == ["0170 1234 5678"] * 300 and len(found) == 300
+
+
+def test_a_long_sequence_is_decoded_as_one():
+    field = private_crf.train()
+    words = [w for text, _ in HELD_OUT for w in text.split()] * 5
+    assert len(words) > 3 * private_crf.SEQUENCE
+    assert field.decode_long(words).tolist() == field.decode([private_crf.features(words)])[0].tolist()
+
+
 def test_viterbi_is_the_best_of_all_paths():
     import itertools
 
