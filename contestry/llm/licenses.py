@@ -72,22 +72,68 @@ FAMILIES = {
     "cc-by-nc-sa": ("cc by nc sa", "creative commons attribution noncommercial sharealike"),
     "cc-by-nc-nd": ("cc by nc nd", "creative commons attribution noncommercial noderivatives"),
 }
-_VERSION = r"(?: (?:version |v)?[0-9]+(?: [0-9]+)*(?: or later| only)?)?"
+#: a version after a name or joined to it
+_VERSION = r"(?:(?: version | v| |v|)[0-9]+(?: [0-9]+)*(?: or later| only)?)?"
+#: words between a name and "license"
+_BETWEEN = r"(?: (?:[0234]|zero|two|three|four) clause| new| modified| simplified| revised| original| style| type| software)?"
+_NAME = "{name}" + _BETWEEN + _VERSION
+_AFTER = _NAME + r"(?: licen[sc]e)?" + _VERSION
 #: what stands around a name: keyword, pattern, priority, score
 PHRASES = (
-    ("spdx", r"spdx licen[sc]e identifier {name}" + _VERSION, 100, 1.0),
-    ("licensed", r"(?:dual )?licensed under (?:the )?(?:terms of the )?{name}(?: licen[sc]e)?" + _VERSION, 90, 0.95),
-    ("under", r"(?:released|distributed|published|provided) under (?:the )?(?:terms of the )?{name}(?: licen[sc]e)?" + _VERSION, 85, 0.9),
-    ("terms of", r"terms of (?:the )?{name}(?: licen[sc]e)?" + _VERSION, 80, 0.8),
-    ("license", r"licen[sc]e {name}" + _VERSION, 60, 0.7),
-    ("licen", r"{name} licen[sc]e" + _VERSION, 70, 0.75),
+    ("spdx", r"spdx licen[sc]e identifier " + _NAME, 100, 1.0),
+    ("licensed", r"(?:dual )?licensed under (?:the |a |an )?(?:terms of the )?" + _AFTER, 90, 0.95),
+    ("under", r"(?:released|distributed|published|provided) under (?:the |a |an )?(?:terms of the )?" + _AFTER, 85, 0.9),
+    ("terms of", r"terms of (?:the )?" + _AFTER, 80, 0.8),
+    ("license", r"licen[sc]e " + _NAME, 60, 0.7),
+    ("licen", _NAME + r" licen[sc]e" + _VERSION, 70, 0.75),
 )
+_GPL_NOTICE = "is free software you can redistribute it and or modify it under the terms of the gnu {} public license"
+_GPL_WARRANTY = "merchantability or fitness for a particular purpose see the gnu {} public license"
+_BINARY = "redistributions in binary form must reproduce the above copyright notice"
+#: label, phrase: what stands in the body or the notice of a license
+BODIES = (
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("isc", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd", "redistributions of source code must retain the above copyright notice"),
+    ("bsd", _BINARY),
+    (
+        "bsd-2-clause",
+        _BINARY + " this list of conditions and the following disclaimer in the documentation and or other"
+        " materials provided with the distribution this software is provided by",
+    ),
+    ("bsd-4-clause", "all advertising materials mentioning features or use of this software must display the following acknowledgement"),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org"),
+    ("gpl", _GPL_NOTICE.format("general")),
+    ("lgpl", _GPL_NOTICE.format("lesser general")),
+    ("lgpl", _GPL_NOTICE.format("library general")),
+    ("agpl", _GPL_NOTICE.format("affero general")),
+    ("gpl", _GPL_WARRANTY.format("general")),
+    ("lgpl", _GPL_WARRANTY.format("lesser general")),
+    ("lgpl", _GPL_WARRANTY.format("library general")),
+    ("agpl", _GPL_WARRANTY.format("affero general")),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
+)
+_YEARS = "(?:19|20)[0-9][0-9](?: (?:19|20)[0-9][0-9])*"
 #: other statements
 STATEMENTS = (
     Rule("all-rights-reserved", ("all rights reserved", ""), "all rights reserved", 50, 0.6),
     Rule("public-domain", ("public domain", ""), r"(?:released |dedicated )?(?:in|into|to) the public domain", 50, 0.7),
     Rule("public-domain", ("public domain", ""), "public domain dedication", 55, 0.8),
-    Rule("copyright", ("copyright", ""), r"copyright (?:c )?(?:19|20)[0-9][0-9](?: (?:19|20)[0-9][0-9])*", 40, 0.4),
+    Rule("copyright", ("copyright", ""), "copyright (?:c |© ?)?" + _YEARS, 40, 0.4),
+    Rule("copyright", ("©", ""), "© ?(?:copyright )?" + _YEARS, 40, 0.4),
+    Rule(
+        "bsd-3-clause",
+        ("neither the name of", "names of its contributors may be used to endorse or promote"),
+        "neither the name of(?: [^ ]+){1,16} nor the names of its contributors may be used to endorse or promote products",
+        95,
+        0.95,
+    ),
     Rule("proprietary", ("proprietary", ""), r"proprietary (?:and confidential|software|licen[sc]e)", 50, 0.6),
 )
 #: label: phrase
@@ -95,7 +141,7 @@ BASE = {"mit": "mit license", "apache": "apache license", "gpl": "general public
 
 
 def default_rules() -> list[Rule]:
-    """Base phrases, one rule for each family, name and phrase, and statements."""
+    """Base phrases, one rule for each family, name and phrase, bodies and statements."""
     named = [
         Rule(label, (keyword, name), pattern.replace("{name}", name), priority, score)
         for label, names in FAMILIES.items()
@@ -103,11 +149,13 @@ def default_rules() -> list[Rule]:
         for keyword, pattern, priority, score in PHRASES
     ]
     base = [Rule(label, (phrase, ""), phrase, 65, 0.75, True) for label, phrase in BASE.items()]
-    return base + named + list(STATEMENTS)
+    bodies = [Rule(label, (phrase, ""), phrase, 95, 0.95) for label, phrase in BODIES]
+    return base + named + bodies + list(STATEMENTS)
 
 
 #: a text without any of these holds no match of ``default_rules``
 GATE = ("licens", "licenc", "spdx", " under ", "terms of", "rights reserved", "public domain", "copyright", "proprietary")
+GATE += ("hereby granted", "redistributi", "advertising materials", "neither the name of", "free software", "fitness for a particular", "without any express", "©")
 
 _OPEN, _CLOSE = "\x01", "\x02"
 

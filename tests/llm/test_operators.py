@@ -327,6 +327,28 @@ def test_license_rules_suppress_what_lies_inside(spark):
     assert found.count() > stay.count()
 
 
+LICENSED = (
+    ("licensed under GPLv3", {"gpl"}),
+    ("It is licensed under LGPLv2.1 or later.", {"lgpl"}),
+    ("the BSD 3-Clause License", {"bsd"}),
+    ("Copyright © 2020 by them", {"copyright"}),
+    ("©2019 by them", {"copyright"}),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software", {"mit"}),
+    ("Redistribution and use in source and binary forms, with or without modification, are permitted", {"bsd"}),
+    ("Neither the name of the Foo Bar nor the names of its contributors may be used to endorse or promote products", {"bsd-3-clause"}),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License", {"gpl"}),
+    ("it was free of charge and used in source and binary forms", set()),
+)
+
+
+def test_license_bodies_joined_versions_and_signs(spark):
+    rows = [(i, t) for i, (t, _) in enumerate(LICENSED)] + [(99, " ".join(phrase for _, phrase in licenses.BODIES))]
+    found = licenses.license_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    labels = {r.doc_id: set(filter(None, r.labels.split(","))) for r in found}
+    assert [labels[i] for i in range(len(LICENSED))] == [want for _, want in LICENSED]
+    assert {label for label, _ in licenses.BODIES} <= labels[99]
+
+
 def test_every_rule_passes_the_gate():
     import re
 
