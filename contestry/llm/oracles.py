@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from contestry.llm.block_search import SEARCH_SQL
+from contestry.llm.line_dedup import LINE_SQL
 from contestry.llm.preferences import PREFERENCE_SQL
+from contestry.llm.turn_repair import REPAIR_SQL
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -92,4 +95,7 @@ ORACLE_SQL = {
     "op4_repeated_spans": REPEATED_SPANS,
     "op5_preference_pairs": PREFERENCE_SQL,
     "op6_exact_dedup": EXACT_DEDUP,
+    "op11_line_dedup": LINE_SQL,
+    "op12_ranked_search": SEARCH_SQL,
+    "op13_turn_repair": REPAIR_SQL,
 }

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from contestry.llm import (
+    block_search,
     decontaminate,
     exact_names,
     licenses,
+    line_dedup,
     mixture,
     near_dups,
     preferences,
@@ -17,6 +19,7 @@ from contestry.llm import (
     quality_lm,
     suffix_spans,
     token_counts,
+    turn_repair,
 )
 from contestry.llm.oracles import ORACLE_SQL  # noqa: F401
 
@@ -71,6 +74,33 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(_table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(_table(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_report(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_classifier, op2_near_duplicates, op3_decontamination, op4_repeated_spans, op5_preference_pairs, op6_exact_dedup, op7_token_counts, op8_private_data, op9_source_mix, op10_license_scan)
+    f.__name__: f
+    for f in (
+        op1_quality_classifier,
+        op2_near_duplicates,
+        op3_decontamination,
+        op4_repeated_spans,
+        op5_preference_pairs,
+        op6_exact_dedup,
+        op7_token_counts,
+        op8_private_data,
+        op9_source_mix,
+        op10_license_scan,
+        op11_line_dedup,
+        op12_ranked_search,
+        op13_turn_repair,
+    )
 }
