@@ -1,16 +1,23 @@
 """Sequential Elo ratings, exact, on Spark.
 
-Every rating depends on the previous contest of both teams. The sequence is cut
-into slices of about a quarter as many contests as there are teams; then the
+Every rating depends on the previous contest of both teams. The sequence is cut into
+slices of about a third as many contests as there are teams; then the
 contests of a slice fall into many small groups of teams that don't meet in it,
 however connected the teams are as a whole. Groups of all slices are labelled at
-once. A slice is rated by one partitioned pass, group by group in sequence order,
-and hands the teams' ratings to the next one as a stored table.
-
-So no task holds more contests than a slice, memory is one Arrow batch plus the
-ratings of one group, and a failure repeats part of one slice. With few teams the
-chain of contests is sequential whatever the plan; a slice then holds
-``LEAST_ROWS`` contests, which take one task less time than a Spark job.
+once, and so is the group of its next slice that each team goes on to. A group is rated
+by one pass over its contests and sends its teams' ratings on to these groups.
+
+A job rates several slices, each a shuffle stage: ratings travel from group to group
+inside the job, and only those for later jobs are stored. So no task holds more contests
+than a slice, memory is one Arrow batch plus the ratings of one group, ratings that
+don't change aren't touched, and a failure repeats part of one job. With few teams
+the chain of contests is sequential whatever the plan; a slice then holds
+``LEAST_ROWS`` contests, which one task rates in a second or two.
+
+A slice can also be rated by waves (``by="waves"``): the contests whose teams have both
+played all their earlier ones are rated at once, by column expressions, and send their
+teams' ratings to the contests that come next. That needs no Python worker and no
+groups, but a shuffle for each wave, so it suits many teams.
 """
 
 from __future__ import annotations
@@ -18,11 +25,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from contestry.functions.scoring import actual_score
+from contestry.functions.scoring import actual_score, expected_score
 from contestry.operators.components import component_labels
 from contestry.operators.star import both_sides
 from contestry.session import materialize, new_folder
@@ -32,12 +39,16 @@ K_FACTOR = 35.0
 SCALE = 400.0
 
 # Teams per contest of a slice, and the least contests of one.
-TEAMS_PER_CONTEST = 4
-LEAST_ROWS = 50_000
+TEAMS_PER_CONTEST = 3
+LEAST_ROWS = 1_000_000
+# Contests that are worth a task of their own.
+TASK_ROWS = 10_000
+# Slices of one job, and the contests that a job of several slices holds at most.
+JOB_SLICES = 8
+JOB_ROWS = 1 << 20
+# Waves of one job.
+WAVES = 10
 
-_ELO_INPUTS = (
-    "component", "HomeTeamId", "AwayTeamId", "HomeStartingElo", "AwayStartingElo", "_actual",
-)
 _ELO_COLUMNS = ("HomeEloBefore", "HomeEloAfter", "AwayEloBefore", "AwayEloAfter")
 
 
@@ -99,76 +110,273 @@ def with_start_ratings(
 
 # ---- the rating pass ---------------------------------------------------------------------
 
+# What travels through a job. A contest has a sequence number. A row without one is about
+# a team (home): the group it goes on to after this slice, or the rating it comes with (h_before).
+_TRAVEL = (
+    "slice", "component", "sequence", "home", "away", "actual", "next_slice", "next_component",
+    "h_before", "h_after", "a_before", "a_after",
+)
 
-def _rating_pass(
-    k: float, scale: float, keep: list[str]
-) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Arrow function over contests sorted by (component, MatchSequence).
 
-    It appends the four ratings to the columns to ``keep``, which pass as they are.
+def _group_pass(number: int, k: float, scale: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Arrow function over travelling rows sorted by (slice, component, sequence).
+
+    It rates the contests of one slice and sends the ratings of each of its groups on.
+    Rows of other slices pass as they are.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, rating = None, {}
+        group, rating, onward = None, {}, {}
+
+        def sent():
+            """Messages of the group that has ended."""
+            return [(*onward[t], None, t, None, None, None, None, rating.get(t), None, None, None) for t in onward]
+
+        schema = None
         for batch in batches:
-            # numpy turns a missing start rating into NaN, and lists quickly
-            inputs = (batch.column(c).to_numpy(zero_copy_only=False).tolist() for c in _ELO_INPUTS)
-            home_before, home_after, away_before, away_after = [], [], [], []
-            for component, home, away, home_start, away_start, actual in zip(*inputs):
-                if component != group:
-                    group, rating = component, {}
-                h, a = rating.get(home, home_start), rating.get(away, away_start)
+            schema = batch.schema
+            slices = batch.column("slice").to_numpy()
+            first, last = slices.searchsorted(number), slices.searchsorted(number, side="right")
+            yield batch.slice(0, first)
+            yield batch.slice(last)
+            columns = [batch.column(c).slice(first, last - first).to_pylist() for c in _TRAVEL]
+            out = []
+            for row in zip(*columns):
+                if row[1] != group:
+                    out += sent()
+                    group, rating, onward = row[1], {}, {}
+                _, _, sequence, home, away, actual, next_slice, next_component, elo, *_ = row
+                if sequence is None:
+                    if next_slice is not None:
+                        onward[home] = (next_slice, next_component)
+                    if elo is not None:
+                        rating[home] = elo
+                    continue
+                h, a = rating[home], rating[away]
                 gain = k * (actual - 1 / (1 + 10 ** ((a - h) / scale)))
-                home_before.append(h)
-                away_before.append(a)
-                rating[home] = h = h + gain
-                rating[away] = a = a - gain
-                home_after.append(h)
-                away_after.append(a)
-            elo = (home_before, home_after, away_before, away_after)
-            yield pa.RecordBatch.from_arrays(
-                [*map(batch.column, keep), *(pa.array(column, pa.float64()) for column in elo)],
-                names=[*keep, *_ELO_COLUMNS],
-            )
+                rating[home] = h_after = h + gain
+                rating[away] = a_after = rating[away] - gain
+                out.append((*row[:8], h, h_after, a, a_after))
+            if out:
+                yield _batch(out, schema)
+        if out := sent():
+            yield _batch(out, schema)
 
     return run
 
 
-def _rate_groups(games: DataFrame, state: DataFrame, k: float, scale: float) -> DataFrame:
-    """Rate contests, labelled by component, from a stored table of (TeamId, Elo)."""
-    home, away = (
-        state.select(F.col("TeamId").alias(f"{s}TeamId"), F.col("Elo").alias(f"{s}StartingElo"))
-        for s in ("Home", "Away")
-    )
-    # a stated number keeps adaptive execution from putting the groups of a slice in one task
-    tasks = int(games.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ready = (
-        games.join(home, "HomeTeamId")
-        .join(away, "AwayTeamId")
-        .repartition(tasks, "component")
-        .sortWithinPartitions("component", "MatchSequence")
-    )
-    kept = [f for f in games.schema.fields if f.name not in ("_actual", "component")]
-    schema = T.StructType(kept + [T.StructField(c, T.DoubleType()) for c in _ELO_COLUMNS])
-    return ready.mapInArrow(_rating_pass(k, scale, [f.name for f in kept]), schema)
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
-def _sliced(games: DataFrame, rows: int) -> DataFrame:
-    """Contests stored by slice, with the group of teams each belongs to in its slice.
+def _sliced(games: DataFrame, state: DataFrame, rows: int) -> DataFrame:
+    """Travelling rows stored by slice: the contests with their group, and for each team and slice
+    the group of its next one, the first of them with its start rating.
 
     The teams of every slice are nodes of their own, so one run of the component
     labels serves all slices.
     """
-    cut = games.withColumn("_slice", F.floor((F.col("MatchSequence") - 1) / rows))
-    node = lambda team: F.struct("_slice", F.col(team).alias("team"))
+    cut = games.withColumn("slice", F.floor((F.col("MatchSequence") - 1) / rows))
+    node = lambda team: F.struct("slice", F.col(team).alias("team"))
     edges = cut.select(node("HomeTeamId").alias("home"), node("AwayTeamId").alias("away"))
-    labels = component_labels(edges, "home", "away").select(
-        F.col("node._slice").alias("_slice"),
-        F.col("node.team").alias("HomeTeamId"),
-        F.col("component.team").alias("component"),
+    labels = component_labels(edges, "home", "away").select("node.*", F.col("component.team").alias("component"))
+    nothing = lambda kind: F.lit(None).cast(kind)
+    team = dict(labels.dtypes)["team"]
+    contests = cut.join(labels.withColumnRenamed("team", "HomeTeamId"), ["slice", "HomeTeamId"]).select(
+        "slice", "component", F.col("MatchSequence").alias("sequence"), F.col("HomeTeamId").alias("home"),
+        F.col("AwayTeamId").alias("away"), F.col("_actual").alias("actual"), nothing("bigint").alias("next_slice"),
+        nothing(team).alias("next_component"), *(nothing("double").alias(c) for c in _TRAVEL[8:]),
+    )
+    order = Window.partitionBy("team").orderBy("slice")  # a row for each slice in which the team plays
+    known = F.coalesce("Elo", F.lit(float("nan")))
+    routes = (
+        labels.withColumn("_next", F.lead(F.struct("slice", "component")).over(order))
+        .withColumn("_first", F.row_number().over(order) == 1)
+        .join(state.select(F.col("TeamId").alias("team"), "Elo"), "team")
+        .select(
+            "slice", "component", nothing("bigint").alias("sequence"), F.col("team").alias("home"),
+            nothing(team).alias("away"), nothing("double").alias("actual"), F.col("_next.slice").alias("next_slice"),
+            F.col("_next.component").alias("next_component"), F.when(F.col("_first"), known).alias("h_before"),
+            *(nothing("double").alias(c) for c in _TRAVEL[9:]),
+        )
+    )
+    both = contests.unionByName(routes)
+    return materialize(both.withColumn("_slice", F.col("slice")).repartitionByRange("slice", "component"), "slices", partition_by="_slice")
+
+
+def _rate_groups(sequence: DataFrame, state: DataFrame, rows: int, k: float, scale: float) -> DataFrame:
+    spark = sequence.sparkSession
+    travelling = _sliced(sequence.withColumn("_actual", actual_score()), state, rows)
+    folder = new_folder(spark, "rated")
+    schema = travelling.drop("_slice").schema
+    slices = [r["_slice"] for r in travelling.select("_slice").distinct().collect()]  # one row per slice
+    together = max(1, min(JOB_SLICES, JOB_ROWS // rows))
+    # a stated number keeps adaptive execution from putting all groups of a long slice in one task
+    tasks = min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows * together // TASK_ROWS))
+    jobs = sorted({n // together for n in slices})
+    for job in jobs:
+        table = travelling.filter(F.col("_slice").between(job * together, job * together + together - 1)).drop("_slice")
+        if job != jobs[0]:
+            sent = spark.read.schema(_with_to(schema)).parquet(folder).filter(F.col("_to") == job).drop("_to")
+            table = table.unionByName(sent)
+        for number in sorted(n for n in slices if n // together == job):
+            ordered = table.repartition(tasks, "slice", "component").sortWithinPartitions("slice", "component", "sequence")
+            table = ordered.mapInArrow(_group_pass(number, k, scale), schema)
+        to = F.when(F.col("sequence").isNotNull(), -1).otherwise(F.floor(F.col("slice") / together)).cast("int")
+        table.filter("sequence IS NOT NULL OR next_slice IS NULL").withColumn("_to", to).write.mode("append").partitionBy("_to").parquet(folder)
+    if not slices:
+        return sequence.select("*", *(F.lit(None).cast("double").alias(c) for c in _ELO_COLUMNS)).limit(0)
+    stored = spark.read.schema(_with_to(schema)).parquet(folder).filter("_to = -1")
+    elo = stored.select(F.col("sequence").alias("MatchSequence"), *(F.col(a).alias(b) for a, b in zip(_TRAVEL[8:], _ELO_COLUMNS)))
+    return sequence.join(elo, "MatchSequence").select(*sequence.columns, *_ELO_COLUMNS)
+
+
+def _with_to(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("_to", T.IntegerType())])
+
+
+def _linked(games: DataFrame, rows: int) -> DataFrame:
+    """Contests stored by slice, each with the next contest of either team in its slice, and
+    whether it is a team's first one there."""
+    cut = games.withColumn("_slice", F.floor((F.col("MatchSequence") - 1) / rows))
+    side = lambda s: F.struct(F.col(f"{s}TeamId").alias("team"), F.lit(s).alias("side"))
+    sides = cut.select("_slice", "MatchSequence", F.explode(F.array(side("Home"), side("Away"))).alias("_s"))
+    own = Window.partitionBy("_slice", "_s.team").orderBy("MatchSequence")
+    following = sides.select(
+        "_slice",
+        "MatchSequence",
+        F.col("_s.side").alias("side"),
+        F.lead(F.struct("MatchSequence", "_s.side")).over(own).alias("next"),
+        (F.row_number().over(own) == 1).alias("first"),
+    )
+    of = lambda c, s: F.max(F.when(F.col("side") == s, F.col(c))).alias(f"_{s}_{c}")
+    links = following.groupBy("_slice", "MatchSequence").agg(*(of(c, s) for c in ("next", "first") for s in ("Home", "Away")))
+    linked = cut.join(links, ["_slice", "MatchSequence"])
+    return materialize(
+        linked.select(*games.columns, *links.columns[2:], "_slice").repartitionByRange("MatchSequence"),
+        "linked-slices",
+        partition_by="_slice",
+    )
+
+
+_WAVE = ("MatchSequence", "actual", "home_next", "away_next", "h", "a", "wave")
+
+
+def _gain(k: float, scale: float):
+    return k * (F.col("actual") - expected_score("h", "a", scale))
+
+
+def _wave(rows: DataFrame, number: int, k: float, scale: float) -> DataFrame:
+    """One wave: contests that have got both ratings are rated and send them on.
+
+    A contest is a row of its own plus the messages to it, which hold one rating each.
+    """
+    merged = rows.groupBy("MatchSequence").agg(*(F.max(c).alias(c) for c in _WAVE[1:]))
+    ready = F.col("wave").isNull() & F.col("h").isNotNull() & F.col("a").isNotNull()
+    own = F.struct(*_WAVE[:-1], F.coalesce("wave", F.when(ready, F.lit(number))).alias("wave"))
+    kinds = dict(rows.dtypes)
+
+    def message(after: str, value):
+        to = lambda side: F.when(F.col(f"{after}.side") == side, value)
+        empty = {c: F.lit(None).cast(kinds[c]) for c in _WAVE}
+        full = empty | {"MatchSequence": F.col(f"{after}.MatchSequence"), "h": to("Home"), "a": to("Away")}
+        return F.when(ready & F.col(after).isNotNull(), F.struct(*(v.alias(c) for c, v in full.items())))
+
+    gain = _gain(k, scale)
+    sent = [message("home_next", F.col("h") + gain), message("away_next", F.col("a") - gain)]
+    return merged.select(F.inline(F.array_compact(F.array(own, *sent))))
+
+
+def _rate_slices(sequence: DataFrame, state: DataFrame, rows: int, k: float, scale: float) -> DataFrame:
+    """Rate slice after slice by waves."""
+    spark = sequence.sparkSession
+    games = _linked(sequence.withColumn("_actual", actual_score()), rows)
+    folder = new_folder(spark, "rated")
+    schema = T.StructType(sequence.schema.fields + [T.StructField(c, T.DoubleType()) for c in _ELO_COLUMNS])
+    slices = sorted(r["_slice"] for r in games.select("_slice").distinct().collect())  # one row per slice
+    for number in slices:
+        part = games.filter(F.col("_slice") == number).drop("_slice")
+        path = f"{folder}/slice={number}"
+        _rate_waves(part, state, k, scale).write.parquet(path)
+        if number != slices[-1]:
+            state = materialize(_after(state, spark.read.schema(schema).parquet(path)), "state")
+    if not slices:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(folder).select(*schema.fieldNames())
+
+
+def _rate_waves(games: DataFrame, state: DataFrame, k: float, scale: float) -> DataFrame:
+    """Rate linked contests from a table of (TeamId, Elo), wave by wave."""
+    links = {f"_{s}_{c}" for s in ("Home", "Away") for c in ("next", "first")}
+    kept = [c for c in games.columns if c not in links and c != "_actual"]
+    part = games.select(*kept)
+    games = games.select("MatchSequence", "HomeTeamId", "AwayTeamId", "_actual", *links)
+    for s, c in (("Home", "h"), ("Away", "a")):
+        # a missing start rating is not a number, as in the pass over groups
+        known = F.coalesce("Elo", F.lit(float("nan"))).alias(f"_{c}")
+        start = state.select(F.col("TeamId").alias(f"{s}TeamId"), known)
+        games = games.join(start, f"{s}TeamId").withColumn(c, F.when(F.col(f"_{s}_first"), F.col(f"_{c}"))).drop(f"_{c}")
+    table = games.select(
+        "MatchSequence", F.col("_actual").alias("actual"), F.col("_Home_next").alias("home_next"),
+        F.col("_Away_next").alias("away_next"), "h", "a", F.lit(None).cast("int").alias("wave"),
+    )
+    done, left = 0, None
+    while left != 0:
+        for _ in range(WAVES):
+            done += 1
+            table = _wave(table, done, k, scale)
+        seen = Observation()
+        open_ = F.count_if(F.col("wave").isNull() & F.col("actual").isNotNull())
+        table = materialize(table.observe(seen, open_.alias("open")), "waves")
+        before, left = left, seen.get["open"]
+        if before is not None and left == before and left:
+            raise ValueError("a contest of a team with itself can't be rated by waves")
+    after = _gain(k, scale)
+    elo = table.filter("actual IS NOT NULL").select(
+        "MatchSequence", F.col("h").alias("HomeEloBefore"), (F.col("h") + after).alias("HomeEloAfter"),
+        F.col("a").alias("AwayEloBefore"), (F.col("a") - after).alias("AwayEloAfter"),
+    )
+    return part.join(elo, "MatchSequence").select(*kept, *_ELO_COLUMNS)
+
+
+def start_state(sequence: DataFrame, base: DataFrame | None, default_start: float | None) -> DataFrame:
+    """(TeamId, Elo) of every team of the sequence before its first contest."""
+    teams = both_sides(sequence, "HomeTeamId", "AwayTeamId", "TeamId").distinct()
+    if base is None:
+        return teams.withColumn("Elo", F.lit(default_start).cast("double"))
+    state = teams.join(base.select("TeamId", F.col("Elo").cast("double")), "TeamId", "left")
+    return state if default_start is None else state.fillna(default_start, "Elo")
+
+
+def _after(state: DataFrame, rated: DataFrame) -> DataFrame:
+    """The state after the contests of ``rated``; only teams that took part change."""
+    latest = latest_ratings(_long(rated, ("MatchSequence",)))
+    return state.join(latest, "TeamId", "left").select("TeamId", F.coalesce("EloAfter", "Elo").alias("Elo"))
+
+
+def rate_from(
+    sequence: DataFrame,
+    state: DataFrame,
+    *,
+    k: float = K_FACTOR,
+    scale: float = SCALE,
+    slice_rows: int | None = None,
+    by: str = "groups",
+) -> tuple[DataFrame, DataFrame]:
+    """Rate contests from a stored state (TeamId, Elo): the rated contests and the state after them.
+
+    ``sequence`` may begin anywhere, as long as the state is that before its first contest.
+    """
+    rows = slice_rows or max(state.count() // TEAMS_PER_CONTEST, LEAST_ROWS)
+    rated = {"groups": _rate_groups, "waves": _rate_slices}[by](sequence, state, rows, k, scale)
+    return rated, _after(state, rated)
+
+
+def with_changes(rated: DataFrame) -> DataFrame:
+    """Add what either side has won or lost."""
+    return rated.withColumns(
+        {f"{s}EloChange": F.col(f"{s}EloAfter") - F.col(f"{s}EloBefore") for s in ("Home", "Away")}
     )
-    labelled = cut.join(labels, ["_slice", "HomeTeamId"]).select(*games.columns, "component", "_slice")
-    return materialize(labelled.repartitionByRange("MatchSequence"), "slices", partition_by="_slice")
 
 
 def rate(
@@ -179,42 +387,19 @@ def rate(
     scale: float = SCALE,
     default_start: float | None = None,
     slice_rows: int | None = None,
+    by: str = "groups",
 ) -> DataFrame:
     """Rate all contests in sequence; one row per contest, not rounded.
 
     ``sequence`` needs MatchSequence (unique, from 1), HomeTeamId, AwayTeamId and
     Result; other columns pass through. ``base`` holds (TeamId, Elo); teams without
     a start rating get ``default_start``, or NaN, which then spreads, if that is None
-    too. ``slice_rows`` sets the contests of a slice; the ratings don't depend on it.
+    too. ``slice_rows`` sets the contests of a slice, ``by`` how one is rated; the
+    ratings depend on neither.
     """
-    spark = sequence.sparkSession
-    teams = both_sides(sequence, "HomeTeamId", "AwayTeamId", "TeamId").distinct()
-    if base is None:
-        state = teams.withColumn("Elo", F.lit(default_start).cast("double"))
-    else:
-        state = teams.join(base.select("TeamId", F.col("Elo").cast("double")), "TeamId", "left")
-        if default_start is not None:
-            state = state.fillna(default_start, "Elo")
-    state = materialize(state, "state")
-    rows = slice_rows or max(state.count() // TEAMS_PER_CONTEST, LEAST_ROWS)
-    games = _sliced(sequence.withColumn("_actual", actual_score()), rows)
-    folder = new_folder(spark, "rated")
-    part = games.drop("_slice")
-    rated = _rate_groups(part, state, k, scale)
-    slices = sorted(r["_slice"] for r in games.select("_slice").distinct().collect())  # one row per slice
-    for number in slices:
-        part = games.filter(F.col("_slice") == number).drop("_slice")
-        _rate_groups(part, state, k, scale).write.parquet(f"{folder}/slice={number}")
-        if number != slices[-1]:
-            stored = spark.read.schema(rated.schema).parquet(f"{folder}/slice={number}")
-            latest = latest_ratings(_long(stored, ("MatchSequence",)))
-            handed = state.join(latest, "TeamId", "left")
-            state = materialize(handed.select("TeamId", F.coalesce("EloAfter", "Elo").alias("Elo")), "state")
-    if slices:
-        rated = spark.read.schema(rated.schema).parquet(folder).drop("slice")
-    return rated.withColumns(
-        {f"{s}EloChange": F.col(f"{s}EloAfter") - F.col(f"{s}EloBefore") for s in ("Home", "Away")}
-    )
+    state = materialize(start_state(sequence, base, default_start), "state")
+    rated, _ = rate_from(sequence, state, k=k, scale=scale, slice_rows=slice_rows, by=by)
+    return with_changes(rated)
 
 
 # ---- shapes of the result ----------------------------------------------------------------

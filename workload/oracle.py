@@ -597,6 +597,9 @@ _QUERIES: dict[str, str] = {
     "rating_flat_start_wide": f"""SELECT q.*, {_FLAT_COLUMNS} FROM sequence q JOIN eloflat_wide USING (MatchSequence)""",
     "rating_by_round_text": """SELECT MatchKey, MatchSequence, round(HomeEloAfter, 1) AS HomeEloAfter, round(AwayEloAfter, 1) AS AwayEloAfter
         FROM text_sequence JOIN elotext_wide USING (MatchSequence)""",
+    "rating_waves": _CUSTOMER_RATINGS,
+    "rating_continued": f"""SELECT r.*, CASE WHEN MatchSequence > n * 2 // 5 THEN 3 ELSE 1 END AS Run
+        FROM ({_CUSTOMER_RATINGS}) r CROSS JOIN (SELECT count(*) AS n FROM orders)""",
     "rating_many_teams": _CUSTOMER_RATINGS,
     "rating_sliced": _CUSTOMER_RATINGS,
     "rating_history": """SELECT TeamId, row_number() OVER (PARTITION BY TeamId ORDER BY MatchSequence) AS Entry, MatchSequence, EloAfter

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from contestry.functions import names, scoring
 from contestry.operators import quality, rating, reports, star
+from contestry.operators.continued import RatingStore
 from contestry.operators.keys import numbered
 from contestry.plans import features, model, silver
 from contestry.plans.gold import Gold
@@ -436,6 +437,34 @@ def rating_sliced(p: Pipeline) -> DataFrame:
     return _customer_ratings(p, slice_rows=2000)
 
 
+@query
+def rating_waves(p: Pipeline) -> DataFrame:
+    # the same by column expressions, all contests of a wave at once
+    return _customer_ratings(p, by="waves")
+
+
+@query
+def rating_continued(p: Pipeline) -> DataFrame:
+    """Four runs of one store: a first part, more without one late contest, all of it, and again.
+
+    Run names the run that has rated a contest as it is stored now.
+    """
+    games = p.customers.select("MatchSequence", "HomeTeamId", "AwayTeamId", "Result")
+    n = games.count()
+    early, late = n * 2 // 5, n * 7 // 10
+    missing = games.filter(F.col("MatchSequence") != late).withColumn(
+        "MatchSequence", F.col("MatchSequence") - (F.col("MatchSequence") > late).cast("int")
+    )
+    store = RatingStore(p.spark, new_folder(p.spark, "rating-store"), DEFAULT_START, slice_rows=5000)
+    runs = [store.run(games.filter(F.col("MatchSequence") <= early)), store.run(missing), store.run(games), store.run(games)]
+    # the late contest lies after the first mark, so the third run starts again there
+    number = F.lit(0)
+    for i, done in enumerate(runs, 1):
+        number = F.when(F.col("MatchSequence") > done.restarted_at, i).otherwise(number) if done.rated else number
+    rated = rating.rounded(store.rated(), _WIDE, 6)
+    return rated.select("MatchSequence", "HomeTeamId", "AwayTeamId", *_WIDE, number.alias("Run"))
+
+
 @query
 def rating_history(p: Pipeline) -> DataFrame:
     return rating.rating_history(p.gold.ratings, block_rows=1000)
