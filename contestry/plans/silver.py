@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,16 +36,19 @@ def _cleaned(bronze: DataFrame, teams: Aliases, competitions: Aliases) -> DataFr
 
 
 def scored(
-    bronze: DataFrame, teams: Aliases = TEAM_ALIASES, competitions: Aliases = COMPETITION_ALIASES
+    bronze: DataFrame,
+    teams: Aliases = TEAM_ALIASES,
+    competitions: Aliases = COMPETITION_ALIASES,
+    extra: Sequence[str] = (),
 ) -> DataFrame:
-    """Typed and enriched contests before the drop rules."""
+    """Typed and enriched contests before the drop rules, with ``extra`` columns as they are."""
     scores = {c: F.col(c).try_cast("int") for c in ("HomeScore", "AwayScore")}
     df = _cleaned(bronze, teams, competitions).withColumns(scores).withColumns(result_columns())
     return df.select(
         "MatchId", "HomeTeam", "AwayTeam", "Season", "Round", "HomeScore", "AwayScore",
         "Result", "Date", "Competition", "HomePointsDifference", "AwayPointsDifference",
         "TotalMatchPoints", "HomeWinFlag", "AwayWinFlag", "DrawFlag", "IsNeutral",
-        F.col("source_file").alias("bronze_file"), "_silver_ingest_timestamp",
+        F.col("source_file").alias("bronze_file"), "_silver_ingest_timestamp", *(f"`{c}`" for c in extra),
     )
 
 

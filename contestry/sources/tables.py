@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def save_table(
@@ -33,6 +34,30 @@ def append_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def append_merged(df: DataFrame, name: str) -> DataFrame:
+    """Append by column name; columns that the table does not have yet are added to it first.
+
+    Rows stored before are null there, and so are new rows in columns that ``df`` lacks.
+    A value that does not fit the type of its column fails the append.
+    """
+    spark = df.sparkSession
+    known = {f.name.lower(): f for f in spark.table(name).schema.fields}
+    new = [f for f in df.schema.fields if f.name.lower() not in known]
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+    given = {c.lower(): c for c in df.columns}
+    target = spark.table(name).schema.fields
+    rows = df.select(
+        *(
+            (F.col(f"`{given[f.name.lower()]}`") if f.name.lower() in given else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in target
+        )
+    )
+    rows.write.insertInto(name)
+    return spark.table(name)
+
+
 def create_table_as(spark: SparkSession, name: str, query: str) -> DataFrame:
     """``CREATE OR REPLACE TABLE name AS query`` for the built-in parquet catalog."""
     return save_table(spark.sql(query), name)
