@@ -597,6 +597,22 @@ _QUERIES: dict[str, str] = {
     "rating_flat_start_wide": f"""SELECT q.*, {_FLAT_COLUMNS} FROM sequence q JOIN eloflat_wide USING (MatchSequence)""",
     "rating_by_round_text": """SELECT MatchKey, MatchSequence, round(HomeEloAfter, 1) AS HomeEloAfter, round(AwayEloAfter, 1) AS AwayEloAfter
         FROM text_sequence JOIN elotext_wide USING (MatchSequence)""",
+    "stream_inferred_types": """SELECT MatchId, HomeTeam, HomeScore * 100 + CASE WHEN MatchId % 2 = 1 THEN 0.5::DOUBLE ELSE 0 END AS Crowd,
+        CASE WHEN MatchId % 2 = 1 THEN DATE '2000-01-01' + CAST(MatchId % 365 AS INTEGER) END AS Announced,
+        'double' AS crowd_type, 'date' AS announced_type FROM feed""",
+    "stream_schema_history": """SELECT * FROM (VALUES (1, 'Crowd', 'int'), (2, 'Crowd', 'double'), (2, 'Announced', 'date')) t(version, name, type)""",
+    "stream_evolved_silver": """SELECT MatchId, HomeTeam, AwayTeam, Season, Round, Result,
+        HomeScore * 100 + CASE WHEN MatchId % 2 = 1 THEN 0.5::DOUBLE ELSE 0 END AS Crowd,
+        CASE WHEN MatchId % 2 = 1 THEN DATE '2000-01-01' + CAST(MatchId % 365 AS INTEGER) END AS Announced FROM silver""",
+    "stream_gold_seasons": """SELECT Season, Competition, Team, count(*) AS played, sum(won)::BIGINT AS won, sum(drawn)::BIGINT AS drawn, sum(lost)::BIGINT AS lost,
+        sum(scored)::BIGINT AS scored, sum(conceded)::BIGINT AS conceded FROM (
+          SELECT Season, Competition, HomeTeam AS Team, HomeWinFlag AS won, DrawFlag AS drawn, AwayWinFlag AS lost,
+            HomeScore AS scored, AwayScore AS conceded FROM silver
+          UNION ALL SELECT Season, Competition, AwayTeam, AwayWinFlag, DrawFlag, HomeWinFlag, AwayScore, HomeScore FROM silver)
+        GROUP BY Season, Competition, Team""",
+    "stream_rule_history": f'SELECT "rule", action, passed, failed FROM ({_rules(RESULT_RULES, "scored", "results")})',
+    "stream_dedupe": f"SELECT DISTINCT {_CONTEST_KEY} FROM feed",
+    "append_merged": "SELECT MatchId, Season, Result, NULL AS Round FROM silver UNION ALL SELECT MatchId, Season, NULL, Round FROM upcoming",
     "rating_waves": _CUSTOMER_RATINGS,
     "rating_continued": f"""SELECT r.*, CASE WHEN MatchSequence > n * 2 // 5 THEN 3 ELSE 1 END AS Run
         FROM ({_CUSTOMER_RATINGS}) r CROSS JOIN (SELECT count(*) AS n FROM orders)""",

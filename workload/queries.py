@@ -18,7 +18,7 @@ from contestry.plans import features, model, silver
 from contestry.plans.gold import Gold
 from contestry.session import materialize, new_folder
 from contestry.sources import files, schemas, tables
-from contestry.streaming import ingest
+from contestry.streaming import evolving, ingest
 from workload import feeds
 from workload.feeds import AS_OF
 
@@ -66,6 +66,28 @@ class Pipeline:
     def split(self) -> tuple[DataFrame, DataFrame]:
         return features.ordered_split(self.gold.training)
 
+    @cached_property
+    def evolved(self) -> str:
+        """Folder of two ingest runs; the files of the second bring a column, a wider type and a date.
+
+        Silver takes the second run in the schema of the first, so it stops and starts again.
+        """
+        feed = feeds.raw_feed(self.spark, self.sf_dir).withColumn("Crowd", F.col("HomeScore") * 100)
+        landing, target = new_folder(self.spark, "landing"), new_folder(self.spark, "evolved")
+        _write_csv(feed.filter("MatchId % 2 = 0"), f"{landing}/first")
+        evolving.run_ingest(self.spark, f"{landing}/*", target, teams=self.aliases)
+        late = feed.filter("MatchId % 2 = 1").withColumns(
+            {
+                "Crowd": F.col("Crowd") + 0.5,
+                "Announced": F.date_add(F.lit("2000-01-01").cast("date"), (F.col("MatchId") % 365).cast("int")),
+            }
+        )
+        _write_csv(late.select("Announced", *reversed(feed.columns)), f"{landing}/second")
+        checkpoint = f"{target}/_checkpoints/bronze"
+        evolving.store_drops(self.spark, f"{landing}/*", f"{target}/bronze", checkpoint).awaitTermination()
+        evolving.run_silver(self.spark, target, version=1, teams=self.aliases)
+        return target
+
     @cached_property
     def customers(self) -> DataFrame:
         games = feeds.customer_feed(self.spark, self.sf_dir)
@@ -788,6 +810,66 @@ def stream_schema_evolution(p: Pipeline) -> DataFrame:
     return stored.select("MatchId", "HomeTeam", "AwayTeam", "HomeScore", "AwayScore", "Date", "Referee")
 
 
+@query
+def stream_inferred_types(p: Pipeline) -> DataFrame:
+    """Bronze in its last schema: Crowd has become a double, Announced has come as a date."""
+    stored = evolving.read_bronze(p.spark, f"{p.evolved}/bronze")
+    kinds = dict(stored.dtypes)
+    return stored.select(
+        F.col("MatchId").cast("long").alias("MatchId"), "HomeTeam", "Crowd", "Announced",
+        F.lit(kinds["Crowd"]).alias("crowd_type"), F.lit(kinds["Announced"]).alias("announced_type"),
+    )
+
+
+@query
+def stream_schema_history(p: Pipeline) -> DataFrame:
+    """The versions of the columns that have changed."""
+    history = evolving.schema_history(p.spark, f"{p.evolved}/bronze")
+    return history.filter("name IN ('Crowd', 'Announced')").select("version", "name", "type")
+
+
+@query
+def stream_evolved_silver(p: Pipeline) -> DataFrame:
+    stored = evolving.read_silver(p.spark, p.evolved)
+    return stored.select("MatchId", "HomeTeam", "AwayTeam", "Season", "Round", "Result", "Crowd", "Announced")
+
+
+@query
+def stream_gold_seasons(p: Pipeline) -> DataFrame:
+    """Refreshed by season inside the stream, by two batches."""
+    stored = p.spark.read.parquet(f"{p.evolved}/gold/season_records")
+    return stored.withColumn("Season", F.col("Season").cast("string"))
+
+
+@query
+def stream_rule_history(p: Pipeline) -> DataFrame:
+    """Rows that have passed and failed each rule, over all batches of the stream."""
+    history = evolving.read_rule_history(p.spark, p.evolved)
+    return history.groupBy("rule", "action").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
+
+
+@query
+def stream_dedupe(p: Pipeline) -> DataFrame:
+    """Two drops of the same contests, by the time they come: each contest once."""
+    folder, target = new_folder(p.spark, "landing"), new_folder(p.spark, "deduplicated")
+    schema = T.StructType([f for f in schemas.RESULTS.fields if f.name in quality.CONTEST_KEY])
+    for drop in ("first", "second"):
+        _write_csv(feeds.raw_feed(p.spark, p.sf_dir).select(*schema.fieldNames()), f"{folder}/{drop}")
+        rows = files.with_source_tag(ingest.read_csv_stream(p.spark, f"{folder}/*", schema), drop)
+        once = evolving.deduplicated_stream(rows, quality.CONTEST_KEY, "ingestTimestamp", "30 days")
+        ingest.append_stream(once, f"{target}/rows", f"{target}/_checkpoint").awaitTermination()
+    return p.spark.read.schema(schema).parquet(f"{target}/rows")
+
+
+@query
+def append_merged(p: Pipeline) -> DataFrame:
+    """A table that gains a column by an append, which lacks one of its columns."""
+    name = _table_name("merged")
+    tables.save_table(p.results.select("MatchId", "Season", "Result"), name)
+    stored = tables.append_merged(p.upcoming.select("Round", "MatchId", "Season"), name)
+    return _dropped(p, stored, name)
+
+
 @query
 def rewritten_landing(p: Pipeline) -> DataFrame:
     """Files rewritten under their old names are read as they are now."""
