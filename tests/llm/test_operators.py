@@ -85,29 +85,30 @@ def test_near_duplicates(docs, text_rows):
 
 
 def test_near_duplicates_in_large_nodes(documents, text_rows, monkeypatch):
-    """Nodes of two are large here, so they branch and are compared by blocks."""
-    monkeypatch.setattr(near_dups, "BLOCK", 1)
-    monkeypatch.setattr(near_dups, "LARGEST", (2, 4))
+    """Nodes of two are large here, so they are dealt into blocks and branch."""
+    monkeypatch.setattr(near_dups, "BLOCK", 2)
+    monkeypatch.setattr(near_dups, "LARGEST", 4)
     same(near_dups.near_duplicate_report(documents), expected_near(text_rows(documents)))
 
 
 def test_a_chain_of_near_copies_in_one_large_node(spark, monkeypatch):
     monkeypatch.setattr(near_dups, "BLOCK", 4)
-    monkeypatch.setattr(near_dups, "LARGEST", (8, 16))
+    monkeypatch.setattr(near_dups, "LARGEST", 8)
     words = [f"w{i}" for i in range(200)]
     rows = [(i, " ".join(words[i * 3 : i * 3 + 100])) for i in range(34)] + [(99, " ".join(words[:100]) + " x")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     same(near_dups.near_duplicate_report(docs), expected_near(rows))
 
 
-def test_pairs_that_only_meet_at_the_last_depth_are_found(spark, monkeypatch):
-    """Every node branches down to the last depth, and 3,000 pairs of similarity 0.8 still meet."""
-    monkeypatch.setattr(near_dups, "LARGEST", (1,) * 5)
+def test_pairs_that_meet_in_deep_nodes_are_found(spark, monkeypatch):
+    """1,500 pairs whose passage all documents share: first nodes are large, and pairs meet in deeper ones."""
+    monkeypatch.setattr(near_dups, "BLOCK", 4)
+    monkeypatch.setattr(near_dups, "LARGEST", 8)
     say = lambda name, n: " ".join(f"{name}w{i}" for i in range(n))
-    rows = [(i, f"{say(f'p{i // 2}', 83)} {say(f'own{i}', 10)}") for i in range(6000)]
+    rows = [(i, f"{say('all', 60)} {say(f'p{i // 2}', 40)} {say(f'own{i}', 10)}") for i in range(3000)]
     found = near_dups.near_duplicate_report(spark.createDataFrame(rows, "doc_id bigint, text string"))
-    assert found.filter("kept").count() == 3000
-    assert all(near_dups.miss_bound(depth) < 1e-6 for depth in range(1, len(near_dups.LARGEST) + 2))
+    assert found.filter("kept").count() == 1500
+    assert all(near_dups.miss_bound(depth) < 2e-7 for depth in range(1, 200))
 
 
 def test_near_dedup_keeps_one_of_each_class(docs, text_rows):
