@@ -3,28 +3,24 @@
 Documents are sets of word shingles. Independent trees branch them by minwise
 tokens: at a node the documents with the same least token under the node's hash
 go to the same child. Small nodes are compared exhaustively on full sets; large
-ones branch again, by two tokens and by one in turn, each by a hash of its own, until
-all nodes are small, at any depth. A pair of similarity s meets in a tree's first
-node with probability s, so all trees miss it with (1 - s) ** TREES: below 1e-13 at
-0.8. ``miss_bound`` gives the same for pairs that only meet in deeper nodes: below 2e-7
-at every depth. Before sets are compared, 34 of 64 minwise hashes have to agree;
-at 0.8 fewer do with 3e-7, for all trees together, as their hashes are the same.
-
-Nothing lists all pairs of a group. A node gives a spanning forest of its links, and
-nodes whose documents are known to be connected neither branch nor are compared. To
-know of large groups early, the large first nodes of the first trees are dealt at
-random into blocks that share one document, which is linear in their size.
+ones branch again, every other time by two tokens, each by a hash of its own. A
+pair of similarity s meets in a tree's first node with probability s, so all trees
+miss it with (1 - s) ** TREES: below 1e-13 at 0.8. ``miss_bound`` gives the same for
+pairs that only meet in deeper nodes: below 1e-6 at every depth.
+
+Nothing lists all pairs of a group. A node gives a spanning forest of its links,
+and nodes whose documents are known to be connected are not compared at all.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contestry.llm import text as tx
@@ -41,23 +37,20 @@ FIRST_TREES = 2
 HASHES = 64
 #: documents that one task compares at once
 BLOCK = 128
-#: a node branches if it is larger
-LARGEST = 2 * BLOCK
+#: a node branches if it is larger; what is left at the last depth is compared by blocks
+LARGEST = (2 * BLOCK, 4 * BLOCK, 16 * BLOCK, 128 * BLOCK, 1024 * BLOCK)
+#: by how many independent tokens a node of each depth branches
+BRANCHES = (1, 2, 1, 2, 1)
 
 _SEEDS = tx.mixed(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTORS, _MASKS = _SEEDS[:HASHES] | np.uint64(1), _SEEDS[HASHES:]
 
 
-def branches(depth: int) -> int:
-    """By how many independent tokens a node of this depth (1: the first ones) branches."""
-    return 1 + depth % 2
-
-
 def miss_bound(depth: int, similarity: float = PERCENT / 100) -> float:
     """How probable it is that a pair which only meets at this depth meets in no tree."""
     missed = 0.0
-    for d in range(depth - 1, 0, -1):
-        missed = (1 - similarity * (1 - missed)) ** branches(d)
+    for branches in reversed(BRANCHES[: depth - 1]):
+        missed = (1 - similarity * (1 - missed)) ** branches
     return (1 - similarity * (1 - missed)) ** TREES
 
 
@@ -154,51 +147,45 @@ def _texts(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
     return text.join(keys, text.doc_id.eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))).select("v", "text")
 
 
-def _sized(rows: DataFrame, label: str) -> DataFrame:
-    """Rows of nodes that hold two sets at least, with the node's size."""
-    # stored, so that adaptive execution can split the rows of a large node in the join
-    sizes = materialize(rows.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1"), f"{label}-sizes")
-    return materialize(rows.join(sizes, "node"), label)
-
-
-def _open(nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows (with ``component``) of nodes whose sets aren't known to be one component."""
-    known = nodes.join(labels, "v", "left").withColumn("component", F.coalesce("component", "v"))
-    mixed = known.groupBy("node").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    return known.join(materialize(mixed.select("node"), "nodes-open"), "node")
-
-
-def _leaves(large: DataFrame, labels: DataFrame, sets: DataFrame, texts: DataFrame, k: int) -> DataFrame:
-    """(tree, node, v): the small nodes below large first nodes, none without a large one.
+def _nodes(sets: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(tree, node, v, large): the leaves of all trees that hold two sets at least.
 
     A node branches by hashes that belong to its depth, its tree and the branches
-    taken so far, so no two steps share one: a pair parts with probability 1 - s at each
-    step, while documents that only share some passage part almost surely. The tokens
-    of the second depth are among ``mins``; those of deeper ones are made from the texts.
+    taken so far, so no two steps share one. The larger a node, the deeper
+    its leaves: a pair parts with probability 1 - s at each step, while documents
+    that only share some passage part almost surely. The tokens of the second depth
+    are among ``mins``; those of deeper ones are made for the sets that get there.
     """
-    leaves = [large.select("tree", "node", "v").limit(0)]
-    depth, paths, rows = 1, 1, large
-    while not (inner := materialize(_open(rows, labels).select("tree", "path", "node", "v"), "inner")).isEmpty():
-        n = branches(depth)
-        paths *= n
-        wanted = inner.select("v").distinct()
-        if depth == 1:
-            tokens = sets.join(wanted, "v", "left_semi").select("v", F.slice("mins", TREES + 1, TREES * paths).alias("tokens"))
+    root = F.posexplode(F.slice("mins", 1, TREES)).alias("tree", "token")
+    rows = sets.select("v", root).select("tree", F.lit(0).alias("path"), F.xxhash64("tree", "token").alias("node"), "v")
+    leaves, paths, texts = [], 1, None
+    for depth, largest in enumerate((*LARGEST, None)):
+        # stored, so that adaptive execution can split the rows of a large node in the join
+        sizes = materialize(rows.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1"), "node-sizes")
+        sized = materialize(rows.join(sizes, "node"), f"depth{depth}")
+        leaf = sized.filter(F.col("size") <= largest) if largest else sized
+        leaves.append(leaf.select("tree", "node", "v", (F.col("size") > 2 * BLOCK).alias("large")))
+        if not largest:
+            break
+        inner = sized.filter(F.col("size") > largest)
+        if inner.isEmpty():
+            break
+        branches = BRANCHES[depth]
+        paths *= branches
+        if depth == 0:
+            tokens = sets.select("v", F.slice("mins", TREES + 1, TREES * paths).alias("tokens"))
         else:
-            # rows that repeat id and text are one set
-            hot = texts.join(wanted, "v", "left_semi").dropDuplicates(["v"])
-            tokens = materialize(_tokens(hot, depth, TREES * paths, k), f"tokens{depth}")
-        path = F.explode(F.sequence(F.col("path") * n, F.col("path") * n + n - 1)).alias("path")
+            wanted = inner.select("v").distinct()
+            if texts is None:  # rows that repeat id and text are one set
+                texts = materialize(_texts(docs, sets, wanted).dropDuplicates(["v"]), "hot-texts")
+            tokens = materialize(_tokens(texts.join(wanted, "v", "left_semi"), depth, TREES * paths, k), f"tokens{depth}")
+        path = F.explode(F.sequence(F.col("path") * branches, F.col("path") * branches + branches - 1)).alias("path")
         token = F.element_at("tokens", F.col("tree") * paths + F.col("path") + 1)
-        children = (
+        rows = (
             inner.select("tree", "node", "v", path)
             .join(tokens, "v")
             .select("tree", "path", F.xxhash64("node", "path", token).alias("node"), "v")
         )
-        sized = _sized(children, f"depth{depth}")
-        leaves.append(sized.filter(F.col("size") <= LARGEST).select("tree", "node", "v"))
-        rows = sized.filter(F.col("size") > LARGEST)
-        depth += 1
     return reduce(DataFrame.unionByName, leaves)
 
 
@@ -229,9 +216,10 @@ def _numpy(table: pa.Table, name: str) -> np.ndarray:
 def _promising(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """Small nodes without the sets that resemble no other one there.
 
-    Sizes have to allow the similarity, and 34 of 64 minwise hashes to agree.
+    Sizes have to allow the similarity, and 34 of 64 minwise hashes to agree;
+    at 0.8 fewer agree with a probability of 3e-7, for all trees together, as they share the hashes.
     """
-    rows = nodes.join(sets.select("v", "n", "sketch"), "v")
+    rows = nodes.filter("NOT large").join(sets.select("v", "n", "sketch"), "v")
 
     def compare(batches):
         for table in _by_group(batches, "node"):
@@ -248,20 +236,60 @@ def _promising(nodes: DataFrame, sets: DataFrame) -> DataFrame:
                     same = (sketch[part] == sketch[part + step]).sum(1) >= 34
                     keep[part[same]] = keep[part[same] + step] = True
                 step += 1
-            yield from table.select(["tree", "node", "v"]).filter(pa.array(keep)).to_batches()
+            yield from table.select(["tree", "node", "v", "large"]).filter(pa.array(keep)).to_batches()
+
+    kept = (
+        rows.repartition("node")
+        .sortWithinPartitions("node")
+        .mapInArrow(compare, "tree int, node bigint, v bigint, large boolean")
+    )
+    return kept.unionByName(nodes.filter("large"))
 
-    return rows.repartition("node").sortWithinPartitions("node").mapInArrow(compare, "tree int, node bigint, v bigint")
 
+def _dealt(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(part, v, component): what is compared together, for nodes of several components.
 
-def _dealt(large: DataFrame) -> DataFrame:
-    """(part, v, component): large nodes at random in blocks that share one document."""
-    pivots = large.groupBy("node").agg(F.min("v").alias("pivot"))
-    rows = large.join(materialize(pivots, "pivots"), "node")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.array(F.pmod(F.xxhash64("node", "v"), blocks).cast("int"))
-    places = F.when(F.col("v") == F.col("pivot"), F.sequence(F.lit(0), blocks - 1)).otherwise(own)
-    return rows.select("node", "v", F.explode(places).alias("place")).select(
-        F.xxhash64("node", "place").alias("part"), "v", F.col("v").alias("component")
+    A small node is one part. In a large one the documents of its largest
+    component are not compared among themselves: blocks of the others meet each
+    other and blocks of that component. At first, without labels, a large node is
+    dealt into blocks that share one document, which is linear in its size.
+    """
+    if labels is None:
+        pivots = nodes.filter("large").groupBy("node").agg(F.min("v").alias("pivot"), F.count("*").alias("size"))
+        rows = nodes.join(materialize(pivots, "pivots"), "node", "left")
+        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+        own = F.array(F.pmod(F.xxhash64("v"), blocks).cast("int"))
+        every = F.sequence(F.lit(0), blocks - 1)
+        places = F.when(~F.col("large"), F.array(F.lit(0))).when(F.col("v") == F.col("pivot"), every).otherwise(own)
+        return rows.select("node", "v", F.explode(places).alias("place")).select(
+            F.xxhash64("node", "place").alias("part"), "v", F.col("v").alias("component")
+        )
+    known = nodes.join(labels, "v", "left").select(
+        "node", "v", "large", F.coalesce("component", "v").alias("component")
+    )
+    counts = known.groupBy("node", "component").agg(F.count("*").alias("c"))
+    stats = counts.groupBy("node").agg(
+        F.sum("c").alias("size"), F.count("*").alias("components"), F.max(F.struct("c", "component")).alias("top")
+    )
+    stats = materialize(stats.filter("components > 1"), "nodes-open")
+    rows = known.join(stats, "node")
+    others = F.ceil((F.col("size") - F.col("top.c")) / (2 * BLOCK)).cast("int")
+    tops = F.ceil(F.col("top.c") / (2 * BLOCK)).cast("int")
+    place = lambda n: F.pmod(F.xxhash64("v"), n).cast("int")
+    pair = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    zero = F.lit(0)
+    in_top = F.transform(F.sequence(zero, others - 1), lambda i: pair(i, others + place(tops)))
+    with_others = F.transform(
+        F.sequence(zero, others - 1), lambda j: pair(F.least(place(others), j), F.greatest(place(others), j))
+    )
+    with_top = F.transform(F.sequence(zero, tops - 1), lambda j: pair(place(others), others + j))
+    pairs = (
+        F.when(F.col("size") <= 2 * BLOCK, F.array(pair(zero, zero)))
+        .when(F.col("component") == F.col("top.component"), in_top)
+        .otherwise(F.concat(with_others, with_top))
+    )
+    return rows.select("node", "v", "component", F.explode(pairs).alias("p")).select(
+        F.xxhash64("node", "p.i", "p.j").alias("part"), "v", "component"
     )
 
 
@@ -311,19 +339,15 @@ def _forest(v: np.ndarray, component: np.ndarray, sets: list[np.ndarray], percen
                 yield int(v[i]), int(v[j])
 
 
-def _stored(spark: SparkSession, *labels: str, build: Callable[[], Sequence[DataFrame]]) -> list[DataFrame]:
-    """The frames that ``build`` returns, stored; the tables it has stored on its way are deleted."""
-    paths = [new_folder(spark, label) for label in labels]
+def _stored(near: DataFrame, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` returns, stored; the tables it has stored on its way are deleted."""
+    spark = near.sparkSession
+    path = new_folder(spark, label)
     with scope(spark):
-        frames = build()
-        schemas = [df.schema for df in frames]
-        for df, path in zip(frames, paths):
-            df.write.parquet(path)
-    return [spark.read.schema(schema).parquet(path) for schema, path in zip(schemas, paths)]
-
-
-def _labels(links: DataFrame) -> DataFrame:
-    return component_labels(links, "a", "b").select(F.col("node").alias("v"), "component")
+        df = build()
+        schema = df.schema
+        df.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def classes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -349,38 +373,14 @@ def classes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFram
         ),
         "sets",
     )
-    spark = docs.sparkSession
-    root = F.posexplode(F.slice("mins", 1, TREES)).alias("tree", "token")
-    roots = sets.select("v", root).select("tree", F.lit(0).alias("path"), F.xxhash64("tree", "token").alias("node"), "v")
-
-    def first_nodes() -> list[DataFrame]:
-        sized = _sized(roots, "roots")
-        small = sized.filter(F.col("size") <= LARGEST).select("tree", "node", "v")
-        return [_promising(small, sets), sized.filter(F.col("size") > LARGEST)]
-
-    nodes, large = _stored(spark, "first-nodes", "large-nodes", build=first_nodes)
-    wanted = nodes.select("v").union(large.select("v")).distinct()
-    (texts,) = _stored(spark, "texts", build=lambda: [_texts(docs, sets, wanted)])
-
-    def first_links() -> list[DataFrame]:
-        first = lambda df: df.filter(F.col("tree") < FIRST_TREES)
-        whole = first(nodes).select(F.col("node").alias("part"), "v", F.col("v").alias("component"))
-        return [_links(whole.unionByName(_dealt(first(large))), texts, k, percent)]
-
-    (links,) = _stored(spark, "first-links", build=first_links)
-    (labels,) = _stored(spark, "first-labels", build=lambda: [_labels(links)])
-
-    def deep_nodes() -> list[DataFrame]:
-        return [_promising(materialize(_leaves(large, labels, sets, texts, k), "leaves"), sets)]
-
-    (deep,) = _stored(spark, "deep-nodes", build=deep_nodes)
-
-    def more_links() -> list[DataFrame]:
-        parts = _open(nodes.unionByName(deep), labels).select(F.col("node").alias("part"), "v", "component")
-        return [_links(parts, texts, k, percent)]
-
-    (more,) = _stored(spark, "links", build=more_links)
-    (labels,) = _stored(spark, "labels", build=lambda: [_labels(links.unionByName(more))])
+    nodes = _stored(sets, "promising", lambda: _promising(materialize(_nodes(sets, docs, k), "nodes"), sets))
+    wanted = nodes.select("v").distinct()
+    texts = _stored(sets, "texts", lambda: _texts(docs, sets, wanted))
+    links, labels = None, None
+    for trees in (nodes.filter(F.col("tree") < FIRST_TREES), nodes):
+        found = _stored(sets, "links", lambda: _links(_dealt(trees, labels), texts, k, percent))
+        links = found if links is None else links.unionByName(found)
+        labels = _stored(sets, "labels", lambda: component_labels(links, "a", "b").select(F.col("node").alias("v"), "component"))
     labelled = distinct.join(labels, "v", "left").withColumn("component", F.coalesce("component", "v"))
     smallest = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
     of_set = materialize(
