@@ -1,5 +1,7 @@
 """Every operator against brute force on edge cases and on the smallest table."""
 
+import hashlib
+
 import brute
 import numpy as np
 import public_tokenizers
@@ -39,6 +41,14 @@ def test_exact_dedup(docs, text_rows):
     same(exact_names.duplicate_classes(docs, block_chars=64), brute.exact(text_rows(docs)))
 
 
+def test_exact_dedup_of_texts_of_ten_million_characters(spark):
+    rows = spark.range(3).selectExpr("id AS doc_id", "concat(repeat('é ab\\ncDefg', 1000000), id < 2) AS text")
+    found = {r.doc_id: r for r in exact_names.duplicate_classes(rows).collect()}
+    assert [(found[i].keep_id, found[i].group_size, found[i].kept) for i in range(3)] == [(1, 2, False), (1, 2, True), (2, 1, True)]
+    text = "é ab\ncDefg" * 1_000_000 + "true"
+    assert found[0].text_sha256 == hashlib.sha256(text.lower().encode()).hexdigest()
+
+
 def test_exact_dedup_takes_another_seed_when_hashes_meet(documents, text_rows, monkeypatch):
     tried = []
 
