@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contestry.llm.columns import only
+from contestry.operators.keys import numbered
+from contestry.session import materialize
 
 TRAINED_ROLE = "assistant"
+_TURNS = "array<struct<turn:bigint,role:string,text:string>>"
 
 
 def conversations(turns: DataFrame, key: str = "conv_id") -> DataFrame:
@@ -81,13 +84,16 @@ def format_pairs(pairs: DataFrame) -> DataFrame:
     ``pairs`` has pair_id and the turns of the chosen and the rejected conversation
     (see ``conversations``). The longest common prefix of turns is rendered once,
     as the prompt; what follows it is the completions, each with the character
-    spans to train on. A pair of equal conversations has two empty completions.
+    spans to train on. A pair of equal conversations has two empty completions. Where
+    ``rejected`` is null, the whole of ``chosen`` is the prompt and the completions and masks are null.
     """
-    counted = pairs.select("pair_id", "chosen", "rejected", common_turns(F.col("chosen"), F.col("rejected")).alias("n_common"))
+    n_common = F.coalesce(common_turns(F.col("chosen"), F.col("rejected")), F.size("chosen").cast("long"))
+    paired = F.col("rejected").isNotNull()
+    counted = pairs.select("pair_id", "chosen", "rejected", n_common.alias("n_common"))
     rest = lambda c: F.slice(F.col(c), F.col("n_common").cast("int") + 1, F.greatest(F.size(c), F.lit(1)))
     prefix = F.slice(F.col("chosen"), F.lit(1), F.col("n_common").cast("int"))
     cut = counted.select(
-        "pair_id", "n_common", prefix.alias("prefix"), rest("chosen").alias("c"), rest("rejected").alias("r")
+        "pair_id", "n_common", prefix.alias("prefix"), F.when(paired, rest("chosen")).alias("c"), rest("rejected").alias("r")
     )
     return cut.select(
         "pair_id",
@@ -100,32 +106,45 @@ def format_pairs(pairs: DataFrame) -> DataFrame:
     )
 
 
-def swapped_replies(turns: DataFrame) -> DataFrame:
-    """(pair_id, chosen, rejected): each conversation against itself with the last
-    reply of its neighbour (ids 2 n and 2 n + 1) in place of its own.
+def branched(turns: DataFrame) -> DataFrame:
+    """(pair_id, chosen, rejected): each conversation beside a branch that goes on otherwise.
 
-    What follows the last reply is left out of both. Conversations without a reply,
-    or whose neighbour has none, make no pair.
+    The conversations with a reply are numbered 0, 1, 2, ... by id, whatever their ids
+    are. Number i branches at its own reply i modulo its replies: the branch has what
+    comes before, then what the next number (0 after the last) has from its reply of
+    the same place, or its last one, to its end. As that may begin like the original, where the two
+    part is left to ``common_turns``. Nothing is cut: turns after the last reply are in both
+    sides. Without a reply there is no branch, ``rejected`` is null.
     """
-    whole = conversations(turns)
-    is_reply = lambda t: t["role"] == TRAINED_ROLE
-    replies = F.filter("turns", is_reply)
-    last = F.element_at(replies, -1)
-    ended = whole.filter(F.size(replies) > 0).select(
-        F.col("key").alias("pair_id"),
-        F.filter("turns", lambda t: (t < last) | (t == last)).alias("chosen"),
-        last.alias("reply"),
+    places = F.filter(
+        F.transform("turns", lambda t, i: F.when(t["role"] == TRAINED_ROLE, i)), lambda i: i.isNotNull()
+    )
+    whole = materialize(conversations(turns).select("key", "turns", places.alias("replies")), "conversations")
+    placed = numbered(whole.filter(F.size("replies") > 0).select("key"), "number", ["key"], unique=True)
+    placed = materialize(placed.withColumn("number", F.col("number") - 1), "replied")
+    replied = placed.count()
+    if not replied:
+        return whole.select(F.col("key").alias("pair_id"), F.col("turns").alias("chosen"), F.lit(None).cast(_TURNS).alias("rejected"))
+    own = whole.join(placed, "key", "left")
+    others = whole.join(placed, "key").select(
+        F.pmod(F.col("number") - 1, F.lit(replied)).alias("number"),
+        F.col("turns").alias("other"),
+        F.col("replies").alias("other_replies"),
+    )
+    at = F.pmod("number", F.size("replies")).cast("int")
+    other_at = F.least(at, F.size("other_replies") - 1)
+    branch = F.concat(
+        F.slice("turns", F.lit(1), F.get("replies", at)),
+        F.slice("other", F.get("other_replies", other_at) + 1, F.size("other")),
+    )
+    return own.join(others, "number", "left").select(
+        F.col("key").alias("pair_id"), F.col("turns").alias("chosen"), branch.alias("rejected")
     )
-    neighbour = (F.col("pair_id") + 1 - 2 * F.pmod("pair_id", F.lit(2))).alias("pair_id")
-    other = ended.select(neighbour, F.col("reply").alias("other"))
-    kept = F.slice(F.col("chosen"), F.lit(1), F.size("chosen") - 1)
-    swapped = F.struct(F.col("reply.turn").alias("turn"), F.col("other.role").alias("role"), F.col("other.text").alias("text"))
-    return ended.join(other, "pair_id").select("pair_id", "chosen", F.concat(kept, F.array(swapped)).alias("rejected"))
 
 
 def preference_report(turns: DataFrame) -> DataFrame:
-    """The pairs of ``swapped_replies``, with the masks as text (start-end, comma-joined)."""
-    pairs = format_pairs(swapped_replies(turns))
+    """The pairs of ``branched``, with the masks as text (start-end, comma-joined)."""
+    pairs = format_pairs(branched(turns))
     spans = lambda c: F.array_join(
         F.transform(c, lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string"))), ","
     )
@@ -140,46 +159,54 @@ def preference_report(turns: DataFrame) -> DataFrame:
     )
 
 
-#: the same in SQL for a table without null numbers and without turns that share one
+#: the same in SQL for a table without null numbers
 PREFERENCE_SQL = r"""
 WITH turns AS (
-  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
-  FROM conversations WHERE conv_id IS NOT NULL
-), last AS (
-  SELECT conv_id, max(turn) AS turn FROM turns WHERE role = 'assistant' GROUP BY conv_id
-), chosen AS (
-  SELECT t.* FROM turns t JOIN last l ON t.conv_id = l.conv_id AND t.turn <= l.turn
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS place
+  FROM (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL)
 ), replies AS (
-  SELECT t.* FROM turns t JOIN last l ON t.conv_id = l.conv_id AND t.turn = l.turn
+  SELECT conv_id, place, row_number() OVER (PARTITION BY conv_id ORDER BY place) - 1 AS reply,
+    count(*) OVER (PARTITION BY conv_id) AS n
+  FROM turns WHERE role = 'assistant'
+), numbers AS (
+  SELECT conv_id, n, row_number() OVER (ORDER BY conv_id) - 1 AS number, count(*) OVER () AS replied
+  FROM (SELECT DISTINCT conv_id, n FROM replies)
+), branches AS (
+  SELECT a.conv_id, own.place AS own_place, b.conv_id AS other, theirs.place AS other_place
+  FROM numbers a JOIN numbers b ON b.number = (a.number + 1) % a.replied
+  JOIN replies own ON own.conv_id = a.conv_id AND own.reply = a.number % a.n
+  JOIN replies theirs ON theirs.conv_id = b.conv_id AND theirs.reply = least(a.number % a.n, b.n - 1)
 ), rejected AS (
-  SELECT c.conv_id, c.turn, CASE WHEN c.turn = l.turn THEN r.role ELSE c.role END AS role,
-    CASE WHEN c.turn = l.turn THEN r.text ELSE c.text END AS text
-  FROM chosen c JOIN last l ON c.conv_id = l.conv_id
-  JOIN replies r ON r.conv_id = c.conv_id + 1 - 2 * (c.conv_id % 2)
+  SELECT b.conv_id, t.place, t.role, t.text FROM branches b JOIN turns t ON t.conv_id = b.conv_id AND t.place < b.own_place
+  UNION ALL
+  SELECT b.conv_id, b.own_place + t.place - b.other_place, t.role, t.text
+  FROM branches b JOIN turns t ON t.conv_id = b.other AND t.place >= b.other_place
+), sizes AS (
+  SELECT t.conv_id, count(*) AS n, (SELECT count(*) FROM rejected r WHERE r.conv_id = t.conv_id) AS m FROM turns t GROUP BY t.conv_id
 ), differ AS (
-  SELECT c.conv_id, min(CASE WHEN c.role <> r.role OR c.text <> r.text THEN c.turn END) AS turn,
-  FROM chosen c JOIN rejected r ON c.conv_id = r.conv_id AND c.turn = r.turn GROUP BY c.conv_id
-), prompts AS (
-  SELECT d.conv_id, count(CASE WHEN d.turn IS NULL OR c.turn < d.turn THEN 1 END) AS n_common,
-    coalesce(string_agg(CASE WHEN d.turn IS NULL OR c.turn < d.turn
-      THEN '<|' || c.role || '|>' || chr(10) || c.text || '<|end|>' || chr(10) END, '' ORDER BY c.turn), '') AS prompt
-  FROM differ d JOIN chosen c ON c.conv_id = d.conv_id GROUP BY d.conv_id
-), rest AS (
-  SELECT 'c' AS side, c.* FROM chosen c JOIN differ d ON c.conv_id = d.conv_id AND c.turn >= d.turn
+  SELECT s.conv_id, s.m > 0 AS paired, CASE WHEN s.m = 0 THEN s.n ELSE coalesce(
+    (SELECT min(c.place) FROM turns c JOIN rejected r ON r.conv_id = c.conv_id AND r.place = c.place
+      WHERE c.conv_id = s.conv_id AND (c.role <> r.role OR c.text <> r.text)), least(s.n, s.m)) END AS n_common
+  FROM sizes s
+), sides AS (
+  SELECT 'c' AS side, conv_id, place, role, text FROM turns
   UNION ALL
-  SELECT 'r', r.* FROM rejected r JOIN differ d ON r.conv_id = d.conv_id AND r.turn >= d.turn
-), placed AS (
-  SELECT *, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS shown,
-    sum(length(role) + length(text) + 13) OVER (PARTITION BY side, conv_id ORDER BY turn) AS upto
-  FROM rest
-), ends AS (
-  SELECT conv_id, side, string_agg(shown, '' ORDER BY turn) AS shown,
-    coalesce(string_agg(CASE WHEN role = 'assistant' THEN (upto - length(text) - 8)::VARCHAR || '-' || (upto - 1)::VARCHAR END,
-      ',' ORDER BY turn), '') AS mask
-  FROM placed GROUP BY conv_id, side
+  SELECT 'r', conv_id, place, role, text FROM rejected
+), shown AS (
+  SELECT s.*, d.n_common, '<|' || s.role || '|>' || chr(10) || s.text || '<|end|>' || chr(10) AS shown,
+    sum(CASE WHEN s.place >= d.n_common THEN length(s.role) + length(s.text) + 13 END)
+      OVER (PARTITION BY s.side, s.conv_id ORDER BY s.place) AS upto
+  FROM sides s JOIN differ d ON d.conv_id = s.conv_id
+), texts AS (
+  SELECT conv_id, side, coalesce(string_agg(CASE WHEN place < n_common THEN shown END, '' ORDER BY place), '') AS prompt,
+    coalesce(string_agg(CASE WHEN place >= n_common THEN shown END, '' ORDER BY place), '') AS rest,
+    coalesce(string_agg(CASE WHEN place >= n_common AND role = 'assistant'
+      THEN (upto - length(text) - 8)::BIGINT::VARCHAR || '-' || (upto - 1)::BIGINT::VARCHAR END, ',' ORDER BY place), '') AS mask
+  FROM shown GROUP BY conv_id, side
 )
-SELECT p.conv_id, p.n_common, p.prompt, coalesce(c.shown, '') AS chosen, coalesce(r.shown, '') AS rejected,
-  coalesce(c.mask, '') AS chosen_mask, coalesce(r.mask, '') AS rejected_mask
-FROM prompts p LEFT JOIN ends c ON c.conv_id = p.conv_id AND c.side = 'c'
-LEFT JOIN ends r ON r.conv_id = p.conv_id AND r.side = 'r'
+SELECT d.conv_id, d.n_common, c.prompt, CASE WHEN d.paired THEN c.rest END AS chosen, r.rest AS rejected,
+  CASE WHEN d.paired THEN c.mask END AS chosen_mask, r.mask AS rejected_mask
+FROM differ d JOIN texts c ON c.conv_id = d.conv_id AND c.side = 'c'
+LEFT JOIN texts r ON r.conv_id = d.conv_id AND r.side = 'r'
 """

@@ -1,5 +1,7 @@
 """Preference pairs: prefixes, masks and edge cases."""
 
+import pytest
+
 from contestry.llm import preferences as p
 
 TURNS = "conv_id bigint, turn bigint, role string, text string"
@@ -43,23 +45,47 @@ def test_edge_cases_of_turns(spark):
     ]
     df = spark.createDataFrame(rows, TURNS).selectExpr("*", "'own' AS key", "'own' AS turns", "'own' AS pair_id", "1 AS n_common")
     found = {r.conv_id: r for r in p.preference_report(df).collect()}
-    assert set(found) == {0, 1, 4, 5}
+    assert set(found) == {0, 1, 2, 3, 4, 5}
     assert (found[0].prompt, found[0].chosen, found[0].rejected) == (
-        "<|user|>\nq<|end|>\n", "<|assistant|>\none<|end|>\n", "<|assistant|>\n<|end|>\n")
+        "<|user|>\nq<|end|>\n", "<|assistant|>\none<|end|>\n<|user|>\nthanks<|end|>\n", "<|assistant|>\n<|end|>\n")
     assert found[1].prompt == "<|" + "|>\n<|end|>\n" and found[1].chosen_mask == "14-21"
+    assert found[2].prompt == "<|user|>\nalone<|end|>\n" and found[2].n_common == 1
+    assert (found[2].chosen, found[2].rejected, found[2].chosen_mask, found[2].rejected_mask) == (None,) * 4
+    assert found[3].n_common == 0 and found[3].rejected_mask == "14-22,37-45"
     assert found[4].n_common == 1 and found[4].chosen == "<|assistant|>\nb<|end|>\n"
-    assert found[5].rejected == "<|assistant|>\nb<|end|>\n"
+    assert found[4].rejected_mask == "14-100021"
+    assert found[5].rejected == "<|assistant|>\none<|end|>\n<|user|>\nthanks<|end|>\n"
+
+
+def test_a_branch_that_begins_alike_lengthens_the_prompt(spark):
+    rows = [(10, 0, "user", "a"), (10, 1, "assistant", "yes"), (10, 2, "user", "b"), (10, 3, "assistant", "no"),
+            (30, 0, "user", "c"), (30, 1, "assistant", "yes"), (30, 2, "user", "b"), (30, 3, "assistant", "maybe")]
+    found = {r.conv_id: r for r in p.preference_report(spark.createDataFrame(rows, TURNS)).collect()}
+    assert found[10].n_common == 3 and found[10].rejected == "<|assistant|>\nmaybe<|end|>\n"
+    assert found[30].n_common == 3 and found[30].chosen == "<|assistant|>\nmaybe<|end|>\n"
+
+
+def test_ids_of_any_kind_and_all_without_reply(spark):
+    rows = [("x", 0, "user", "hi"), ("x", 1, "assistant", "ho"), ("b", 0, "assistant", "hm")]
+    df = spark.createDataFrame(rows, TURNS.replace("conv_id bigint", "conv_id string"))
+    found = {r.conv_id: r for r in p.preference_report(df).collect()}
+    assert found["b"].rejected == "<|assistant|>\nho<|end|>\n" and found["x"].rejected == "<|assistant|>\nhm<|end|>\n"
+    silent = p.preference_report(df.filter("role = 'user'")).collect()
+    assert [(r.conv_id, r.n_common, r.rejected) for r in silent] == [("x", 1, None)]
 
 
 def test_empty_table(spark):
     assert p.preference_report(spark.createDataFrame([], TURNS)).isEmpty()
 
 
-def test_twin_in_sql(spark):
+@pytest.mark.parametrize("rows", ["TRUE", "conv_id % 2 = 0"])
+def test_twin_in_sql(spark, rows):
     import duckdb
 
     folder = "/root/testdata/sf0.001"
-    duckdb.sql(f"CREATE OR REPLACE VIEW conversations AS SELECT * FROM '{folder}/conversations.parquet'")
+    duckdb.sql(f"CREATE OR REPLACE VIEW conversations AS SELECT * FROM '{folder}/conversations.parquet' WHERE {rows}")
     expected = duckdb.sql(p.PREFERENCE_SQL)
-    found = p.preference_report(spark.read.parquet(f"{folder}/conversations.parquet")).select(*expected.columns).collect()
-    assert sorted(map(tuple, found)) == sorted(expected.fetchall())
+    turns = spark.read.parquet(f"{folder}/conversations.parquet").filter(rows)
+    found = p.preference_report(turns).select(*expected.columns).collect()
+    assert len(found) == turns.select("conv_id").distinct().count()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, expected.fetchall()))
