@@ -35,10 +35,12 @@ TREES = 20
 FIRST_TREES = 2
 #: minwise hashes: one for the root of each tree, the rest for deeper nodes
 HASHES = 64
-#: documents that one task compares at once
-BLOCK = 128
+#: documents and shingles that one block holds; a task compares two blocks at once
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
 #: a node branches if it is larger; what is left at the last depth is compared by blocks
-LARGEST = (2 * BLOCK, 4 * BLOCK, 16 * BLOCK, 128 * BLOCK, 1024 * BLOCK)
+LARGEST = (256, 512, 2048, 16384, 131072)
+#: sets of a leaf whose sketches one task compares, each with all of like size; 64 bytes a set
+SKETCHED = 16384
 #: by how many independent tokens a node of each depth branches
 BRANCHES = (1, 2, 1, 2, 1)
 
@@ -148,7 +150,8 @@ def _texts(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _nodes(sets: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """(tree, node, v, large): the leaves of all trees that hold two sets at least.
+    """(tree, node, v, large): the leaves of all trees that hold two sets at least;
+    large ones have too many for their sketches to be compared in one task.
 
     A node branches by hashes that belong to its depth, its tree and the branches
     taken so far, so no two steps share one. The larger a node, the deeper
@@ -164,7 +167,7 @@ def _nodes(sets: DataFrame, docs: DataFrame, k: int) -> DataFrame:
         sizes = materialize(rows.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1"), "node-sizes")
         sized = materialize(rows.join(sizes, "node"), f"depth{depth}")
         leaf = sized.filter(F.col("size") <= largest) if largest else sized
-        leaves.append(leaf.select("tree", "node", "v", (F.col("size") > 2 * BLOCK).alias("large")))
+        leaves.append(leaf.select("tree", "node", "v", (F.col("size") > SKETCHED).alias("large")))
         if not largest:
             break
         inner = sized.filter(F.col("size") > largest)
@@ -213,69 +216,85 @@ def _numpy(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).combine_chunks().to_numpy(zero_copy_only=False)
 
 
-def _promising(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Small nodes without the sets that resemble no other one there.
+def _promising(nodes: DataFrame, sets: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The nodes, with ``component``, without the sets that resemble none of another
+    component there. Without labels every set is its own component.
 
     Sizes have to allow the similarity, and 34 of 64 minwise hashes to agree;
     at 0.8 fewer agree with a probability of 3e-7, for all trees together, as they share the hashes.
+    Sets are sorted by size, so that each meets only those of like size. Only sketches
+    are compared, so documents that share a passage and little else cost no full sets.
     """
-    rows = nodes.filter("NOT large").join(sets.select("v", "n", "sketch"), "v")
+    if labels is None:
+        known = nodes.withColumn("component", F.col("v"))
+    else:
+        known = nodes.join(labels, "v", "left").withColumn("component", F.coalesce("component", "v"))
+    rows = known.filter("NOT large").join(sets.select("v", "n", "sketch"), "v")
 
     def compare(batches):
         for table in _by_group(batches, "node"):
-            node, n = _numpy(table, "node"), _numpy(table, "n")
+            node, n, component = (_numpy(table, c) for c in ("node", "n", "component"))
             sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, HASHES)
             keep = np.zeros(len(node), bool)
-            step = 1
-            while step < len(node):
-                i = np.flatnonzero(node[:-step] == node[step:])
+            i, step = np.arange(len(node)), 1
+            while True:
+                i = i[: np.searchsorted(i, len(node) - step)]
+                # what is too large at this distance is so at every greater one
+                i = i[(node[i] == node[i + step]) & (100 * n[i] >= PERCENT * n[i + step])]
                 if not len(i):
                     break
-                i = i[100 * np.minimum(n[i], n[i + step]) >= PERCENT * np.maximum(n[i], n[i + step])]
-                for part in np.array_split(i, len(i) // 100_000 + 1):
+                apart = i[component[i] != component[i + step]]
+                for part in np.array_split(apart, len(apart) // 100_000 + 1):
                     same = (sketch[part] == sketch[part + step]).sum(1) >= 34
                     keep[part[same]] = keep[part[same] + step] = True
                 step += 1
-            yield from table.select(["tree", "node", "v", "large"]).filter(pa.array(keep)).to_batches()
+            yield from table.select(["node", "v", "n", "component"]).filter(pa.array(keep)).to_batches()
 
     kept = (
         rows.repartition("node")
-        .sortWithinPartitions("node")
-        .mapInArrow(compare, "tree int, node bigint, v bigint, large boolean")
+        .sortWithinPartitions("node", "n")
+        .mapInArrow(compare, "node bigint, v bigint, n bigint, component bigint")
     )
-    return kept.unionByName(nodes.filter("large"))
+    return kept.unionByName(known.filter("large").join(sets.select("v", "n"), "v").select("node", "v", "n", "component"))
 
 
-def _dealt(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _dealt(nodes: DataFrame, first: bool) -> DataFrame:
     """(part, v, component): what is compared together, for nodes of several components.
 
-    A small node is one part. In a large one the documents of its largest
+    A node of up to two blocks is one part. In a larger one the documents of its largest
     component are not compared among themselves: blocks of the others meet each
-    other and blocks of that component. At first, without labels, a large node is
+    other and blocks of that component. At first, before any links are known, a large node is
     dealt into blocks that share one document, which is linear in its size.
     """
-    if labels is None:
-        pivots = nodes.filter("large").groupBy("node").agg(F.min("v").alias("pivot"), F.count("*").alias("size"))
-        rows = nodes.join(materialize(pivots, "pivots"), "node", "left")
-        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-        own = F.array(F.pmod(F.xxhash64("v"), blocks).cast("int"))
+    blocks_of = lambda c, n: F.greatest(F.ceil(c / BLOCK), F.ceil(n / BLOCK_SHINGLES)).cast("int")
+    place = lambda n: F.pmod(F.xxhash64("v"), n).cast("int")
+    if first:
+        stats = nodes.groupBy("node").agg(
+            F.min("v").alias("pivot"), blocks_of(F.count("*"), F.sum("n")).alias("blocks")
+        )
+        rows = nodes.join(materialize(stats, "pivots"), "node")
+        blocks = F.col("blocks")
         every = F.sequence(F.lit(0), blocks - 1)
-        places = F.when(~F.col("large"), F.array(F.lit(0))).when(F.col("v") == F.col("pivot"), every).otherwise(own)
-        return rows.select("node", "v", F.explode(places).alias("place")).select(
-            F.xxhash64("node", "place").alias("part"), "v", F.col("v").alias("component")
+        places = (
+            F.when(blocks <= 2, F.array(F.lit(0))).when(F.col("v") == F.col("pivot"), every).otherwise(F.array(place(blocks)))
         )
-    known = nodes.join(labels, "v", "left").select(
-        "node", "v", "large", F.coalesce("component", "v").alias("component")
-    )
-    counts = known.groupBy("node", "component").agg(F.count("*").alias("c"))
+        return rows.select("node", "v", "component", F.explode(places).alias("place")).select(
+            F.xxhash64("node", "place").alias("part"), "v", "component"
+        )
+    counts = nodes.groupBy("node", "component").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
     stats = counts.groupBy("node").agg(
-        F.sum("c").alias("size"), F.count("*").alias("components"), F.max(F.struct("c", "component")).alias("top")
+        F.sum("c").alias("c"), F.sum("n").alias("n"), F.count("*").alias("components"),
+        F.max(F.struct("c", "n", "component")).alias("top"),
     )
-    stats = materialize(stats.filter("components > 1"), "nodes-open")
-    rows = known.join(stats, "node")
-    others = F.ceil((F.col("size") - F.col("top.c")) / (2 * BLOCK)).cast("int")
-    tops = F.ceil(F.col("top.c") / (2 * BLOCK)).cast("int")
-    place = lambda n: F.pmod(F.xxhash64("v"), n).cast("int")
+    stats = stats.filter("components > 1").select(
+        "node",
+        F.col("top.component").alias("top"),
+        (blocks_of(F.col("c"), F.col("n")) <= 2).alias("small"),
+        blocks_of(F.col("c") - F.col("top.c"), F.col("n") - F.col("top.n")).alias("others"),
+        blocks_of(F.col("top.c"), F.col("top.n")).alias("tops"),
+    )
+    rows = nodes.join(materialize(stats, "nodes-open"), "node")
+    others, tops = F.col("others"), F.col("tops")
     pair = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
     zero = F.lit(0)
     in_top = F.transform(F.sequence(zero, others - 1), lambda i: pair(i, others + place(tops)))
@@ -284,8 +303,8 @@ def _dealt(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
     )
     with_top = F.transform(F.sequence(zero, tops - 1), lambda j: pair(place(others), others + j))
     pairs = (
-        F.when(F.col("size") <= 2 * BLOCK, F.array(pair(zero, zero)))
-        .when(F.col("component") == F.col("top.component"), in_top)
+        F.when(F.col("small"), F.array(pair(zero, zero)))
+        .when(F.col("component") == F.col("top"), in_top)
         .otherwise(F.concat(with_others, with_top))
     )
     return rows.select("node", "v", "component", F.explode(pairs).alias("p")).select(
@@ -319,13 +338,14 @@ def _links(parts: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
 
 
 def _forest(v: np.ndarray, component: np.ndarray, sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
-    """Links that join components; each set is held against all others at once."""
+    """Links that join components; each set outside the largest one is held against all others at once."""
     sizes = np.array([len(s) for s in sets])
     _, ids = np.unique(np.concatenate(sets), return_inverse=True)
     at = np.cumsum(sizes) - sizes
     group = np.unique(component, return_inverse=True)[1]
+    outside = np.flatnonzero(group != np.bincount(group).argmax())
     held = np.zeros(ids.max() + 1, bool)
-    for i in range(len(v) - 1):
+    for i in outside.tolist():
         if (group == group[0]).all():
             return
         own = ids[at[i] : at[i] + sizes[i]]
@@ -373,12 +393,16 @@ def classes(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFram
         ),
         "sets",
     )
-    nodes = _stored(sets, "promising", lambda: _promising(materialize(_nodes(sets, docs, k), "nodes"), sets))
-    wanted = nodes.select("v").distinct()
-    texts = _stored(sets, "texts", lambda: _texts(docs, sets, wanted))
+    nodes = _stored(sets, "nodes", lambda: _nodes(sets, docs, k))
     links, labels = None, None
-    for trees in (nodes.filter(F.col("tree") < FIRST_TREES), nodes):
-        found = _stored(sets, "links", lambda: _links(_dealt(trees, labels), texts, k, percent))
+    for first in (True, False):
+
+        def compare(trees=nodes.filter(F.col("tree") < FIRST_TREES) if first else nodes, known=labels):
+            near = materialize(_promising(trees, sets, known), "promising")
+            texts = materialize(_texts(docs, sets, near.select("v").distinct()), "texts")
+            return _links(_dealt(near, first), texts, k, percent)
+
+        found = _stored(sets, "links", compare)
         links = found if links is None else links.unionByName(found)
         labels = _stored(sets, "labels", lambda: component_labels(links, "a", "b").select(F.col("node").alias("v"), "component"))
     labelled = distinct.join(labels, "v", "left").withColumn("component", F.coalesce("component", "v"))

@@ -94,15 +94,17 @@ def test_near_duplicates(docs, text_rows):
     same(near_dups.near_duplicate_report(docs), expected_near(text_rows(docs)))
 
 
-def test_near_duplicates_in_large_nodes(documents, text_rows, monkeypatch):
-    """Nodes of two are large here, so they branch and are compared by blocks."""
+@pytest.mark.parametrize("sketched", [2, 16384])
+def test_near_duplicates_in_large_nodes(documents, text_rows, monkeypatch, sketched):
+    """Nodes of two are large here, so they branch and are compared by blocks, with and without sketches."""
     monkeypatch.setattr(near_dups, "BLOCK", 1)
+    monkeypatch.setattr(near_dups, "SKETCHED", sketched)
     monkeypatch.setattr(near_dups, "LARGEST", (2, 4))
     same(near_dups.near_duplicate_report(documents), expected_near(text_rows(documents)))
 
 
 def test_a_chain_of_near_copies_in_one_large_node(spark, monkeypatch):
-    monkeypatch.setattr(near_dups, "BLOCK", 4)
+    monkeypatch.setattr(near_dups, "BLOCK_SHINGLES", 400)
     monkeypatch.setattr(near_dups, "LARGEST", (8, 16))
     words = [f"w{i}" for i in range(200)]
     rows = [(i, " ".join(words[i * 3 : i * 3 + 100])) for i in range(34)] + [(99, " ".join(words[:100]) + " x")]
