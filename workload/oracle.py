@@ -692,6 +692,9 @@ _QUERIES: dict[str, str] = {
     "stream_schema_evolution": """SELECT MatchId, HomeTeam, AwayTeam, HomeScore, AwayScore, NULL AS "Date",
         CASE WHEN MatchId % 2 = 1 THEN 'ref-' || (MatchId % 7) END AS Referee FROM feed""",
     "rewritten_landing": """SELECT MatchId, HomeTeam, HomeScore, (SELECT count(*) FROM feed) AS before FROM feed WHERE HomeScore > 30""",
+    "landing_refreshed": """SELECT MatchId, HomeTeam, CASE WHEN MatchId % 4 = 1 THEN -HomeScore ELSE HomeScore END AS HomeScore,
+        CASE WHEN MatchId % 4 = 0 THEN 'same' ELSE 'new' END AS change FROM feed WHERE MatchId % 4 <> 2""",
+    "stream_catalog": f"SELECT {_SILVER_COLUMNS} FROM silver",
     "overwrite_with_new_schema": """SELECT Season AS Year, Result, HomeScore::VARCHAR AS MatchId FROM silver""",
     "stream_bronze_to_silver": f"SELECT {_SILVER_COLUMNS} FROM silver",
     "stream_upcoming": """SELECT MatchId, HomeTeam, AwayTeam, Season, Round, "Date", Competition, IsNeutral FROM upcoming""",

@@ -16,9 +16,9 @@ from contestry.operators.continued import RatingStore
 from contestry.operators.keys import numbered
 from contestry.plans import features, model, silver
 from contestry.plans.gold import Gold
-from contestry.session import materialize, new_folder
-from contestry.sources import files, schemas, tables
-from contestry.streaming import evolving, ingest
+from contestry.session import delete_folder, materialize, new_folder
+from contestry.sources import files, landing, schemas, tables
+from contestry.streaming import catalog, evolving, ingest
 from workload import feeds
 from workload.feeds import AS_OF
 
@@ -73,18 +73,18 @@ class Pipeline:
         Silver takes the second run in the schema of the first, so it stops and starts again.
         """
         feed = feeds.raw_feed(self.spark, self.sf_dir).withColumn("Crowd", F.col("HomeScore") * 100)
-        landing, target = new_folder(self.spark, "landing"), new_folder(self.spark, "evolved")
-        _write_csv(feed.filter("MatchId % 2 = 0"), f"{landing}/first")
-        evolving.run_ingest(self.spark, f"{landing}/*", target, teams=self.aliases)
+        drops, target = new_folder(self.spark, "landing"), new_folder(self.spark, "evolved")
+        _write_csv(feed.filter("MatchId % 2 = 0"), f"{drops}/first")
+        evolving.run_ingest(self.spark, f"{drops}/*", target, teams=self.aliases)
         late = feed.filter("MatchId % 2 = 1").withColumns(
             {
                 "Crowd": F.col("Crowd") + 0.5,
                 "Announced": F.date_add(F.lit("2000-01-01").cast("date"), (F.col("MatchId") % 365).cast("int")),
             }
         )
-        _write_csv(late.select("Announced", *reversed(feed.columns)), f"{landing}/second")
+        _write_csv(late.select("Announced", *reversed(feed.columns)), f"{drops}/second")
         checkpoint = f"{target}/_checkpoints/bronze"
-        evolving.store_drops(self.spark, f"{landing}/*", f"{target}/bronze", checkpoint).awaitTermination()
+        evolving.store_drops(self.spark, f"{drops}/*", f"{target}/bronze", checkpoint).awaitTermination()
         evolving.run_silver(self.spark, target, version=1, teams=self.aliases)
         return target
 
@@ -882,6 +882,39 @@ def rewritten_landing(p: Pipeline) -> DataFrame:
     return files.read_csv(p.spark, path, schema).withColumn("before", F.lit(before).cast("long"))
 
 
+@query
+def landing_refreshed(p: Pipeline) -> DataFrame:
+    """A landing folder after one drop is rewritten, one deleted and one added: only these are read again."""
+    folder, target = new_folder(p.spark, "landing"), new_folder(p.spark, "landed")
+    feed = feeds.raw_feed(p.spark, p.sf_dir).select("MatchId", "HomeTeam", "HomeScore")
+    schema = T.StructType([f for f in schemas.RESULTS.fields if f.name in feed.columns])
+    drops = [feed.filter(F.col("MatchId") % 4 == k) for k in range(4)]
+    for k in range(3):
+        _write_csv(drops[k], f"{folder}/{k}")
+    landing.refresh_landing(p.spark, folder, target, schema, "part-*")
+    _write_csv(drops[1].withColumn("HomeScore", -F.col("HomeScore")), f"{folder}/1", "overwrite")
+    delete_folder(p.spark, f"{folder}/2")
+    _write_csv(drops[3], f"{folder}/3")
+    files_now = landing.refresh_landing(p.spark, folder, target, schema, "part-*")
+    stored = landing.read_landing(p.spark, target, schema)
+    return stored.join(files_now.select("source_file", "change"), "source_file").select(*feed.columns, "change")
+
+
+@query
+def stream_catalog(p: Pipeline) -> DataFrame:
+    """Two runs from files over a bronze to a silver table of the catalog, with days merged in between."""
+    folder, checkpoint = new_folder(p.spark, "landing"), new_folder(p.spark, "catalog-checkpoints")
+    names_ = tuple(_table_name(label) for label in ("bronze", "results", "upcoming"))
+    merged = _table_name("merged")
+    feed = feeds.raw_feed(p.spark, p.sf_dir)
+    for k, drop in enumerate(("first", "second")):
+        _write_csv(feed.filter(F.col("MatchId") % 2 == k), f"{folder}/{drop}")
+        catalog.run_ingest(p.spark, f"{folder}/*", schemas.RESULTS, names_, checkpoint, AS_OF, p.aliases)
+        catalog.merge_days(p.spark, names_[1], merged, catalog.SILVER_DAY)
+    results = catalog.read_days(p.spark, names_[1], merged, catalog.SILVER_DAY)
+    return _dropped(p, without_times(results).drop("bronze_file", catalog.SILVER_DAY), *names_, merged)
+
+
 @query
 def overwrite_with_new_schema(p: Pipeline) -> DataFrame:
     name = _table_name("overwritten")
