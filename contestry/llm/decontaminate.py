@@ -14,31 +14,63 @@ from contestry.llm import text as tx
 from contestry.llm.columns import only
 
 WINDOW = 10
-#: the benchmark is broadcast in blocks of about so many bytes of text
-BLOCK_BYTES = 32 << 20
+#: the benchmark is broadcast in blocks of about so many bytes of text; the arrays of a block
+#: take up to ``MULTIPLE`` times its text, where words have four letters or more, and 4 MB for
+#: each of ten lengths
+BLOCK_BYTES = 16 << 20
+MULTIPLE = 12
+#: hashes whose meaning a worker keeps at once
+REMEMBERED = 10_000
 _BITS = 22
 
 _SPAN = "array<struct<first:bigint,last:bigint>>"
 
 
 class _Windows:
-    """The windows of some test items: by length, sorted hashes with what they stand for."""
+    """The windows of some test items as arrays: by length, sorted hashes and the words where
+    they start. What a hash stands for is looked up, and compared, in the items' own text."""
 
     def __init__(self, items: list[tuple[str, str]], window: int) -> None:
-        found: dict[int, dict[int, dict[bytes, set[str]]]] = defaultdict(lambda: defaultdict(lambda: defaultdict(set)))
-        for item, text in items:
-            data = tx.lower(np.frombuffer(text.encode(), np.uint8))
-            starts, ends, hashes = tx.words(data, np.array([0, len(data)]), tx.PLAIN)
-            k = min(window, len(starts))
-            if k:
-                for i, h in enumerate(tx.windows(hashes, k).tolist()):
-                    found[k][h][_joined(data, starts, ends, i, k)].add(item)
-        self.texts = {k: {h: dict(t) for h, t in by.items()} for k, by in found.items()}
-        self.hashes = {k: np.sort(np.fromiter(by, np.uint64, len(by))) for k, by in found.items()}
-        self.maybe = {}
-        for k, h in self.hashes.items():
-            self.maybe[k] = np.zeros(1 << _BITS, bool)
-            self.maybe[k][h >> np.uint64(64 - _BITS)] = True
+        texts = [text.encode() for _, text in items]
+        self.items = [item for item, _ in items]
+        cuts = np.concatenate(([0], np.cumsum([len(t) for t in texts], dtype=np.int64)))
+        self.data = tx.lower(np.frombuffer(b"".join(texts), np.uint8))
+        starts, ends, hashes = tx.words(self.data, cuts, tx.PLAIN)
+        row = tx.rows_of(starts, cuts)
+        size = np.minimum(window, np.bincount(row, minlength=len(items)))
+        self.starts, self.ends, self.row = starts.astype(np.int32), ends.astype(np.int32), row.astype(np.int32)
+        self.hashes, self.at, self.maybe = {}, {}, {}
+        for k in np.unique(size[size > 0]).tolist():
+            at = np.arange(max(len(row) - k + 1, 0))
+            at = at[(row[at] == row[at + k - 1]) & (size[row[at]] == k)]
+            h = tx.windows(hashes, k)[at]
+            order = np.argsort(h, kind="stable")
+            self.hashes[k], self.at[k] = h[order], at[order].astype(np.int32)
+            bits = min(_BITS, len(h).bit_length() + 5)
+            self.maybe[k] = np.zeros(1 << bits, bool)
+            self.maybe[k][self._slot(k, h)] = True
+        #: what was hit lately, by length and hash
+        self.found: dict[tuple[int, int], dict[bytes, set[str]]] = {}
+
+    def _slot(self, k: int, h: np.ndarray) -> np.ndarray:
+        return h >> np.uint64(64 - (len(self.maybe[k]).bit_length() - 1))
+
+    def nbytes(self) -> int:
+        """Bytes of all arrays, which is what a worker holds."""
+        arrays = [self.data, self.starts, self.ends, self.row]
+        return sum(a.nbytes for a in (*arrays, *self.hashes.values(), *self.at.values(), *self.maybe.values()))
+
+    def _meant(self, k: int, h: int) -> dict[bytes, set[str]]:
+        """The texts of the windows with a hash, and the items that hold them."""
+        if (k, h) not in self.found:
+            if len(self.found) >= REMEMBERED:
+                self.found.clear()
+            first, end = (np.searchsorted(self.hashes[k], np.uint64(h), side) for side in ("left", "right"))
+            meant: dict[bytes, set[str]] = defaultdict(set)
+            for i in self.at[k][first:end].tolist():
+                meant[_joined(self.data, self.starts, self.ends, i, k)].add(self.items[self.row[i]])
+            self.found[k, h] = dict(meant)
+        return self.found[k, h]
 
     def scan(self, data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, list[list[tuple[int, int, set[str]]]]]:
         """Words of each row, and by row (first word, last word, items) of each
@@ -52,12 +84,12 @@ class _Windows:
         hits: list[list[tuple[int, int, set[str]]]] = [[] for _ in range(n_rows)]
         for k, known in self.hashes.items():
             h = tx.windows(hashes, k)
-            at = np.flatnonzero(self.maybe[k][h >> np.uint64(64 - _BITS)])
+            at = np.flatnonzero(self.maybe[k][self._slot(k, h)])
             at = at[row[at] == row[at + k - 1]]
             slot = np.minimum(np.searchsorted(known, h[at]), len(known) - 1)
             at = at[known[slot] == h[at]]
             for i in at.tolist():
-                items = self.texts[k][int(h[i])].get(_joined(data, starts, ends, i, k))
+                items = self._meant(k, int(h[i])).get(_joined(data, starts, ends, i, k))
                 if items:
                     r = int(row[i])
                     hits[r].append((i - int(first[r]), i - int(first[r]) + k - 1, items))

@@ -161,6 +161,21 @@ def test_empty_benchmark_hits_nothing(edge, spark):
     assert decontaminate.contamination_report(edge, none).filter("contaminated").isEmpty()
 
 
+def test_a_benchmark_block_takes_a_stated_multiple_of_its_text():
+    random = np.random.default_rng(5)
+    words = ["".join(random.choice(list("abcdefghij"), n)) for n in random.integers(4, 9, 5000).tolist()]
+    items = [(str(i), " ".join(random.choice(words, n))) for i, n in enumerate(random.integers(1, 60, 4000).tolist())]
+    size = sum(len(t) for _, t in items)
+    block = decontaminate._Windows(items * 2, decontaminate.WINDOW)
+    assert block.nbytes() < decontaminate.MULTIPLE * 2 * size + 10 * (4 << 20)
+    again = decontaminate._Windows([(str(i), items[0][1]) for i in range(300)] + items, decontaminate.WINDOW)
+    data = np.frombuffer(items[0][1].upper().encode(), np.uint8)
+    n_words, hits = again.scan(data, np.array([0, len(data)]))
+    whole = [found for first, last, found in hits[0] if last - first == decontaminate.WINDOW - 1]
+    assert len(whole) == n_words[0] - decontaminate.WINDOW + 1 and all(len(found) == 300 for found in whole)
+
+
+
 def test_repeated_spans(docs, text_rows):
     rows = [(i, t) for i, t in text_rows(docs)]
     same(suffix_spans.repeat_report(docs), brute.repeats(rows))

@@ -90,7 +90,7 @@ def test_registered():
     names = {n.split("_")[0]: n for n in queries.QUERIES}
     assert set(names) == {f"op{i}" for i in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(registered.queries())
-    assert {names[f"op{i}"] for i in (2, 3, 4, 5, 6)} == set(queries.ORACLE_SQL)
+    assert {names[f"op{i}"] for i in (2, 3, 4, 5, 6, 11, 12, 13)} == set(queries.ORACLE_SQL)
     assert all(registered.oracle_sql()[n] == sql for n, sql in queries.ORACLE_SQL.items())
 
 
