@@ -127,10 +127,12 @@ class RatingStore:
             )
         new = []
         if end > mark:
-            rated, after = rating.rate_from(ahead, state, **self._options)
+            rated, _ = rating.rate_from(ahead, state, **self._options)
             folder = f"{self.path}/to-{end}-{uuid.uuid4().hex}"
             rated.write.parquet(f"{folder}/rated")
-            after.write.parquet(f"{folder}/state")
+            # from the stored contests, so that they are put together once
+            stored = self.spark.read.schema(rated.schema).parquet(f"{folder}/rated")
+            rating.state_after(state, stored).write.parquet(f"{folder}/state")
             new = [(end, *found[end], mark + 1, f"{folder}/rated", f"{folder}/state")]
         version = (self._versions() or [0])[-1] + 1
         listed = self.spark.createDataFrame([*map(tuple, kept), *new], _PARTS)

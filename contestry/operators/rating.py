@@ -41,8 +41,9 @@ SCALE = 400.0
 # Teams per contest of a slice, and the least contests of one.
 TEAMS_PER_CONTEST = 3
 LEAST_ROWS = 1_000_000
-# Contests that are worth a task of their own.
-TASK_ROWS = 10_000
+# Contests that are worth a task of their own, and those of one stored file.
+TASK_ROWS = 25_000
+FILE_ROWS = 250_000
 # Slices of one job, and the contests that a job of several slices holds at most.
 JOB_SLICES = 8
 JOB_ROWS = 1 << 20
@@ -130,7 +131,7 @@ def _group_pass(number: int, k: float, scale: float) -> Callable[[Iterator[pa.Re
 
         def sent():
             """Messages of the group that has ended."""
-            return [(*onward[t], None, t, None, None, None, None, rating.get(t), None, None, None) for t in onward]
+            return [(*to, None, t, None, None, None, None, rating.get(t), None, None, None) for t, to in onward.items()]
 
         schema = None
         for batch in batches:
@@ -139,26 +140,30 @@ def _group_pass(number: int, k: float, scale: float) -> Callable[[Iterator[pa.Re
             first, last = slices.searchsorted(number), slices.searchsorted(number, side="right")
             yield batch.slice(0, first)
             yield batch.slice(last)
-            columns = [batch.column(c).slice(first, last - first).to_pylist() for c in _TRAVEL]
-            out = []
-            for row in zip(*columns):
-                if row[1] != group:
-                    out += sent()
-                    group, rating, onward = row[1], {}, {}
-                _, _, sequence, home, away, actual, next_slice, next_component, elo, *_ = row
+            own = batch.slice(first, last - first)
+            columns = [own.column(c).to_pylist() for c in _TRAVEL[1:9]]
+            messages, elo = [], []
+            for component, sequence, home, away, actual, next_slice, next_component, start in zip(*columns):
+                if component != group:
+                    messages += sent()
+                    group, rating, onward = component, {}, {}
                 if sequence is None:
                     if next_slice is not None:
                         onward[home] = (next_slice, next_component)
-                    if elo is not None:
-                        rating[home] = elo
+                    if start is not None:
+                        rating[home] = start
                     continue
                 h, a = rating[home], rating[away]
                 gain = k * (actual - 1 / (1 + 10 ** ((a - h) / scale)))
                 rating[home] = h_after = h + gain
                 rating[away] = a_after = rating[away] - gain
-                out.append((*row[:8], h, h_after, a, a_after))
-            if out:
-                yield _batch(out, schema)
+                elo.append((h, h_after, a, a_after))
+            if elo:
+                rated = own.filter(own.column("sequence").is_valid())
+                values = [pa.array(c, pa.float64()) for c in zip(*elo)]
+                yield pa.RecordBatch.from_arrays([*rated.columns[:8], *values], schema=schema)
+            if messages:
+                yield _batch(messages, schema)
         if out := sent():
             yield _batch(out, schema)
 
@@ -169,6 +174,31 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
+def _slice_labels(cut: DataFrame) -> DataFrame:
+    """(slice, team, component): the group, named by its smallest team, of each slice's teams.
+
+    Nodes are the pairs (slice, team). Whole numbers are packed into one if they leave room for
+    that, as numbers are aggregated and joined much faster than pairs.
+    """
+    kind = dict(cut.dtypes)["HomeTeamId"]
+    if kind == dict(cut.dtypes)["AwayTeamId"] and kind in ("tinyint", "smallint", "int", "bigint"):
+        least, most = F.least("HomeTeamId", "AwayTeamId"), F.greatest("HomeTeamId", "AwayTeamId")
+        low, high, last = cut.agg(F.min(least), F.max(most), F.max("slice")).first()
+        span = high - low + 1 if low is not None else 1
+        if ((last or 0) + 1) * span < 1 << 62:
+            node = lambda team: F.col("slice") * span + (F.col(team).cast("long") - low)
+            edges = cut.select(node("HomeTeamId").alias("home"), node("AwayTeamId").alias("away"))
+            team = lambda code: (F.pmod(code, F.lit(span)) + low).cast(kind)
+            return component_labels(edges, "home", "away").select(
+                F.expr(f"node div {span}L").alias("slice"),
+                team("node").alias("team"),
+                team("component").alias("component"),
+            )
+    node = lambda team: F.struct("slice", F.col(team).alias("team"))
+    edges = cut.select(node("HomeTeamId").alias("home"), node("AwayTeamId").alias("away"))
+    return component_labels(edges, "home", "away").select("node.*", F.col("component.team").alias("component"))
+
+
 def _sliced(games: DataFrame, state: DataFrame, rows: int) -> DataFrame:
     """Travelling rows stored by slice: the contests with their group, and for each team and slice
     the group of its next one, the first of them with its start rating.
@@ -177,9 +207,7 @@ def _sliced(games: DataFrame, state: DataFrame, rows: int) -> DataFrame:
     labels serves all slices.
     """
     cut = games.withColumn("slice", F.floor((F.col("MatchSequence") - 1) / rows))
-    node = lambda team: F.struct("slice", F.col(team).alias("team"))
-    edges = cut.select(node("HomeTeamId").alias("home"), node("AwayTeamId").alias("away"))
-    labels = component_labels(edges, "home", "away").select("node.*", F.col("component.team").alias("component"))
+    labels = _slice_labels(cut)
     nothing = lambda kind: F.lit(None).cast(kind)
     team = dict(labels.dtypes)["team"]
     contests = cut.join(labels.withColumnRenamed("team", "HomeTeamId"), ["slice", "HomeTeamId"]).select(
@@ -200,8 +228,9 @@ def _sliced(games: DataFrame, state: DataFrame, rows: int) -> DataFrame:
             *(nothing("double").alias(c) for c in _TRAVEL[9:]),
         )
     )
-    both = contests.unionByName(routes)
-    return materialize(both.withColumn("_slice", F.col("slice")).repartitionByRange("slice", "component"), "slices", partition_by="_slice")
+    part = F.pmod(F.xxhash64("component"), F.lit(-(-rows // FILE_ROWS)))
+    both = contests.unionByName(routes).withColumn("_slice", F.col("slice"))
+    return materialize(both.repartition("slice", part), "slices", partition_by="_slice")
 
 
 def _rate_groups(sequence: DataFrame, state: DataFrame, rows: int, k: float, scale: float) -> DataFrame:
@@ -209,30 +238,35 @@ def _rate_groups(sequence: DataFrame, state: DataFrame, rows: int, k: float, sca
     travelling = _sliced(sequence.withColumn("_actual", actual_score()), state, rows)
     folder = new_folder(spark, "rated")
     schema = travelling.drop("_slice").schema
-    slices = [r["_slice"] for r in travelling.select("_slice").distinct().collect()]  # one row per slice
+    slices = sorted(r["_slice"] for r in travelling.select("_slice").distinct().collect())  # one row per slice
     together = max(1, min(JOB_SLICES, JOB_ROWS // rows))
     # a stated number keeps adaptive execution from putting all groups of a long slice in one task
     tasks = min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows * together // TASK_ROWS))
     jobs = sorted({n // together for n in slices})
+    written: set[int] = set()
     for job in jobs:
-        table = travelling.filter(F.col("_slice").between(job * together, job * together + together - 1)).drop("_slice")
-        if job != jobs[0]:
-            sent = spark.read.schema(_with_to(schema)).parquet(folder).filter(F.col("_to") == job).drop("_to")
-            table = table.unionByName(sent)
-        for number in sorted(n for n in slices if n // together == job):
+        # only the folder of the messages to this job is listed
+        table = spark.read.schema(schema).parquet(f"{folder}/_to={job}") if job in written else None
+        for number in (n for n in slices if n // together == job):
+            own = travelling.filter(F.col("_slice") == number).drop("_slice")
+            table = own if table is None else table.unionByName(own)
             ordered = table.repartition(tasks, "slice", "component").sortWithinPartitions("slice", "component", "sequence")
             table = ordered.mapInArrow(_group_pass(number, k, scale), schema)
         to = F.when(F.col("sequence").isNotNull(), -1).otherwise(F.floor(F.col("slice") / together)).cast("int")
         table.filter("sequence IS NOT NULL OR next_slice IS NULL").withColumn("_to", to).write.mode("append").partitionBy("_to").parquet(folder)
+        written = _jobs_sent_to(spark, folder)
     if not slices:
         return sequence.select("*", *(F.lit(None).cast("double").alias(c) for c in _ELO_COLUMNS)).limit(0)
-    stored = spark.read.schema(_with_to(schema)).parquet(folder).filter("_to = -1")
+    stored = spark.read.schema(schema).parquet(f"{folder}/_to=-1")
     elo = stored.select(F.col("sequence").alias("MatchSequence"), *(F.col(a).alias(b) for a, b in zip(_TRAVEL[8:], _ELO_COLUMNS)))
     return sequence.join(elo, "MatchSequence").select(*sequence.columns, *_ELO_COLUMNS)
 
 
-def _with_to(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("_to", T.IntegerType())])
+def _jobs_sent_to(spark, folder: str) -> set[int]:
+    """The jobs that messages are stored for."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    names = [f.getPath().getName() for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)]
+    return {int(n.removeprefix("_to=")) for n in names if n.startswith("_to=")}
 
 
 def _linked(games: DataFrame, rows: int) -> DataFrame:
@@ -299,7 +333,7 @@ def _rate_slices(sequence: DataFrame, state: DataFrame, rows: int, k: float, sca
         path = f"{folder}/slice={number}"
         _rate_waves(part, state, k, scale).write.parquet(path)
         if number != slices[-1]:
-            state = materialize(_after(state, spark.read.schema(schema).parquet(path)), "state")
+            state = materialize(state_after(state, spark.read.schema(schema).parquet(path)), "state")
     if not slices:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(folder).select(*schema.fieldNames())
@@ -348,12 +382,22 @@ def start_state(sequence: DataFrame, base: DataFrame | None, default_start: floa
     return state if default_start is None else state.fillna(default_start, "Elo")
 
 
-def _after(state: DataFrame, rated: DataFrame) -> DataFrame:
+def state_after(state: DataFrame, rated: DataFrame) -> DataFrame:
     """The state after the contests of ``rated``; only teams that took part change."""
     latest = latest_ratings(_long(rated, ("MatchSequence",)))
     return state.join(latest, "TeamId", "left").select("TeamId", F.coalesce("EloAfter", "Elo").alias("Elo"))
 
 
+def _stage_rows(slice_rows: int | None, teams: int) -> int:
+    """Contests that one stage rates. Slices of a stated size are rated several at once, as whole
+    slices, while together they hold no more contests than fall into small groups; so the
+    stages grow with the contests per team, not with all contests."""
+    small = max(teams // TEAMS_PER_CONTEST, 1)
+    if slice_rows is None:
+        return max(small, LEAST_ROWS)
+    return slice_rows * max(small // slice_rows, 1)
+
+
 def rate_from(
     sequence: DataFrame,
     state: DataFrame,
@@ -367,9 +411,9 @@ def rate_from(
 
     ``sequence`` may begin anywhere, as long as the state is that before its first contest.
     """
-    rows = slice_rows or max(state.count() // TEAMS_PER_CONTEST, LEAST_ROWS)
+    rows = _stage_rows(slice_rows, state.count())
     rated = {"groups": _rate_groups, "waves": _rate_slices}[by](sequence, state, rows, k, scale)
-    return rated, _after(state, rated)
+    return rated, state_after(state, rated)
 
 
 def with_changes(rated: DataFrame) -> DataFrame:

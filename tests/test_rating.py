@@ -211,3 +211,27 @@ def test_start_ratings(spark):
     base = rating.team_base_ratings(starting, competitions, baseline)
     assert rows(base, "TeamId", "Elo") == [(20, 1500.0), (30, 1300.0)]
     assert rows(rating.teams_without_base(starting, base), "TeamId") == [(10,), (40,)]
+
+
+def test_short_slices_of_many_teams_are_rated_several_at_once(spark, monkeypatch):
+    """The stages don't grow with the number of short slices; a slice is never cut."""
+    stages, real = [], rating._sliced
+    monkeypatch.setattr(rating, "_sliced", lambda games, state, rows: stages.append(rows) or real(games, state, rows))
+    games = schedule(21, 400, 300)
+    start = {t: 1500.0 for t in range(300)}
+    rated = rating.rate(frame(spark, games), start_table(spark, start), default_start=1500.0, slice_rows=3)
+    assert rows(rated, *WIDE) == sorted(loop(games, start), key=repr)
+    teams = len({t for g in games for t in g[6:8]})
+    assert stages == [teams // 3 // 3 * 3] and stages[0] > 80
+
+
+def test_team_ids_of_any_size_and_type(spark):
+    games = schedule(22, 80, 12)
+    start = dict.fromkeys(range(12), 1500.0)
+    expected = sorted(loop(games, start), key=repr)
+    df = frame(spark, games)
+    for team in (lambda c: F.col(c) - 7, lambda c: F.col(c) * F.lit(2**59), lambda c: F.concat(F.lit("t"), F.col(c))):
+        other = df.withColumns({c: team(c) for c in ("HomeTeamId", "AwayTeamId")})
+        rated = rating.rate(other, default_start=1500.0, slice_rows=30)
+        assert rows(rated, *WIDE) == expected
+        assert dict(rated.dtypes)["HomeTeamId"] == dict(other.dtypes)["HomeTeamId"]
