@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -54,6 +54,12 @@ def _unmerged(stored: DataFrame, merged: DataFrame, day: str) -> DataFrame:
     return counts.filter(~F.col("_rows").eqNullSafe(F.col("_merged"))).select(day)
 
 
+def _among(day: str, days: list[dt.date | None]) -> Column:
+    """Whether a row is of one of the days; true or false, never unknown."""
+    own = F.col(day).isNotNull() & F.col(day).isin([d for d in days if d is not None])
+    return own | F.col(day).isNull() if None in days else own
+
+
 def merge_days(spark: SparkSession, name: str, merged: str, day: str = DAY) -> list[dt.date]:
     """Copy the days that are not merged yet to the table ``merged``; the days copied.
 
@@ -67,8 +73,7 @@ def merge_days(spark: SparkSession, name: str, merged: str, day: str = DAY) -> l
         empty.option("partitionOverwriteMode", "dynamic").saveAsTable(merged)
     days = [r[0] for r in _unmerged(stored, spark.table(merged), day).collect()]  # a row for each day
     if days:
-        own = F.col(day).isin([d for d in days if d is not None])
-        rows = stored.filter(own | F.col(day).isNull() if None in days else own).select(*columns, day)
+        rows = stored.filter(_among(day, days)).select(*columns, day)
         rows.hint("rebalance", F.col(day)).write.insertInto(merged, overwrite=True)
         spark.catalog.refreshTable(merged)
     return sorted(days, key=str)
@@ -77,9 +82,9 @@ def merge_days(spark: SparkSession, name: str, merged: str, day: str = DAY) -> l
 def read_days(spark: SparkSession, name: str, merged: str, day: str = DAY) -> DataFrame:
     """All rows of a streamed table: merged days from their merged files, others as they came."""
     stored, copied = spark.table(name), spark.table(merged)
-    open_days = _unmerged(stored, copied, day).select(F.col(day).alias("_day"))
-    is_open = F.col(day).eqNullSafe(F.col("_day"))
-    return stored.join(open_days, is_open, "left_semi").unionByName(copied.join(open_days, is_open, "left_anti"))
+    # as filters, of which a join would make a shuffle with all rows of a day in one task
+    open_days = [r[0] for r in _unmerged(stored, copied, day).collect()]  # a row for each day
+    return stored.filter(_among(day, open_days)).unionByName(copied.filter(~_among(day, open_days)))
 
 
 def run_ingest(

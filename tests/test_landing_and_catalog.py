@@ -166,3 +166,20 @@ def test_merged_days(spark, tmp_path, named):
     assert rows(catalog.read_days(spark, table, merged, "d"), "k", "d") == whole
     files = spark.table(merged).filter(F.col("d") == one).select(F.input_file_name().alias("f")).distinct()
     assert files.count() == 1
+
+
+def test_days_are_read_without_a_shuffle_by_day(spark, tmp_path, named):
+    """All rows of a day in one task: so a join with the open days would read them."""
+    table, merged = named("streamed"), named("merged")
+    day = dt.date(2024, 1, 1)
+    rows_ = [(1, day), (2, day), (3, None)]
+    spark.createDataFrame(rows_, "k int, d date").write.partitionBy("d").saveAsTable(table)
+    catalog.merge_days(spark, table, merged, "d")
+    for more in ([], [(4, None)], [(5, day)]):
+        if more:
+            spark.createDataFrame(more, "k int, d date").write.mode("append").partitionBy("d").saveAsTable(table)
+        rows_ += more
+        found = catalog.read_days(spark, table, merged, "d")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan
+        assert rows(found, "k", "d") == sorted(rows_, key=repr)
