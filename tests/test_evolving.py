@@ -115,3 +115,28 @@ def test_the_same_contest_in_two_drops_is_kept_once(spark, tmp_path):
     assert drop(("a", "b", 2), ("c", "d", 2)) == [("a", 1), ("c", 2)]
     assert drop(("e", "f", 10)) == [("a", 1), ("c", 2), ("e", 10)]
     assert drop(("a", "b", 11)) == [("a", 1), ("a", 11), ("c", 2), ("e", 10)]
+
+
+def test_a_text_is_only_cast_if_it_looks_like_a_value(spark):
+    """Failed casts throw inside Spark; the look of a text changes nothing in what fits."""
+    texts = [
+        "1.5", "1.", ".5", " 7 ", "\x7f8\x01", "+3", "-4", "1e5", "1e", "NaN", "+NaN", "inf", "-Infinity", "0x1p3", "1d", "2F",
+        "1997-01-02", " 1997-01-02\n", "1997-1-2", "12-05-1997", "", ".", "5\n", "9999999999", "9" * 30, "india", "2001-02-30", "d", "5L", "1,5", None,
+    ]
+    value = F.col("v")
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    for kind in (*evolving.NUMBERS, "date"):
+        fits = evolving._fits(value, kind)
+        plain = value.try_cast(kind).isNotNull()
+        if kind == "date":
+            plain = F.coalesce(plain & value.rlike(r"^\s*\d{4}-\d{2}-\d{2}\s*$"), F.lit(False))
+        assert df.filter(fits != plain).collect() == [] and df.filter(fits).count() > 0
+        text = str(fits).lower()
+        assert text.index("rlike") < text.index("cast")
+
+
+def test_value_checks_do_not_grow_with_the_columns(spark):
+    names = [f"c{i}" for i in range(40)]
+    df = spark.createDataFrame([tuple(str(i) for i in range(40)), ("x", *[None] * 39)], ", ".join(f"{c} string" for c in names))
+    assert evolving.value_types(df) == {"c0": "string", **dict.fromkeys(names[1:], "int")}
+    assert evolving.value_types(df.limit(0)) == dict.fromkeys(names)
