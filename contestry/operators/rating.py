@@ -47,8 +47,8 @@ FILE_ROWS = 250_000
 # Slices of one job, and the contests that a job of several slices holds at most.
 JOB_SLICES = 8
 JOB_ROWS = 1 << 20
-# Waves of one job.
-WAVES = 10
+# Waves of one job; what they have rated is left out of the next.
+WAVES = 4
 
 _ELO_COLUMNS = ("HomeEloBefore", "HomeEloAfter", "AwayEloBefore", "AwayEloAfter")
 
@@ -354,6 +354,9 @@ def _rate_waves(games: DataFrame, state: DataFrame, k: float, scale: float) -> D
         "MatchSequence", F.col("_actual").alias("actual"), F.col("_Home_next").alias("home_next"),
         F.col("_Away_next").alias("away_next"), "h", "a", F.lit(None).cast("int").alias("wave"),
     )
+    spark, folder = games.sparkSession, new_folder(games.sparkSession, "waves")
+    schema = table.schema
+    stored = T.StructType([*schema, T.StructField("_waves", T.IntegerType()), T.StructField("_rated", T.BooleanType())])
     done, left = 0, None
     while left != 0:
         for _ in range(WAVES):
@@ -361,12 +364,16 @@ def _rate_waves(games: DataFrame, state: DataFrame, k: float, scale: float) -> D
             table = _wave(table, done, k, scale)
         seen = Observation()
         open_ = F.count_if(F.col("wave").isNull() & F.col("actual").isNotNull())
-        table = materialize(table.observe(seen, open_.alias("open")), "waves")
+        marked = table.observe(seen, open_.alias("open")).withColumn("_rated", F.col("wave").isNotNull())
+        marked.write.partitionBy("_rated").parquet(f"{folder}/_waves={done}")
         before, left = left, seen.get["open"]
         if before is not None and left == before and left:
             raise ValueError("a contest of a team with itself can't be rated by waves")
+        if left:
+            # a rated contest gets no more messages, so only the open ones and messages to them go on
+            table = spark.read.schema(schema).parquet(f"{folder}/_waves={done}/_rated=false")
     after = _gain(k, scale)
-    elo = table.filter("actual IS NOT NULL").select(
+    elo = spark.read.schema(stored).parquet(folder).filter("_rated").select(
         "MatchSequence", F.col("h").alias("HomeEloBefore"), (F.col("h") + after).alias("HomeEloAfter"),
         F.col("a").alias("AwayEloBefore"), (F.col("a") - after).alias("AwayEloAfter"),
     )

@@ -144,3 +144,15 @@ def test_a_team_against_itself_is_refused(spark):
     games = [(10, 1, 1, 1, 1, None, 3, 3, "Draw"), (20, 2, 1, 1, 1, None, 1, 2, "Draw")]
     with pytest.raises(ValueError, match="itself"):
         rating.rate(frame(spark, games), default_start=1500.0, by="waves")
+
+
+def test_rated_contests_are_left_out_of_later_waves(spark, monkeypatch):
+    """Two teams meet over and over, so most contests of the other teams are rated long before."""
+    pairs = [(20 + 2 * i, 21 + 2 * i) for i in range(90)]
+    teams = [(0, 1)] * 30 + pairs
+    games = [(i * 10, i, 1, 1, 1, None, home, away, "Draw") for i, (home, away) in enumerate(teams, 1)]
+    sizes, real = [], rating._wave
+    monkeypatch.setattr(rating, "_wave", lambda rows, n, *a: sizes.append(rows.count()) or real(rows, n, *a))
+    rated = rating.rate(frame(spark, games), start_table(spark, dict.fromkeys(range(200), 1500.0)), by="waves")
+    close(rated, loop(games, dict.fromkeys(range(200), 1500.0)))
+    assert len(sizes) >= 30 and max(sizes[12:]) < 40 < len(games) <= sizes[0]
