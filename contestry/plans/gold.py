@@ -124,8 +124,8 @@ class Gold:
 
     @cached_property
     def rated(self) -> DataFrame:
-        """One row per contest with both sides' ratings, as ``rate`` has stored them."""
-        return rating.rate(self.sequence, self.base, **self._rating_options)
+        """One row per contest with both sides' ratings, stored."""
+        return materialize(rating.rate(self.sequence, self.base, **self._rating_options), "rated-contests")
 
     @cached_property
     def ratings(self) -> DataFrame:
