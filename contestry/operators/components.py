@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,3 +58,21 @@ def _follow(parents: DataFrame, ahead: DataFrame) -> DataFrame:
     """Replace each pointer by the pointer of its target in ``ahead``, if it has one."""
     step = ahead.select(F.col("from").alias("to"), F.col("to").alias("next"))
     return parents.join(step, "to", "left").select("from", F.coalesce("next", "to").alias("to"))
+
+
+def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest node of each node's component, for a graph of nodes 0 to n - 1 that one task holds.
+
+    Each round hooks every root on an edge to the smallest root it meets, follows
+    the pointers to their end, and keeps the edges that still join two roots.
+    """
+    root = np.arange(n)
+    while True:
+        a, b = root[a], root[b]
+        open_ = a != b
+        if not open_.any():
+            return root
+        a, b = a[open_], b[open_]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(ahead := root[root], root):
+            root = ahead

@@ -90,15 +90,14 @@ class RatingStore:
     # ---- a run ----
 
     def _fingerprints(self, sequence: DataFrame, starts: DataFrame, marks: list[int]) -> dict[int, tuple]:
-        """(contests, starts) for each mark."""
+        """(contests, starts) for each mark; ``starts`` has each team's first contest, too."""
         options = {k: v for k, v in self._options.items() if k in ("k", "scale")}
         salt = F.lit(repr(sorted(options.items())))
         games = sequence.withColumn("_salt", salt)
         columns = ["_salt", *sorted(sequence.columns)]
         contests = games.agg(*(_sum_of_hashes(F.col("MatchSequence") <= m, *columns).alias(str(m)) for m in marks))
-        first = both_sides(sequence, "HomeTeamId", "AwayTeamId", "TeamId", "MatchSequence")
-        first = first.groupBy("TeamId").agg(F.min("MatchSequence").alias("_first")).join(starts, "TeamId")
-        teams = first.agg(*(_sum_of_hashes(F.col("_first") <= m, "TeamId", "Elo").alias(str(m)) for m in marks))
+        known = starts.filter("TeamId IS NOT NULL")
+        teams = known.agg(*(_sum_of_hashes(F.col("_first") <= m, "TeamId", "Elo").alias(str(m)) for m in marks))
         a, b = contests.first(), teams.first()
         return {m: (a[str(m)], b[str(m)]) for m in marks}
 
@@ -108,7 +107,9 @@ class RatingStore:
         Every column of ``sequence`` counts as part of a contest, so leave out those that
         differ from run to run. An unchanged sequence rates nothing.
         """
-        starts = materialize(rating.start_state(sequence, base, self._default_start), "starts")
+        teams = both_sides(sequence, "HomeTeamId", "AwayTeamId", "TeamId", "MatchSequence").groupBy("TeamId")
+        first = teams.agg(F.min("MatchSequence").alias("_first"))
+        starts = materialize(rating.with_start(first, base, self._default_start), "starts")
         end = sequence.agg(F.max("MatchSequence").alias("end")).first()["end"] or 0
         parts = self.parts()
         found = self._fingerprints(sequence, starts, sorted({*(p.mark for p in parts), end}))
@@ -119,11 +120,11 @@ class RatingStore:
         if mark == end and len(kept) == len(parts):
             return Run(mark, end, 0)
         ahead = sequence.filter(F.col("MatchSequence") > mark)
-        state = starts
+        state = starts.select("TeamId", "Elo")
         if kept:
             known = self.spark.read.parquet(kept[-1].state).withColumnRenamed("Elo", "_elo")
             state = materialize(
-                starts.join(known, "TeamId", "left").select("TeamId", F.coalesce("_elo", "Elo").alias("Elo")), "state"
+                state.join(known, "TeamId", "left").select("TeamId", F.coalesce("_elo", "Elo").alias("Elo")), "state"
             )
         new = []
         if end > mark:

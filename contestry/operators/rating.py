@@ -3,13 +3,13 @@
 Every rating depends on the previous contest of both teams. The sequence is cut into
 slices of about a third as many contests as there are teams; then the
 contests of a slice fall into many small groups of teams that don't meet in it,
-however connected the teams are as a whole. Groups of all slices are labelled at
-once, and so is the group of its next slice that each team goes on to. A group is rated
+however connected the teams are as a whole. A slice is bounded, so one task finds its groups;
+the group of its next slice that each team goes on to comes from a window by team. A group is rated
 by one pass over its contests and sends its teams' ratings on to these groups.
 
 A job rates several slices, each a shuffle stage: ratings travel from group to group
 inside the job, and only those for later jobs are stored. So no task holds more contests
-than a slice, memory is one Arrow batch plus the ratings of one group, ratings that
+than a slice (those of its own groups, when it rates), ratings that
 don't change aren't touched, and a failure repeats part of one job. With few teams
 the chain of contests is sequential whatever the plan; a slice then holds
 ``LEAST_ROWS`` contests, which one task rates in a second or two.
@@ -25,12 +25,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from contestry.functions.scoring import actual_score, expected_score
-from contestry.operators.components import component_labels
+from contestry.operators.components import local_roots
 from contestry.operators.star import both_sides
 from contestry.session import materialize, new_folder
 
@@ -38,7 +39,7 @@ from contestry.session import materialize, new_folder
 K_FACTOR = 35.0
 SCALE = 400.0
 
-# Teams per contest of a slice, and the least contests of one.
+# Teams per contest of a slice, and the least contests of one; only a stated size makes it larger.
 TEAMS_PER_CONTEST = 3
 LEAST_ROWS = 1_000_000
 # Contests that are worth a task of their own, and those of one stored file.
@@ -47,6 +48,8 @@ FILE_ROWS = 250_000
 # Slices of one job, and the contests that a job of several slices holds at most.
 JOB_SLICES = 8
 JOB_ROWS = 1 << 20
+# Tasks that slices are dealt to when their groups are looked for.
+MOST_TASKS = 1000
 # Waves of one job; what they have rated is left out of the next.
 WAVES = 4
 
@@ -120,112 +123,110 @@ _TRAVEL = (
 
 
 def _group_pass(number: int, k: float, scale: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Arrow function over travelling rows sorted by (slice, component, sequence).
+    """Arrow function over travelling rows, dealt by (slice, component).
 
-    It rates the contests of one slice and sends the ratings of each of its groups on.
+    It rates the contests of one slice, in sequence, and sends the ratings of its groups on.
+    Within a slice a team has one group, so a task's groups share a table of ratings.
     Rows of other slices pass as they are.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, rating, onward = None, {}, {}
-
-        def sent():
-            """Messages of the group that has ended."""
-            return [(*to, None, t, None, None, None, None, rating.get(t), None, None, None) for t, to in onward.items()]
-
-        schema = None
+        own = []
         for batch in batches:
-            schema = batch.schema
-            slices = batch.column("slice").to_numpy()
-            first, last = slices.searchsorted(number), slices.searchsorted(number, side="right")
-            yield batch.slice(0, first)
-            yield batch.slice(last)
-            own = batch.slice(first, last - first)
-            columns = [own.column(c).to_pylist() for c in _TRAVEL[1:9]]
-            messages, elo = [], []
-            for component, sequence, home, away, actual, next_slice, next_component, start in zip(*columns):
-                if component != group:
-                    messages += sent()
-                    group, rating, onward = component, {}, {}
-                if sequence is None:
-                    if next_slice is not None:
-                        onward[home] = (next_slice, next_component)
-                    if start is not None:
-                        rating[home] = start
-                    continue
+            here = pc.equal(batch.column("slice"), number)
+            if here.true_count:
+                own.append(batch.filter(here))
+            if here.true_count < len(batch):
+                yield batch.filter(pc.invert(here))
+        if not own:
+            return
+        rows = pa.Table.from_batches(own)
+        messages = rows.filter(pc.is_null(rows["sequence"]))
+        starts = messages.filter(pc.is_valid(messages["h_before"]))
+        rating = dict(zip(_values(starts["home"]), _values(starts["h_before"])))
+        contests = rows.filter(pc.is_valid(rows["sequence"])).sort_by("sequence").select(_TRAVEL[:8])
+        for part in contests.to_batches(max_chunksize=_CHUNK):
+            elo = []
+            for home, away, actual in zip(*(_values(part.column(c)) for c in ("home", "away", "actual"))):
                 h, a = rating[home], rating[away]
                 gain = k * (actual - 1 / (1 + 10 ** ((a - h) / scale)))
                 rating[home] = h_after = h + gain
                 rating[away] = a_after = rating[away] - gain
                 elo.append((h, h_after, a, a_after))
-            if elo:
-                rated = own.filter(own.column("sequence").is_valid())
-                values = [pa.array(c, pa.float64()) for c in zip(*elo)]
-                yield pa.RecordBatch.from_arrays([*rated.columns[:8], *values], schema=schema)
-            if messages:
-                yield _batch(messages, schema)
-        if out := sent():
-            yield _batch(out, schema)
+            values = [pa.array(c, pa.float64()) for c in zip(*elo)]
+            yield pa.RecordBatch.from_arrays([*part.columns, *values], schema=rows.schema)
+        onward = messages.filter(pc.is_valid(messages["next_slice"])).combine_chunks()
+        if len(onward):
+            nothing = [pa.nulls(len(onward), f.type) for f in rows.schema]
+            sent = [onward["next_slice"], onward["next_component"], nothing[2], onward["home"], *nothing[4:8]]
+            sent.append(pa.array([rating.get(t) for t in _values(onward["home"])], pa.float64()))
+            yield from pa.Table.from_arrays([*sent, *nothing[9:]], schema=rows.schema).to_batches(max_chunksize=_CHUNK)
 
     return run
 
 
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+# Contests that are Python values at once.
+_CHUNK = 1 << 16
 
 
-def _slice_labels(cut: DataFrame) -> DataFrame:
-    """(slice, team, component): the group, named by its smallest team, of each slice's teams.
+def _values(column: pa.Array | pa.ChunkedArray) -> list:
+    """As Python values; numbers go over numpy, which is much faster."""
+    if column.null_count or not (pa.types.is_integer(column.type) or pa.types.is_floating(column.type)):
+        return column.to_pylist()
+    return column.to_numpy().tolist()
+
+
+def _slice_groups(rows: pa.Table) -> pa.Table:
+    """The contests of one slice with their group, named by its smallest team, and a row
+    without a contest for each team of the slice."""
+    slice_, sequence, home, away, actual = (rows[c].combine_chunks() for c in _CUT)
+    teams = pa.concat_arrays([home, away]).unique().drop_null()
+    teams = teams.take(pc.sort_indices(teams))
+    a, b = pc.index_in(home, teams), pc.index_in(away, teams)
+    met = pc.and_(a.is_valid(), b.is_valid())
+    roots = pa.array(local_roots(len(teams), *(x.filter(met).to_numpy() for x in (a, b))))
+    known = a.is_valid()
+    contests = [slice_, teams.take(roots.take(a)), sequence, home, away, actual]
+    n = len(teams)
+    members = [slice_[:1].take(pa.nulls(n, pa.int64()).fill_null(0)), teams.take(roots), pa.nulls(n, sequence.type), teams]
+    members += [pa.nulls(n, away.type), pa.nulls(n, actual.type)]
+    return pa.table({c: pa.concat_arrays([x.filter(known), y]) for c, x, y in zip(_TRAVEL, contests, members)})
 
-    Nodes are the pairs (slice, team). Whole numbers are packed into one if they leave room for
-    that, as numbers are aggregated and joined much faster than pairs.
-    """
-    kind = dict(cut.dtypes)["HomeTeamId"]
-    if kind == dict(cut.dtypes)["AwayTeamId"] and kind in ("tinyint", "smallint", "int", "bigint"):
-        least, most = F.least("HomeTeamId", "AwayTeamId"), F.greatest("HomeTeamId", "AwayTeamId")
-        low, high, last = cut.agg(F.min(least), F.max(most), F.max("slice")).first()
-        span = high - low + 1 if low is not None else 1
-        if ((last or 0) + 1) * span < 1 << 62:
-            node = lambda team: F.col("slice") * span + (F.col(team).cast("long") - low)
-            edges = cut.select(node("HomeTeamId").alias("home"), node("AwayTeamId").alias("away"))
-            team = lambda code: (F.pmod(code, F.lit(span)) + low).cast(kind)
-            return component_labels(edges, "home", "away").select(
-                F.expr(f"node div {span}L").alias("slice"),
-                team("node").alias("team"),
-                team("component").alias("component"),
-            )
-    node = lambda team: F.struct("slice", F.col(team).alias("team"))
-    edges = cut.select(node("HomeTeamId").alias("home"), node("AwayTeamId").alias("away"))
-    return component_labels(edges, "home", "away").select("node.*", F.col("component.team").alias("component"))
+
+_CUT = ("slice", "MatchSequence", "HomeTeamId", "AwayTeamId", "_actual")
 
 
 def _sliced(games: DataFrame, state: DataFrame, rows: int) -> DataFrame:
     """Travelling rows stored by slice: the contests with their group, and for each team and slice
     the group of its next one, the first of them with its start rating.
 
-    The teams of every slice are nodes of their own, so one run of the component
-    labels serves all slices.
+    A slice is bounded (``LEAST_ROWS``, or what is stated), so one task finds its groups.
     """
-    cut = games.withColumn("slice", F.floor((F.col("MatchSequence") - 1) / rows))
-    labels = _slice_labels(cut)
+    spark = games.sparkSession
+    team = games.select(F.coalesce("HomeTeamId", "AwayTeamId")).schema[0].dataType
+    number = F.col("MatchSequence").cast("bigint")
+    cut = games.filter("MatchSequence IS NOT NULL").select(
+        F.floor((number - 1) / rows).alias("slice"), number.alias("MatchSequence"),
+        *(F.col(c).cast(team).alias(c) for c in _CUT[2:4]), "_actual",
+    )
+    first, last = cut.agg(F.min("slice"), F.max("slice")).first()
+    tasks = min((last or 0) - (first or 0) + 1, MOST_TASKS)
+    kinds = T.StructType([T.StructField(c, cut.schema[f].dataType) for c, f in zip(_TRAVEL, (_CUT[0], _CUT[2], *_CUT[1:]))])
+    grouped = materialize(cut.repartition(tasks, "slice").groupBy("slice").applyInArrow(_slice_groups, kinds), "groups")
     nothing = lambda kind: F.lit(None).cast(kind)
-    team = dict(labels.dtypes)["team"]
-    contests = cut.join(labels.withColumnRenamed("team", "HomeTeamId"), ["slice", "HomeTeamId"]).select(
-        "slice", "component", F.col("MatchSequence").alias("sequence"), F.col("HomeTeamId").alias("home"),
-        F.col("AwayTeamId").alias("away"), F.col("_actual").alias("actual"), nothing("bigint").alias("next_slice"),
-        nothing(team).alias("next_component"), *(nothing("double").alias(c) for c in _TRAVEL[8:]),
+    contests = grouped.filter("sequence IS NOT NULL").select(
+        *_TRAVEL[:6], nothing("bigint").alias("next_slice"), nothing(team).alias("next_component"),
+        *(nothing("double").alias(c) for c in _TRAVEL[8:]),
     )
-    order = Window.partitionBy("team").orderBy("slice")  # a row for each slice in which the team plays
+    order = Window.partitionBy("home").orderBy("slice")  # a row for each slice in which the team plays
     known = F.coalesce("Elo", F.lit(float("nan")))
+    onward = grouped.filter("sequence IS NULL").withColumn("_next", F.lead(F.struct("slice", "component")).over(order))
     routes = (
-        labels.withColumn("_next", F.lead(F.struct("slice", "component")).over(order))
-        .withColumn("_first", F.row_number().over(order) == 1)
-        .join(state.select(F.col("TeamId").alias("team"), "Elo"), "team")
+        onward.withColumn("_first", F.row_number().over(order) == 1)
+        .join(state.select(F.col("TeamId").alias("home"), "Elo"), "home")
         .select(
-            "slice", "component", nothing("bigint").alias("sequence"), F.col("team").alias("home"),
-            nothing(team).alias("away"), nothing("double").alias("actual"), F.col("_next.slice").alias("next_slice"),
-            F.col("_next.component").alias("next_component"), F.when(F.col("_first"), known).alias("h_before"),
-            *(nothing("double").alias(c) for c in _TRAVEL[9:]),
+            *_TRAVEL[:6], F.col("_next.slice").alias("next_slice"), F.col("_next.component").alias("next_component"),
+            F.when(F.col("_first"), known).alias("h_before"), *(nothing("double").alias(c) for c in _TRAVEL[9:]),
         )
     )
     part = F.pmod(F.xxhash64("component"), F.lit(-(-rows // FILE_ROWS)))
@@ -250,8 +251,7 @@ def _rate_groups(sequence: DataFrame, state: DataFrame, rows: int, k: float, sca
         for number in (n for n in slices if n // together == job):
             own = travelling.filter(F.col("_slice") == number).drop("_slice")
             table = own if table is None else table.unionByName(own)
-            ordered = table.repartition(tasks, "slice", "component").sortWithinPartitions("slice", "component", "sequence")
-            table = ordered.mapInArrow(_group_pass(number, k, scale), schema)
+            table = table.repartition(tasks, "slice", "component").mapInArrow(_group_pass(number, k, scale), schema)
         to = F.when(F.col("sequence").isNotNull(), -1).otherwise(F.floor(F.col("slice") / together)).cast("int")
         table.filter("sequence IS NOT NULL OR next_slice IS NULL").withColumn("_to", to).write.mode("append").partitionBy("_to").parquet(folder)
         written = _jobs_sent_to(spark, folder)
@@ -383,6 +383,11 @@ def _rate_waves(games: DataFrame, state: DataFrame, k: float, scale: float) -> D
 def start_state(sequence: DataFrame, base: DataFrame | None, default_start: float | None) -> DataFrame:
     """(TeamId, Elo) of every team of the sequence before its first contest."""
     teams = both_sides(sequence, "HomeTeamId", "AwayTeamId", "TeamId").distinct()
+    return with_start(teams, base, default_start)
+
+
+def with_start(teams: DataFrame, base: DataFrame | None, default_start: float | None) -> DataFrame:
+    """Add the start rating of each team (TeamId) as Elo."""
     if base is None:
         return teams.withColumn("Elo", F.lit(default_start).cast("double"))
     state = teams.join(base.select("TeamId", F.col("Elo").cast("double")), "TeamId", "left")
@@ -399,7 +404,7 @@ def _stage_rows(slice_rows: int | None, teams: int) -> int:
     """Contests that one stage rates. Slices of a stated size are rated several at once, as whole
     slices, while together they hold no more contests than fall into small groups; so the
     stages grow with the contests per team, not with all contests."""
-    small = max(teams // TEAMS_PER_CONTEST, 1)
+    small = max(min(teams // TEAMS_PER_CONTEST, LEAST_ROWS), 1)
     if slice_rows is None:
         return max(small, LEAST_ROWS)
     return slice_rows * max(small // slice_rows, 1)

@@ -1,10 +1,11 @@
 import random
 
+import numpy as np
 from conftest import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from contestry.operators.components import component_labels
+from contestry.operators.components import component_labels, local_roots
 from contestry.operators.keys import dimension, numbered
 
 
@@ -125,3 +126,16 @@ def test_a_hub_is_not_gathered_in_one_task(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_local_roots_equal_a_plain_walk():
+    rng = np.random.default_rng(4)
+    for n, edges in ((1, 0), (9, 5), (200, 90), (200, 300)):
+        a, b = rng.integers(0, n, edges), rng.integers(0, n, edges)
+        expected = list(range(n))
+        for _ in range(n):  # the smallest name spreads along the edges
+            for x, y in zip(a.tolist(), b.tolist()):
+                expected[x] = expected[y] = min(expected[x], expected[y])
+        assert local_roots(n, a, b).tolist() == expected
+    path = np.arange(999)
+    assert not local_roots(1000, path, path + 1).any() and not local_roots(1000, path[::-1] + 1, path[::-1]).any()

@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from contestry.operators import rating
+from contestry.operators import components, rating
 
 SCHEMA = (
     "MatchKey long, MatchSequence long, CompetitionId long, SeasonId long, RoundOrder int, Date date, "
@@ -235,3 +235,25 @@ def test_team_ids_of_any_size_and_type(spark):
         rated = rating.rate(other, default_start=1500.0, slice_rows=30)
         assert rows(rated, *WIDE) == expected
         assert dict(rated.dtypes)["HomeTeamId"] == dict(other.dtypes)["HomeTeamId"]
+
+
+def test_groups_of_slices_are_found_without_rounds_of_joins(spark, monkeypatch):
+    """A slice is bounded, so one task labels it; no round of labels is stored."""
+
+    def stored(*_, **__):
+        raise AssertionError("a round of labels was stored")
+
+    monkeypatch.setattr(components, "materialize", stored)
+    games = schedule(23, 120, 30)
+    start = dict.fromkeys(range(30), 1500.0)
+    rated = rating.rate(frame(spark, games), default_start=1500.0, slice_rows=10)
+    assert rows(rated, *WIDE) == sorted(loop(games, start), key=repr)
+
+
+def test_contests_without_a_home_team_or_a_number_drop_out(spark):
+    games = schedule(24, 40, 6)
+    df = frame(spark, games)
+    lost = df.limit(1).withColumns({c: F.lit(None).cast("long") for c in ("HomeTeamId", "AwayTeamId")})
+    numberless = df.limit(1).withColumn("MatchSequence", F.lit(None).cast(dict(df.dtypes)["MatchSequence"]))
+    rated = rating.rate(df.union(lost.withColumn("MatchSequence", F.lit(41))).union(numberless), default_start=1500.0)
+    assert rows(rated, *WIDE) == sorted(loop(games, dict.fromkeys(range(6), 1500.0)), key=repr)
