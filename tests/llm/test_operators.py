@@ -122,6 +122,33 @@ def test_pairs_that_only_meet_at_the_last_depth_are_found(spark, monkeypatch):
     assert all(near_dups.miss_bound(depth) < 1e-6 for depth in range(1, len(near_dups.LARGEST) + 2))
 
 
+def test_texts_of_near_duplicates_are_joined_alike_at_any_size(edge, spark):
+    columns = "v bigint, doc_id bigint, text_hash bigint"
+    hashed = edge.filter("doc_id IN (1, 2, 6)").selectExpr("doc_id AS v", "doc_id", "xxhash64(text) AS text_hash").distinct()
+    sets = spark.createDataFrame(hashed.collect(), columns)
+    texts = near_dups._texts(edge, sets, sets.filter("v < 6").select("v"))
+    assert {tuple(r) for r in texts.collect()} == {(r.doc_id, r.text) for r in edge.collect() if r.doc_id in (1, 2)}
+    parts = spark.createDataFrame([(7, v, v) for v in (1, 2)], "part bigint, v bigint, component bigint")
+    links = near_dups._links(parts, texts.dropDuplicates(["v"]), near_dups.WORDS, near_dups.PERCENT)
+    assert [set(r) for r in links.collect()] == [{1, 2}]
+    plan = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan(texts) and "SortMergeJoin" in plan(links)
+
+
+def test_tokens_travel_and_not_texts(edge, spark):
+    """Tokens of deeper nodes are made where texts are read; one row for each wanted set."""
+    wanted = [r.doc_id for r in edge.select("doc_id").distinct().collect() if r.doc_id in (1, 6, 8, 10)]
+    hashed = edge.selectExpr("doc_id AS v", "doc_id", "xxhash64(text) AS text_hash").distinct().filter("v IS NOT NULL")
+    sets = spark.createDataFrame(hashed.collect(), hashed.schema)
+    found = near_dups._tokens(edge, sets, sets.filter("v IN (1, 6, 8, 10)").select("v"), 2, 5, near_dups.WORDS)
+    tokens = {r.v: r.tokens for r in found.collect()}
+    assert sorted(tokens) == sorted(wanted) and found.count() == 4 and all(len(t) == 5 for t in tokens.values())
+    alone = edge.filter("doc_id = 8")
+    assert near_dups._tokens(alone, sets, sets.select("v"), 2, 5, near_dups.WORDS).head().tokens == tokens[8]
+    below = found._jdf.queryExecution().sparkPlan().toString().split("MapInArrow")
+    assert len(below) == 2 and "ShuffledHashJoin" in below[0] and "ShuffledHashJoin" not in below[1]
+
+
 def test_near_dedup_keeps_one_of_each_class(docs, text_rows):
     kept = near_dups.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
