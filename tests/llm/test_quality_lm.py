@@ -179,3 +179,12 @@ def test_labels_are_joined_alike_at_any_size(edge, spark):
     assert sorted(r.doc_id for r in found.collect()) == sorted(r.doc_id for r in edge.collect() if r.doc_id in (1, 2, 6))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in plan and "Broadcast" not in plan
+
+
+def test_texts_without_bytes_have_no_thresholds(spark):
+    rows = [(i, "some words here and there " * (1 + i % 3), "en") for i in range(40)] + [(50, "", "en"), (51, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = {r.doc_id: r for r in q.classify(docs, labels(spark, [(i, 1, 0) for i in (*range(40), 50, 51)]), ORDER).collect()}
+    assert len(found) == 42 and found[0].least is not None and found[0].most is not None
+    for i in (50, 51):
+        assert found[i].kept and (found[i].n_bytes, found[i].perplexity, found[i].least, found[i].most) == (0, None, None, None)
