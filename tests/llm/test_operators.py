@@ -428,3 +428,30 @@ def test_words_and_hashes_do_not_depend_on_place():
     assert hashes[0] == hashes[3] and len(set(hashes.tolist())) == 3
     cut = text.words(data, np.array([0, 1, len(data)]), text.SPACED)
     assert len(cut[0]) == 5
+
+
+def test_texts_of_repeated_spans_are_packed_and_shuffled_once(documents, text_rows, spark):
+    import pyarrow as pa
+
+    from contestry.llm import text as tx
+
+    texts = ["one two three " * 200, "", None, "ünï"]
+    packed = tx.packed_texts(pa.array(texts))
+    data, offsets = tx.unpacked_texts(packed)
+    assert [data[a:b].tobytes().decode() for a, b in zip(offsets, offsets[1:])] == [t or "" for t in texts]
+    assert packed[2].as_py() is None and len(packed[0].as_py()) < 200
+    values = np.arange(7, dtype=np.uint64) << np.uint64(33)
+    assert (suffix_spans._values(suffix_spans._by_byte(values), np.uint64) == values).all()
+    assert len(suffix_spans._values(None, np.uint64)) == 0
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, -1)
+    try:
+        found = suffix_spans.repeated_spans(documents)
+        assert found.count() == documents.count()
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    plan = plan.split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan
