@@ -441,8 +441,8 @@ def test_texts_of_repeated_spans_are_packed_and_shuffled_once(documents, text_ro
     assert [data[a:b].tobytes().decode() for a, b in zip(offsets, offsets[1:])] == [t or "" for t in texts]
     assert packed[2].as_py() is None and len(packed[0].as_py()) < 200
     values = np.arange(7, dtype=np.uint64) << np.uint64(33)
-    assert (suffix_spans._values(suffix_spans._by_byte(values), np.uint64) == values).all()
-    assert len(suffix_spans._values(None, np.uint64)) == 0
+    assert (tx.values(tx.by_byte(values), np.uint64) == values).all()
+    assert len(tx.values(None, np.uint64)) == 0
     key = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(key)
     spark.conf.set(key, -1)

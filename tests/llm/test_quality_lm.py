@@ -188,3 +188,57 @@ def test_texts_without_bytes_have_no_thresholds(spark):
     assert len(found) == 42 and found[0].least is not None and found[0].most is not None
     for i in (50, 51):
         assert found[i].kept and (found[i].n_bytes, found[i].perplexity, found[i].least, found[i].most) == (0, None, None, None)
+
+
+def plain_bits(trusted, texts, order):
+    """Bits for each byte of texts under a plain byte model of the trusted ones."""
+    from collections import Counter
+
+    def own(text):
+        symbols = [32] * (order - 1) + list(text.encode())
+        return [tuple(symbols[i : i + order]) for i in range(len(text.encode()))]
+
+    tables = {order: Counter(g for t in trusted for g in own(t))}
+    for k in range(order - 1, 0, -1):
+        tables[k] = Counter(g[1:] for g in tables[k + 1])
+
+    def discount(k):
+        n = [0] + [sum(c == i for c in tables[k].values()) for i in (1, 2, 3, 4)]
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] + n[2] else 0
+        return [0] + [max(q.LEAST_DISCOUNT, i - (i + 1) * y * n[i + 1] / max(n[i], 1)) for i in (1, 2, 3)]
+
+    ds = {k: discount(k) for k in tables}
+    contexts = {}
+    for table in tables.values():
+        for g, c in table.items():
+            contexts.setdefault(g[:-1], []).append(c)
+
+    def p(g):
+        if not g:
+            return 1 / 256
+        counts, d = contexts.get(g[:-1]), ds[len(g)]
+        if not counts:
+            return p(g[1:])
+        c = tables[len(g)][g]
+        return ((c - d[min(c, 3)]) if c else 0) / sum(counts) + sum(d[min(x, 3)] for x in counts) / sum(counts) * p(g[1:])
+
+    return [-np.mean([np.log2(p(g)) for g in own(t)]) for t in texts]
+
+
+@pytest.mark.parametrize("chunk", [1 << 25, 64])
+def test_registered_model_is_of_whole_bytes(spark, monkeypatch, chunk):
+    monkeypatch.setattr(q, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(q, "WAITING", 50)
+    monkeypatch.setattr(q, "HELD", 20)
+    good = ["the cat sat on 12 mats", "A cat, the Hat! 345", "ünder the Äpfel", "no more than that", "the mat sat on Tom 7"] * 3
+    odd = ["THE CAT SAT ON 98 MATS", "a cat, the hat? 777", "ènder the òpfel", "日本 the mat", "x"]
+    texts = good + odd
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)] + [(90, "lonely", "xx")], "doc_id bigint, text string, lang string")
+    halves = {r.doc_id: r.h for r in docs.select("doc_id", q._half().alias("h")).collect()}
+    found = {r.doc_id: r for r in q.classify(docs, labels(spark, [(i, 1, 0) for i in range(len(good))])).collect()}
+    assert len(found) == len(texts) + 1 and found[90].perplexity is None
+    for half in (0, 1):
+        rows = [i for i in range(len(texts)) if halves[i] == half]
+        want = plain_bits([t for i, t in enumerate(good) if halves[i] != half], [texts[i] for i in rows], q.ORDER)
+        for i, bits in zip(rows, want):
+            assert np.log2(found[i].perplexity) == pytest.approx(bits, rel=1e-5)
